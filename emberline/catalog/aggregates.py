@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from emberline.catalog.filters import FILLED, GAPS, MODE, filled, with_gaps
 from emberline.catalog.registry import (
-    BTU, DELIVERIES, EV, GAL, classified, event_hours, order_hours, query, run_totals, season,
+    BTU, DELIVERIES, EV, GAL, order_hours, query, run_totals, season,
 )
 from emberline.functions.calendar import ntz, period_start
 from emberline.operators import model, quality, rollups, runs
@@ -75,8 +75,8 @@ f5 AS (SELECT {by}, sum(w_us) AS w_us, sum(us) FILTER (WHERE status = 'ON') AS u
               min(us) FILTER (WHERE status = 'ON') AS lo, max(us) FILTER (WHERE status = 'ON') AS hi FROM f4 GROUP BY ALL)"""
 
 
-FIXED_COLS = """round(w_us / 3.6e12, 6) AS kwh, round(us / 6e7 / 60, 6) AS total_hours, round(us / 6e7 / cycles, 6) AS avg_minutes,
-  round(lo / 6e7, 6) AS min_minutes, round(hi / 6e7, 6) AS max_minutes, cycles"""
+FIXED_COLS = """round(w_us / 3.6e12, 2) AS kwh, round(us / 6e7 / 60, 2) AS total_hours, round(us / 6e7 / cycles, 2) AS avg_minutes,
+  round(lo / 6e7, 2) AS min_minutes, round(hi / 6e7, 2) AS max_minutes, cycles"""
 
 
 @query("run_summary_fixed", f"WITH {fixed_sql(50, True)} SELECT key, {FIXED_COLS} FROM f5")
@@ -117,6 +117,9 @@ def sums_yearly(spark, sf):
 
 DAILY = "d AS (SELECT sum_date, sum(rc) AS rc FROM oh GROUP BY 1)"
 MEAN = "sum(rc) / 100e0 / count(*) AS runtime_avg, count(*) AS count"
+# sums kept beside the mean: means weighted by count are the merged sums over the merged counts
+SUMS = "sum(rc) AS s, count(*) AS n"
+WEIGHTED = "sum(s) / 100e0 / sum(n)"
 
 
 @query("base_dow", f"""
@@ -155,11 +158,11 @@ def base_monthly(spark, sf):
 
 @query("weighted_mean", f"""
 WITH {order_hours(live=False)}, {DAILY},
-b AS (SELECT dayofweek(sum_date) AS dow, {season('month(sum_date)')} AS season, {MEAN} FROM d GROUP BY 1, 2)
-SELECT dow, round(sum(runtime_avg * count) / sum(count), 6) AS runtime_avg FROM b GROUP BY 1""")
+b AS (SELECT dayofweek(sum_date) AS dow, {season('month(sum_date)')} AS season, {SUMS} FROM d GROUP BY 1, 2)
+SELECT dow, {WEIGHTED} AS runtime_avg FROM b GROUP BY 1""")
 def weighted_mean(spark, sf):
     b = rollups.by_dow_season(rollups.daily_sums(fx.order_hours(spark, sf, live=False)), spark)
-    return rollups.weighted_mean(b, ["dow"]).withColumn("runtime_avg", F.round("runtime_avg", 6))
+    return rollups.weighted_mean(b, ["dow"])
 
 
 @query("base_mdh", f"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from emberline.catalog.aggregates import DAILY, MEAN, MONTHLY
+from emberline.catalog.aggregates import DAILY, SUMS, WEIGHTED
 from emberline.catalog.registry import PREDICTED, event_hours, order_hours, query, season
 from emberline.operators import rollups
 from emberline.plans import charts, forecast
@@ -32,19 +32,15 @@ def _week_sql(by_season):
     return f"""
 WITH {order_hours()}, {order_hours(live=False, name='st')}, {DAILY},
 sd AS (SELECT sum_date, sum(rc) AS rc FROM st GROUP BY 1),
-b AS (SELECT dayofweek(sum_date) AS dow, {season('month(sum_date)')} AS season, {MEAN} FROM sd GROUP BY 1, 2),
+b AS (SELECT dayofweek(sum_date) AS dow, {season('month(sum_date)')} AS season, {SUMS} FROM sd GROUP BY 1, 2),
 u AS (SELECT sum_date, rc, {season('month(sum_date)')} AS season FROM d ORDER BY sum_date DESC LIMIT 7)
 SELECT u.sum_date, strftime(u.sum_date, '%A') AS label, rc / 100e0 AS runtime,
-       round(sum(runtime_avg * count) / sum(count), 6) AS runtime_avg, 'yes' AS complete
+       {WEIGHTED} AS runtime_avg, 'yes' AS complete
 FROM u JOIN b ON b.dow = dayofweek(u.sum_date) {on} GROUP BY u.sum_date, rc"""
 
 
-def _six(df):
-    return df.withColumn("runtime_avg", F.round("runtime_avg", 6))
-
-
 def _week(spark, sf, by_season):
-    return _six(charts.week_vs_usual(fx.order_hours(spark, sf), fx.order_hours(spark, sf, live=False), by_season))
+    return charts.week_vs_usual(fx.order_hours(spark, sf), fx.order_hours(spark, sf, live=False), by_season)
 
 
 @query("rpt_dow", _week_sql(False))
@@ -63,17 +59,17 @@ def _day_sql(by_dow, by_season):
         f" AND b.season = {season(f'month({day})')}" if by_season else "")
     return f"""
 WITH {event_hours()},
-b AS (SELECT dayofweek(sum_date) AS dow, {season('month(sum_date)')} AS season, hour, {MEAN} FROM hh GROUP BY 1, 2, 3),
+b AS (SELECT dayofweek(sum_date) AS dow, {season('month(sum_date)')} AS season, hour, {SUMS} FROM hh GROUP BY 1, 2, 3),
 u AS (SELECT * FROM hh ORDER BY sum_date DESC, hour DESC LIMIT 24)
 SELECT u.sum_date, u.hour AS label, u.rc / 100e0 AS runtime,
-       round(sum(runtime_avg * count) / sum(count), 6) AS runtime_avg, 'yes' AS complete
+       {WEIGHTED} AS runtime_avg, 'yes' AS complete
 FROM u JOIN b ON b.hour = u.hour{on} GROUP BY u.sum_date, u.hour, u.rc"""
 
 
 def _day(name, by_dow, by_season):
     @query(name, _day_sql(by_dow, by_season))
     def report(spark, sf):
-        return _six(charts.day_vs_usual(fx.event_hours(spark, sf), fx.H_AS_OF, by_dow, by_season))
+        return charts.day_vs_usual(fx.event_hours(spark, sf), fx.H_AS_OF, by_dow, by_season)
 
     return report
 
@@ -90,10 +86,10 @@ sm AS (SELECT year(sum_date) AS y, month(sum_date) AS m, sum(rc) AS rc FROM st G
 b AS (SELECT m, sum(rc) / 100e0 / count(*) AS runtime_avg FROM sm WHERE y <> 2001 OR m <> 7 GROUP BY 1),
 u AS (SELECT month(sum_date) AS m, sum(rc) AS rc, max(sum_date) AS last_day, row_number() OVER (ORDER BY max(sum_date) DESC) AS row_number
       FROM oh GROUP BY year(sum_date), month(sum_date))
-SELECT strftime(last_day, '%b') AS label, rc / 100e0 / 60 AS runtime, round(b.runtime_avg / 60, 6) AS runtime_avg, 'yes' AS complete, row_number
+SELECT strftime(last_day, '%b') AS label, rc / 100e0 / 60 AS runtime, b.runtime_avg / 60 AS runtime_avg, 'yes' AS complete, row_number
 FROM u JOIN b USING (m) WHERE row_number <= 12""")
 def rpt_monthly(spark, sf):
-    return _six(charts.year_vs_usual(fx.order_hours(spark, sf), fx.order_hours(spark, sf, live=False), fx.O_AS_OF))
+    return charts.year_vs_usual(fx.order_hours(spark, sf), fx.order_hours(spark, sf, live=False), fx.O_AS_OF)
 
 
 @query("rpt_yearly", f"""
@@ -105,9 +101,9 @@ def rpt_yearly(spark, sf):
     return charts.years(fx.order_hours(spark, sf), fx.O_AS_OF)
 
 
-CUM_AVG = """mdh AS (SELECT month(sum_date) AS month, day(sum_date) AS day, hour, sum(rc) / 100e0 / count(*) AS a FROM oh GROUP BY 1, 2, 3),
-ca AS (SELECT CAST(t AS TIMESTAMP) AS timestamp, sum(a) OVER (PARTITION BY mdh.month ORDER BY mdh.day, mdh.hour) AS in_month,
-              sum(a) OVER (ORDER BY mdh.month, mdh.day, mdh.hour) AS in_year
+CUM_AVG = """mdh AS (SELECT month(sum_date) AS month, day(sum_date) AS day, hour, CAST(sum(rc) / 100e0 / count(*) AS DECIMAL(20,8)) AS a FROM oh GROUP BY 1, 2, 3),
+ca AS (SELECT CAST(t AS TIMESTAMP) AS timestamp, CAST(sum(a) OVER (PARTITION BY mdh.month ORDER BY mdh.day, mdh.hour) AS DOUBLE) AS in_month,
+              CAST(sum(a) OVER (ORDER BY mdh.month, mdh.day, mdh.hour) AS DOUBLE) AS in_year
        FROM generate_series(TIMESTAMP '2001-01-01 00:00:00', TIMESTAMP '2001-12-31 23:00:00', INTERVAL 1 HOUR) g(t)
        JOIN mdh ON mdh.month = month(t) AND mdh.day = day(t) AND mdh.hour = hour(t))"""
 
@@ -119,10 +115,9 @@ def averages(spark, sf):
 
 @query("rpt_cumulative_averages", f"""
 WITH {order_hours()}, {CUM_AVG}
-SELECT timestamp, round(in_month, 3) AS monthly_cum_avg_runtime, round(in_year, 3) AS cum_avg_runtime FROM ca""")
+SELECT timestamp, in_month AS monthly_cum_avg_runtime, in_year AS cum_avg_runtime FROM ca""")
 def rpt_cumulative_averages(spark, sf):
-    a = averages(spark, sf)
-    return a.select("timestamp", *[F.round(c, 3).alias(c) for c in a.columns[1:]])
+    return averages(spark, sf)
 
 
 PROJECTION = """day AS (SELECT sum(rc) / 100e0 AS r FROM st WHERE sum_date = DATE '2001-07-15' HAVING count(*) > 0),
@@ -147,11 +142,11 @@ ms AS (SELECT 'measured ' || CAST(year(sum_date) AS VARCHAR) AS curve,
 al AS (SELECT * FROM ms UNION ALL SELECT 'average', timestamp, in_month / 60 FROM ca WHERE month(timestamp) = 7
        UNION ALL (SELECT 'predicted', timestamp, hours FROM ms ORDER BY timestamp DESC LIMIT 1)
        UNION ALL SELECT 'predicted', timestamp, runtime / 60 FROM pj)
-SELECT curve, timestamp, round(hours, 3) AS hours,
+SELECT curve, timestamp, round(hours, 6) AS hours,
        CAST(strftime(timestamp, '2000-%m-%d %H:%M:%S') AS TIMESTAMP) AS plotstamp FROM al""")
 def rpt_month_to_month(spark, sf):
     c = charts.month_curves(fx.order_hours(spark, sf), averages(spark, sf), projection(spark, sf), 7)
-    return c.withColumn("hours", F.round("hours", 3))
+    return c.withColumn("hours", F.round("hours", 6))
 
 
 @query("rpt_year_to_year", f"""
@@ -159,8 +154,8 @@ WITH {order_hours()}, {order_hours(live=False, name='st')}, {CUM_AVG},
 dd AS (SELECT sum_date, sum(rc) AS rc FROM st GROUP BY 1)
 SELECT 'measured ' || CAST(year(sum_date) AS VARCHAR) AS curve, sum_date AS date,
        CAST(sum_date + to_years(CAST(2001 - year(sum_date) AS INTEGER)) AS DATE) AS plotstamp,
-       round(sum(rc) OVER (PARTITION BY year(sum_date) ORDER BY dayofyear(sum_date)) / 100e0 / 60, 3) AS hours FROM dd
-UNION ALL SELECT 'average', CAST(timestamp AS DATE), CAST(timestamp AS DATE), round(max(in_year) / 60, 3) FROM ca GROUP BY 2""")
+       round(sum(rc) OVER (PARTITION BY year(sum_date) ORDER BY dayofyear(sum_date)) / 100e0 / 60, 6) AS hours FROM dd
+UNION ALL SELECT 'average', CAST(timestamp AS DATE), CAST(timestamp AS DATE), round(max(in_year) / 60, 6) FROM ca GROUP BY 2""")
 def rpt_year_to_year(spark, sf):
     c = charts.year_curves(fx.order_hours(spark, sf, live=False), averages(spark, sf), fx.O_AS_OF)
-    return c.withColumn("hours", F.round("hours", 3))
+    return c.withColumn("hours", F.round("hours", 6))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from emberline.catalog.models import HEAT_SQL, SCORED
-from emberline.catalog.registry import BTU, classified, doy_season, query, run_totals
+from emberline.catalog.registry import BTU, doy_season, query, run_totals
 from emberline.plans import closeout, gas
 from emberline.sources import fixtures as fx
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from emberline.functions.calendar import HEATING_SEASON
-from emberline.sources.fixtures import E_END, E_START, H_AS_OF, O_AS_OF, THRESHOLDS
+from emberline.sources.fixtures import H_AS_OF, O_AS_OF, THRESHOLDS
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}

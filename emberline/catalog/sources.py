@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from emberline.catalog.registry import doy_season, event_hours, order_hours, query
 from emberline.functions.calendar import dow, meteorological_season, ntz
-from emberline.operators import quality, rollups, tables
+from emberline.operators import chunks, quality, rollups, tables
 from emberline.plans import charts
 from emberline.session import scratch_path
 from emberline.sources import files, fixtures as fx, series
@@ -144,12 +145,12 @@ _MONTHS = "SELECT year(sum_date) AS year, month(sum_date) AS month, sum(rc) AS r
 
 @query("keyed_update", f"""
 WITH {order_hours()}, m AS ({_MONTHS})
-SELECT year, month, CASE WHEN year >= 2000 THEN rc / 60 / 100e0 ELSE rc / 100e0 END AS runtime,
+SELECT year, month, CASE WHEN year >= 2000 THEN (rc + 50000) / 100e0 ELSE rc / 100e0 END AS runtime,
        year >= 2000 AS changed FROM m""")
 def keyed_update(spark, sf):
-    m = _money(rollups.monthly_sums(fx.order_hours(spark, sf)), "runtime")
-    new = m.where(F.col("year") >= 2000).withColumn("runtime", F.col("runtime") * 100 / 60 / 100)
-    return tables.keyed_update(m, new, ["year", "month"], ["runtime"])
+    m = rollups.monthly_sums(fx.order_hours(spark, sf))
+    new = m.where(F.col("year") >= 2000).withColumn("runtime", F.col("runtime") + 500)
+    return _money(tables.keyed_update(m, new, ["year", "month"], ["runtime"]), "runtime")
 
 
 _SLOTS = """s AS (SELECT hour, arg_max(rc, sum_date) AS rc, max(sum_date) AS d FROM oh GROUP BY hour)"""
@@ -176,8 +177,6 @@ l AS (SELECT month, day, arg_max(v, sum_date) AS v, (list(b ORDER BY sum_date DE
 SELECT month, day, CASE WHEN month = 7 AND day = 15 THEN v ELSE b END AS previous_year,
        CASE WHEN month = 7 AND day = 15 THEN NULL ELSE v END AS current_year FROM l""")
 def year_roll(spark, sf):
-    from pyspark.sql import Window
-
     d = rollups.daily_sums(fx.order_hours(spark, sf)).withColumns({
         "month": F.month("sum_date"), "day": F.dayofmonth("sum_date"), "v": F.col("runtime").cast("double")})
     d = d.withColumn("b", F.lag("v").over(Window.partitionBy("month", "day").orderBy("sum_date")))
@@ -210,7 +209,8 @@ SELECT row_number() OVER (ORDER BY ts, event_id) AS id, event_id,
 def surrogate_key(spark, sf):
     e = files.table(spark, sf, "events").select(
         "event_id", "ts", F.coalesce(F.when(F.col("event_type") != "click", F.col("event_type")), F.lit("none")).alias("status"))
-    return tables.with_surrogate_key(e, "id", F.to_date("ts"), ["ts", "event_id"]).drop("ts")
+    span = chunks.chunk_of(F.col("ts"), chunks.choose_chunk(e, [], "ts") or 86400)
+    return tables.with_surrogate_key(e, "id", span, ["ts", "event_id"]).drop("ts")
 
 
 @query("chart_export", f"""

@@ -42,12 +42,12 @@ def stream_live_hour(spark, sf):
 
 
 @query("hour_close_gaps", f"""
-WITH h AS (SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS at, count(*) AS n FROM events
+WITH h AS (SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS t0, count(*) AS n FROM events
            WHERE event_type = 'view' AND value > 60 GROUP BY 1),
-x AS (SELECT *, lead(at) OVER (ORDER BY at) AS next_at FROM h)
-SELECT CAST(at AS DATE) AS sum_date, hour(at) AS hour, n, next_at,
-       CAST(date_diff('hour', at, next_at) - 1 AS INTEGER) AS hours_skipped, hour(next_at) = (hour(at) + 1) % 24 AS trigger_fires
-FROM x WHERE date_diff('hour', at, next_at) > 1 OR hour(next_at) <> (hour(at) + 1) % 24""")
+x AS (SELECT *, lead(t0) OVER (ORDER BY t0) AS next_at FROM h)
+SELECT CAST(t0 AS DATE) AS sum_date, hour(t0) AS hour, n, next_at,
+       CAST(date_diff('hour', t0, next_at) - 1 AS INTEGER) AS hours_skipped, hour(next_at) = (hour(t0) + 1) % 24 AS trigger_fires
+FROM x WHERE date_diff('hour', t0, next_at) > 1 OR hour(next_at) <> (hour(t0) + 1) % 24""")
 def hour_close_gaps(spark, sf):
     # a sparser feed, in which hours stay silent
     return hourly.hour_close_gaps(table(spark, sf, "events").where("event_type = 'view' AND value > 60"))

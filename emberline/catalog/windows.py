@@ -9,10 +9,9 @@ from emberline.catalog.filters import FILLED, GAPS, filled, with_gaps
 from emberline.catalog.registry import (
     DELIVERIES, EV, PREDICTED, classified, event_hours, order_hours, query,
 )
-from emberline.functions.calendar import ntz
 from emberline.operators import chunks, rollups, runs
 from emberline.operators.states import fixed_state
-from emberline.plans import charts, forecast, inventory
+from emberline.plans import forecast, inventory
 from emberline.sources import fixtures as fx
 
 
@@ -99,7 +98,7 @@ SELECT tie AS event_id, raw, CASE WHEN raw = 'OFF' AND lag(raw) OVER w = 'ON' AN
 FROM s WINDOW w AS (PARTITION BY key ORDER BY ts, tie)""")
 def debounce(spark, sf):
     r = fx.readings(spark, sf).withColumn("raw", fixed_state(F.col("watts"), 40))
-    r = runs.debounce(r.withColumn("status", F.col("raw")), fx.KEY, "status")
+    r = runs.debounce(r.withColumn("status", F.col("raw")), fx.KEY, "status", chunks.choose_chunk(r, fx.KEY, "ts"))
     return r.select(F.col("tie").alias("event_id"), "raw", "status")
 
 

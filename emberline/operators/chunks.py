@@ -118,18 +118,30 @@ def previous(
     seconds: int | None = None,
 ) -> DataFrame:
     """For each ``source: name`` adds the value of the row before, across chunk borders."""
+    return _neighbour(df, keys, order, cols, seconds, F.lag, F.max_by)
+
+
+def following(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: dict[str, str],
+    seconds: int | None = None,
+) -> DataFrame:
+    """For each ``source: name`` adds the value of the row after, across chunk borders."""
+    return _neighbour(df, keys, order, cols, seconds, F.lead, F.min_by)
+
+
+def _neighbour(df, keys, order, cols, seconds, step, edge_by):
     rows = with_chunk(df, order[0], seconds)
     w = ordered(_inside(keys, seconds), order)
-    lagged = {name: F.lag(c).over(w) for c, name in cols.items()}
+    near = {name: step(c).over(w) for c, name in cols.items()}
     if seconds is None:
-        return rows.withColumns(lagged)
-    last = rows.groupBy(*keys, CHUNK).agg(
-        F.max_by(F.struct(*cols), F.struct(*order)).alias("_last"))
-    carry = last.select(
-        *keys, CHUNK, F.lag("_last").over(Window.partitionBy(*keys).orderBy(CHUNK)).alias("_prev"))
-    out = rows.withColumns({**lagged, "_first": F.lag(F.lit(1)).over(w).isNull()})
+        return rows.withColumns(near)
+    # the row at the border of each chunk is the neighbour of the next chunk's outermost row
+    edge = rows.groupBy(*keys, CHUNK).agg(edge_by(F.struct(*cols), F.struct(*order)).alias("_edge"))
+    carry = edge.select(
+        *keys, CHUNK, step("_edge").over(Window.partitionBy(*keys).orderBy(CHUNK)).alias("_far"))
+    out = rows.withColumns({**near, "_alone": step(F.lit(1)).over(w).isNull()})
     out = out.join(carry, [*keys, CHUNK], "left")
     return out.withColumns({
-        name: F.when(F.col("_first"), F.col(f"_prev.{c}")).otherwise(F.col(name))
+        name: F.when(F.col("_alone"), F.col(f"_far.{c}")).otherwise(F.col(name))
         for c, name in cols.items()
-    }).drop("_first", "_prev", CHUNK)
+    }).drop("_alone", "_far", CHUNK)

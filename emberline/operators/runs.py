@@ -161,42 +161,28 @@ def summary(
     return summarize_runs(runs, keys, RUNNING[which])
 
 
-def debounce(rows: DataFrame, keys: Sequence[str], state: str) -> DataFrame:
+def debounce(rows: DataFrame, keys: Sequence[str], state: str, seconds: int | None = None) -> DataFrame:
     """An OFF sample between two ON samples becomes ON."""
-    w = Window.partitionBy(*keys).orderBy("ts", "tie")
-    gap = (F.col(state) == "OFF") & (F.lag(state).over(w) == "ON") & (F.lead(state).over(w) == "ON")
-    return rows.withColumn(state, F.when(gap, "ON").otherwise(F.col(state)))
+    order = ("ts", "tie")
+    rows = chunks.previous(rows, keys, order, {state: "_before"}, seconds)
+    rows = chunks.following(rows, keys, order, {state: "_after"}, seconds)
+    gap = (F.col(state) == "OFF") & (F.col("_before") == "ON") & (F.col("_after") == "ON")
+    return rows.withColumn(state, F.when(gap, "ON").otherwise(F.col(state))).drop("_before", "_after")
 
 
 def fixed_runs(
     readings: DataFrame, keys: Sequence[str], state: Column, smooth: bool = False,
-    seconds: int | None = None,
+    seconds: int | None = AUTO,
 ) -> DataFrame:
     """Runs under a fixed limit: state ON/OFF, optional smoothing, gaps and run ids per key."""
+    if seconds == AUTO:
+        seconds = chunks.choose_chunk(readings, keys, "ts")
     rows = readings.withColumn("system_status", state)
     if smooth:
-        rows = _debounce_chunked(rows, keys, seconds) if seconds else debounce(rows, keys, "system_status")
+        rows = debounce(rows, keys, "system_status", seconds)
     return mark_runs(rows, keys, "system_status", "ON", seconds=seconds)
 
 
-def _debounce_chunked(rows, keys, seconds):
-    before = chunks.previous(rows, keys, ("ts", "tie"), {"system_status": "_before"}, seconds)
-    after = _next_state(before, keys, seconds)
-    gap = (F.col("system_status") == "OFF") & (F.col("_before") == "ON") & (F.col("_after") == "ON")
-    return after.withColumn(
-        "system_status", F.when(gap, "ON").otherwise(F.col("system_status"))).drop("_before", "_after")
-
-
-def _next_state(rows, keys, seconds):
-    c = chunks.CHUNK
-    rows = chunks.with_chunk(rows, "ts", seconds)
-    w = chunks.ordered([*keys, c], ("ts", "tie"))
-    first = rows.groupBy(*keys, c).agg(F.min_by("system_status", F.struct("ts", "tie")).alias("_s"))
-    carry = first.select(*keys, c, F.lead("_s").over(Window.partitionBy(*keys).orderBy(c)).alias("_next"))
-    out = rows.withColumn("_after", F.lead("system_status").over(w)).join(carry, [*keys, c], "left")
-    return out.withColumn("_after", F.coalesce("_after", "_next")).drop("_next", c)
-
-
 def cycle_stats(runs: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Hours, cycles and minutes per cycle of ON runs (kWh over all rows)."""
     us = F.when(F.col("system_status") == "ON", F.col("run_us"))
@@ -207,10 +193,10 @@ def cycle_stats(runs: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
     return t.select(
         *keys,
-        F.round(energy.kwh(F.col("w_us")), 6).alias("kwh"),
-        F.round(minutes(F.col("us")) / 60, 6).alias("total_hours"),
-        F.round(minutes(F.col("us")) / F.col("cycles"), 6).alias("avg_minutes"),
-        F.round(minutes(F.col("lo")), 6).alias("min_minutes"),
-        F.round(minutes(F.col("hi")), 6).alias("max_minutes"),
+        F.round(energy.kwh(F.col("w_us")), 2).alias("kwh"),
+        F.round(minutes(F.col("us")) / 60, 2).alias("total_hours"),
+        F.round(minutes(F.col("us")) / F.col("cycles"), 2).alias("avg_minutes"),
+        F.round(minutes(F.col("lo")), 2).alias("min_minutes"),
+        F.round(minutes(F.col("hi")), 2).alias("max_minutes"),
         F.col("cycles").cast("int").alias("cycles"),
     )

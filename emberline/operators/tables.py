@@ -9,8 +9,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from emberline.functions.calendar import ntz
 
@@ -79,6 +80,11 @@ def with_surrogate_key(df: DataFrame, name: str, group: Column, order: Sequence[
     return numbered.withColumn(name, (F.col("_i") + F.col("_off")).cast("long")).drop("_i", "_off", "_g")
 
 
+def create_days(spark: SparkSession, path: str, schema: StructType, day: str = "sum_date") -> None:
+    """An empty date-partitioned table."""
+    spark.createDataFrame([], schema).write.partitionBy(day).parquet(path)
+
+
 def write_days(df: DataFrame, path: str, day: str = "sum_date") -> None:
     """Replaces the date partitions present in ``df`` and no others."""
     (df.repartition(day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -88,13 +94,13 @@ def write_days(df: DataFrame, path: str, day: str = "sum_date") -> None:
 def upsert_days(path: str, new: DataFrame, keys: Sequence[str], day: str = "sum_date") -> None:
     """Upserts into a date-partitioned parquet table, reading only the touched days.
 
-    Spark keeps no old version while it overwrites, so the merged days go to a sibling folder
-    first and are then put in place.
+    The merged days go to a sibling folder first and are then put in place, so nothing is read
+    from where it is written. Running the same change again gives the same table.
     """
     spark = new.sparkSession
     touched = new.select(day).distinct()
-    old = spark.read.parquet(path)
+    old = spark.read.schema(new.schema).parquet(path)
     old = old.join(touched, day, "left_semi").select(*new.columns)
     staged = f"{path.rstrip('/')}-staged-{uuid.uuid4().hex}"
     upsert(old, new, keys).write.parquet(staged)
-    write_days(spark.read.parquet(staged), path, day)
+    write_days(spark.read.schema(new.schema).parquet(staged), path, day)

@@ -13,7 +13,7 @@ from emberline.functions import energy
 from emberline.functions.calendar import dow, meteorological_season, micros_between, ntz, period_start
 from emberline.operators import chunks, quality, tables
 from emberline.operators.runs import AUTO, PERIOD, summary
-from emberline.sources.series import SEASONS, calendar, integers, slot_grid, spine
+from emberline.sources.series import calendar, integers, slot_grid, spine
 
 
 def closed_end(period: str, as_of: str) -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberline.functions import labels
@@ -14,7 +14,7 @@ from emberline.operators import chunks
 from emberline.operators.runs import (
     AUTO, PERIOD, cycle_stats, finish_runs, fixed_runs, known_states, run_sums, summarize_runs,
 )
-from emberline.operators.states import RUNNING, active_days, fixed_state, in_range
+from emberline.operators.states import RUNNING, active_days, fixed_state
 
 DRYING_LIMIT_W = 415  # fixed value
 

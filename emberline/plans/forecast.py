@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberline.functions.calendar import dow, meteorological_season
-from emberline.operators.rollups import cumulative, daily_sums, monthly_sums
+from emberline.operators.rollups import cumulative
 from emberline.sources.series import spine
 
 # Minutes of runtime as a polynomial of degree days, constant term first,
@@ -98,7 +98,10 @@ def cumulative_averages(mdh: DataFrame, as_of: str) -> DataFrame:
         F.lit(f"{year}-12-31 23:00:00").cast("timestamp_ntz").alias("hi"))
     hours = spine(one, "lo", "hi", "1 HOUR", "timestamp").withColumns({
         "month": F.month("timestamp"), "day": F.dayofmonth("timestamp"), "hour": F.hour("timestamp")})
+    # decimals, so that a running total does not depend on how it is added up
+    mdh = mdh.withColumn("runtime_avg", F.col("runtime_avg").cast("decimal(20,8)"))
     x = hours.join(mdh, ["month", "day", "hour"])
     x = cumulative(x, ["month", "day", "hour"], "runtime_avg", "monthly_cum_avg_runtime", ["month"])
     x = cumulative(x, ["month", "day", "hour"], "runtime_avg", "cum_avg_runtime")
-    return x.select("timestamp", "monthly_cum_avg_runtime", "cum_avg_runtime")
+    return x.select("timestamp", *[
+        F.col(c).cast("double").alias(c) for c in ("monthly_cum_avg_runtime", "cum_avg_runtime")])

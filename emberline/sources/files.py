@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # The seven fields of one day's weather history and their stored names.
 DAILY_WEATHER = {
@@ -21,14 +22,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# How the tab-separated dump format writes characters inside a field.
+ESCAPES = (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r"))
+NULL_MARK = "\\N"
+
+
 def write_tsv(df: DataFrame, path: str) -> None:
-    r"""Tab-separated, no header, ``\N`` for null."""
-    df.write.option("sep", "\t").option("nullValue", "\\N").option("emptyValue", "").csv(path)
+    r"""Tab-separated dump without header: ``\N`` is null, an empty field is an empty text."""
+    def field(c):
+        text = F.col(c).cast("string")
+        for raw, written in ESCAPES:
+            text = F.replace(text, F.lit(raw), F.lit(written))
+        return F.coalesce(text, F.lit(NULL_MARK))
+
+    df.select(F.concat_ws("\t", *[field(c) for c in df.columns])).write.text(path)
 
 
 def read_tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return (spark.read.schema(schema).option("sep", "\t").option("nullValue", "\\N")
-            .option("emptyValue", "").csv(path))
+    """Reads a dump; columns come in the order of ``schema``."""
+    parts = F.split("value", "\t", -1)
+
+    def field(i, kind):
+        text = F.get(parts, F.lit(i))
+        whole = text
+        text = F.replace(text, F.lit("\\\\"), F.lit("\0"))
+        for raw, written in ESCAPES[1:]:
+            text = F.replace(text, F.lit(written), F.lit(raw))
+        text = F.replace(text, F.lit("\0"), F.lit("\\"))
+        return F.when(whole != NULL_MARK, text).cast(kind)
+
+    fields = StructType.fromDDL(schema).fields
+    return spark.read.text(path).select(*[field(i, f.dataType).alias(f.name) for i, f in enumerate(fields)])
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -48,11 +72,11 @@ def read_relation(spark: SparkSession, url: str, relation: str, column: str, low
 
 
 def parse_daily_weather(doc: Column) -> Column:
-    """Struct of typed daily means from a weather history document."""
+    """Struct of typed daily means from a weather history document; an unreadable figure is null."""
     fields = ", ".join(f"{name}: STRING" for name in DAILY_WEATHER)
     parsed = F.from_json(doc, f"history STRUCT<dailysummary: ARRAY<STRUCT<{fields}>>>")
     first = F.get(parsed["history"]["dailysummary"], F.lit(0))
-    return F.struct(*[first[name].cast(kind).alias(to) for name, (to, kind) in DAILY_WEATHER.items()])
+    return F.struct(*[first[name].try_cast(kind).alias(to) for name, (to, kind) in DAILY_WEATHER.items()])
 
 
 def export_chart(df: DataFrame, path: str, chart: str) -> None:

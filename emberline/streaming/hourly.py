@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from emberline.operators.tables import upsert_days, write_days
+from emberline.operators.tables import create_days, upsert_days
 from emberline.session import scratch_path
 
 DELAY = "1 hour"
@@ -51,15 +51,12 @@ def upserted_hours(windows: DataFrame) -> DataFrame:
     """Update mode: each batch's changed hours replace their rows, the open hour included."""
     spark = windows.sparkSession
     out = scratch_path(spark, "live-hours")
+    create_days(spark, out, named_hours(windows).schema)
 
     def merge(batch: DataFrame, number: int) -> None:
-        fresh = named_hours(batch)
-        try:
-            batch.sparkSession.read.parquet(out).schema
-        except Exception:
-            write_days(fresh, out)
-        else:
-            upsert_days(out, fresh, ["sum_date", "hour"])
+        fresh = named_hours(batch).persist()
+        upsert_days(out, fresh, ["sum_date", "hour"])
+        fresh.unpersist()
 
     run_to_end(windows.writeStream.outputMode("update").foreachBatch(merge), spark, "live-hours")
     return spark.read.parquet(out)
@@ -80,8 +77,6 @@ def hour_close_gaps(readings: DataFrame) -> DataFrame:
     0), counted without the date. A longer silence leaves the last hour before it unsummed, or
     sums a wrong one. Works on one row per hour with readings.
     """
-    from pyspark.sql import Window
-
     hours = readings.groupBy(F.to_date("ts").alias("sum_date"), F.hour("ts").alias("hour")).agg(
         F.count("*").alias("n"))
     at = F.timestamp_add("HOUR", F.col("hour"), F.col("sum_date").cast("timestamp_ntz"))
