@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from emberline.catalog.registry import BTU, EV, GAL, classified, order_hours, query
 from emberline.functions import energy
-from emberline.functions.calendar import dow, meteorological_season
+from emberline.functions.calendar import dow, meteorological_season, micros_between
 from emberline.operators import chunks, model, rollups, runs, states
 from emberline.plans.forecast import curve_value
 from emberline.sources import files, fixtures as fx
@@ -94,7 +94,7 @@ def with_gaps(spark, sf, seconds=runs.AUTO):
     if seconds == runs.AUTO:
         seconds = chunks.choose_chunk(r, fx.KEY, "ts")
     r = chunks.previous(r, fx.KEY, ("ts", "tie"), {"ts": "_before"}, seconds)
-    return r.withColumn("gap_us", F.timestamp_diff("MICROSECOND", F.col("_before"), F.col("ts"))).drop("_before")
+    return r.withColumn("gap_us", micros_between(F.col("_before"), F.col("ts"))).drop("_before")
 
 
 GAPS = f"""{EV}, gp AS (

@@ -9,6 +9,7 @@ from emberline.catalog.filters import FILLED, GAPS, filled, with_gaps
 from emberline.catalog.registry import (
     DELIVERIES, EV, PREDICTED, classified, event_hours, order_hours, query,
 )
+from emberline.functions.calendar import micros_between
 from emberline.operators import chunks, rollups, runs
 from emberline.operators.states import fixed_state
 from emberline.plans import forecast, inventory
@@ -174,7 +175,7 @@ c AS (SELECT ts, CAST(sum(w) OVER (ORDER BY ts, tie ROWS UNBOUNDED PRECEDING) AS
 SELECT x AS limit_kwh, min(ts) FILTER (WHERE kwh > x) AS crossed FROM c, (VALUES (1e0), (10e0), (20e0), (99999e0)) v(x) GROUP BY x""")
 def first_crossing(spark, sf):
     r = chunks.previous(fx.one_device(fx.readings(spark, sf)), [], ("ts", "tie"), {"ts": "_before"}, 21600)
-    w_us = F.col("watts").cast("decimal(14,2)") * F.timestamp_diff("MICROSECOND", F.col("_before"), F.col("ts"))
+    w_us = F.col("watts").cast("decimal(14,2)") * micros_between(F.col("_before"), F.col("ts"))
     r = chunks.running_sum(r, [], ("ts", "tie"), w_us, "total", 21600)
     kwh = F.col("total").cast("double") / 3.6e12
     limits = (1.0, 10.0, 20.0, 99999.0)

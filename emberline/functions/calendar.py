@@ -45,12 +45,21 @@ def previous_period(period: str, now: Column) -> tuple[Column, Column]:
 
 
 def micros_between(a: Column, b: Column) -> Column:
-    """Whole microseconds from ``a`` to ``b``; independent of the session zone."""
-    return F.timestamp_diff("MICROSECOND", a, b)
+    """Whole microseconds from ``a`` to ``b``.
+
+    A difference of zone-less timestamps stays clear of the session zone, whose clock changes
+    would otherwise lengthen or shorten gaps.
+    """
+    seconds = (b - a).cast("interval second").cast("decimal(18,6)")
+    return (seconds * 1_000_000).cast("long")
+
+
+def epoch_micros(ts: Column) -> Column:
+    return micros_between(ntz("1970-01-01 00:00:00"), ts)
 
 
 def epoch_seconds(ts: Column) -> Column:
-    return F.timestamp_diff("SECOND", ntz("1970-01-01 00:00:00"), ts)
+    return F.floor(epoch_micros(ts) / 1_000_000)
 
 
 def days_in_month(d: Column) -> Column:

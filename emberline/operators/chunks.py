@@ -9,12 +9,14 @@ state, last reading, running totals) travels through a summary with one row per
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberline.functions.calendar import epoch_seconds
+from emberline.functions.calendar import epoch_micros
 
+US = 1_000_000
 MAX_ROWS_PER_TASK = 2_000_000
 CHUNK_CHOICES = (86400, 21600, 3600, 600, 60, 10, 1)
 PERIOD_SECONDS = {"hour": 3600, "day": 86400, "month": 86400, "year": 86400, None: 86400}
@@ -22,8 +24,9 @@ CHUNK = "_chunk"
 
 
 def chunk_of(ts: Column, seconds: int) -> Column:
-    """Number of the ``seconds``-long chunk that holds ``ts``, counted from 1970."""
-    return F.floor(epoch_seconds(ts) / seconds)
+    """Start of the ``seconds``-long chunk that holds ``ts``, in microseconds from 1970."""
+    at = epoch_micros(ts)
+    return at - F.pmod(at, F.lit(seconds * US))
 
 
 def choose_chunk(
@@ -32,10 +35,13 @@ def choose_chunk(
 ) -> int | None:
     """Chunk length in seconds, or None where every key fits one task whole.
 
-    Counts rows per (key, hour) with map-side combine; one row reaches the driver.
+    A table that fits one task altogether needs no closer look. Otherwise rows are counted per
+    (key, hour) with map-side combine and one row reaches the driver.
     """
+    if df.count() <= max_rows:
+        return None
     hourly = df.groupBy(*keys, chunk_of(F.col(ts), 3600).alias("h")).agg(F.count("*").alias("n"))
-    daily = hourly.groupBy(*keys, F.floor(F.col("h") / 24).alias("d")).agg(
+    daily = hourly.groupBy(*keys, (F.col("h") - F.pmod("h", F.lit(86400 * US))).alias("d")).agg(
         F.sum("n").alias("n"), F.max("n").alias("hour_max"))
     top = daily.groupBy(*keys).agg(
         F.sum("n").alias("n"), F.max("n").alias("day_max"), F.max("hour_max").alias("hour_max"),
@@ -53,8 +59,14 @@ def choose_chunk(
 
 
 def with_chunk(df: DataFrame, ts: str, seconds: int | None) -> DataFrame:
-    """Adds the chunk number; a series that is not split is one chunk."""
-    return df if seconds is None else df.withColumn(CHUNK, chunk_of(F.col(ts), seconds))
+    """Adds the chunk number once; a series that is not split is one chunk.
+
+    The column stays on the rows from scan to scan: as long as it is the same column, Spark sees
+    that the rows are already partitioned by it and shuffles them only once.
+    """
+    if seconds is None or CHUNK in df.columns:
+        return df
+    return df.withColumn(CHUNK, chunk_of(F.col(ts), seconds))
 
 
 def ordered(keys: Sequence[str], order: Sequence[str]):
@@ -69,29 +81,46 @@ def before_here(w):
     return w.rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _inside(keys, seconds):
+def along_chunks(keys: Sequence[str]):
+    """Over a summary with one row per (key, chunk)."""
+    return Window.partitionBy(*keys).orderBy(CHUNK)
+
+
+def inside(keys: Sequence[str], seconds: int | None) -> list[str]:
     return [*keys] if seconds is None else [*keys, CHUNK]
 
 
+def attach(rows: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Brings the per-chunk summary to the rows. Both sides are partitioned alike already."""
+    return rows.join(carry, [*keys, CHUNK], "left")
+
+
+def _done(rows: DataFrame, given: DataFrame) -> DataFrame:
+    return rows if CHUNK in given.columns else rows.drop(CHUNK)
+
+
 def fill_forward(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
     seconds: int | None = None,
 ) -> DataFrame:
-    """Replaces each column by its last non-null value up to the row."""
+    """Replaces each column by its last non-null value up to the row. Keys must be known."""
     rows = with_chunk(df, order[0], seconds)
-    w = up_to_here(ordered(_inside(keys, seconds), order))
+    w = up_to_here(ordered(inside(keys, seconds), order))
     filled = {c: F.last(c, ignorenulls=True).over(w) for c in cols}
     if seconds is None:
         return rows.withColumns(filled)
+    # The last value of a chunk comes from the rows that have one, often a small part of all.
+    known = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in cols])
     position = F.struct(*order)
-    last = rows.groupBy(*keys, CHUNK).agg(
+    last = rows.where(known).groupBy(*keys, CHUNK).agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), position)).alias(c) for c in cols])
-    earlier = before_here(Window.partitionBy(*keys).orderBy(CHUNK))
-    carry = last.select(
+    every = rows.select(*keys, CHUNK).distinct()
+    earlier = before_here(along_chunks(keys))
+    carry = every.join(last, [*keys, CHUNK], "left").select(
         *keys, CHUNK, *[F.last(c, ignorenulls=True).over(earlier).alias(f"_in_{c}") for c in cols])
-    out = rows.withColumns(filled).join(carry, [*keys, CHUNK], "left")
-    return out.withColumns({c: F.coalesce(c, f"_in_{c}") for c in cols}).drop(
-        CHUNK, *[f"_in_{c}" for c in cols])
+    out = attach(rows.withColumns(filled), carry, keys)
+    out = out.withColumns({c: F.coalesce(c, f"_in_{c}") for c in cols})
+    return _done(out.drop(*[f"_in_{c}" for c in cols]), df)
 
 
 def running_sum(
@@ -100,17 +129,16 @@ def running_sum(
 ) -> DataFrame:
     """Running total. ``peers`` gives rows of equal order the same total (the SQL default frame)."""
     rows = with_chunk(df.withColumn("_x", F.col(col) if isinstance(col, str) else col), order[0], seconds)
-    w = ordered(_inside(keys, seconds), order)
+    w = ordered(inside(keys, seconds), order)
     total = F.sum("_x").over(w if peers else up_to_here(w))
     if seconds is None:
         return rows.withColumn(name, total).drop("_x")
     part = rows.groupBy(*keys, CHUNK).agg(F.sum("_x").alias("_p"))
     offset = part.select(
-        *keys, CHUNK, F.sum("_p").over(before_here(Window.partitionBy(*keys).orderBy(CHUNK))).alias("_off"))
-    out = rows.withColumn("_s", total)
-    out = out.join(offset, [*keys, CHUNK], "left")
+        *keys, CHUNK, F.sum("_p").over(before_here(along_chunks(keys))).alias("_off"))
+    out = attach(rows.withColumn("_s", total), offset, keys)
     both = F.coalesce(F.col("_s") + F.col("_off"), F.col("_s"), F.col("_off"))
-    return out.withColumn(name, both).drop("_x", "_s", "_off", CHUNK)
+    return _done(out.withColumn(name, both).drop("_x", "_s", "_off"), df)
 
 
 def previous(
@@ -118,7 +146,7 @@ def previous(
     seconds: int | None = None,
 ) -> DataFrame:
     """For each ``source: name`` adds the value of the row before, across chunk borders."""
-    return _neighbour(df, keys, order, cols, seconds, F.lag, F.max_by)
+    return _neighbour(df, keys, order, cols, seconds, F.lag, F.lead)
 
 
 def following(
@@ -126,22 +154,22 @@ def following(
     seconds: int | None = None,
 ) -> DataFrame:
     """For each ``source: name`` adds the value of the row after, across chunk borders."""
-    return _neighbour(df, keys, order, cols, seconds, F.lead, F.min_by)
+    return _neighbour(df, keys, order, cols, seconds, F.lead, F.lag)
 
 
-def _neighbour(df, keys, order, cols, seconds, step, edge_by):
+def _neighbour(df, keys, order, cols, seconds, step, back):
     rows = with_chunk(df, order[0], seconds)
-    w = ordered(_inside(keys, seconds), order)
+    w = ordered(inside(keys, seconds), order)
     near = {name: step(c).over(w) for c, name in cols.items()}
     if seconds is None:
         return rows.withColumns(near)
-    # the row at the border of each chunk is the neighbour of the next chunk's outermost row
-    edge = rows.groupBy(*keys, CHUNK).agg(edge_by(F.struct(*cols), F.struct(*order)).alias("_edge"))
-    carry = edge.select(
-        *keys, CHUNK, step("_edge").over(Window.partitionBy(*keys).orderBy(CHUNK)).alias("_far"))
-    out = rows.withColumns({**near, "_alone": step(F.lit(1)).over(w).isNull()})
-    out = out.join(carry, [*keys, CHUNK], "left")
-    return out.withColumns({
+    one = F.lit(1)
+    rows = rows.withColumns({
+        **near, "_alone": step(one).over(w).isNull(), "_edge": back(one).over(w).isNull()})
+    # the outermost row of a chunk is the neighbour of the next chunk's outermost row
+    edge = rows.where("_edge").select(*keys, CHUNK, F.struct(*cols).alias("_far"))
+    carry = edge.withColumn("_far", step("_far").over(along_chunks(keys)))
+    out = attach(rows, carry, keys).withColumns({
         name: F.when(F.col("_alone"), F.col(f"_far.{c}")).otherwise(F.col(name))
-        for c, name in cols.items()
-    }).drop("_alone", "_far", CHUNK)
+        for c, name in cols.items()})
+    return _done(out.drop("_alone", "_edge", "_far"), df)

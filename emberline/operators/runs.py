@@ -45,31 +45,32 @@ def mark_runs(
 
 def _mark_runs_chunked(rows, keys, state, running, seconds):
     c = chunks.CHUNK
+    given = rows
     rows = chunks.with_chunk(rows, "ts", seconds)
     w = chunks.ordered([*keys, c], ("ts", "tie"))
+    so_far = chunks.up_to_here(w)
     runs_on = F.col(state) == running
-    rows = rows.withColumns({"_pts": F.lag("ts").over(w), "_ps": F.lag(state).over(w)})
-    rows = rows.withColumn("_start", F.when(runs_on & (F.col("_ps") != running), 1).otherwise(0))
-    rows = rows.withColumn("_n", F.sum("_start").over(chunks.up_to_here(w)))
-    # one row per chunk: how it begins, how it ends, how many runs start inside
-    edge = rows.groupBy(*keys, c).agg(
-        F.min_by(F.struct(F.col(state).alias("s")), F.struct("ts", "tie")).alias("first"),
-        F.max_by(F.struct("ts", F.col(state).alias("s")), F.struct("ts", "tie")).alias("last"),
-        F.sum("_start").alias("inside"),
-    )
-    wc = Window.partitionBy(*keys).orderBy(c)
-    edge = edge.withColumn("_prev", F.lag("last").over(wc))
-    at_border = F.when((F.col("first.s") == running) & (F.col("_prev.s") != running), 1).otherwise(0)
+    rows = rows.withColumns({
+        "_pts": F.lag("ts").over(w), "_ps": F.lag(state).over(w),
+        "_first": F.first(state).over(so_far), "_end": F.lead(F.lit(1)).over(w).isNull(),
+    })
+    start = F.when(runs_on & (F.col("_ps") != running), 1).otherwise(0)
+    rows = rows.withColumn("_n", F.sum(start).over(so_far))
+    # a chunk's last row knows how the chunk begins, how it ends and how many runs start inside
+    wc = chunks.along_chunks(keys)
+    edge = rows.where("_end").select(
+        *keys, c, "_first", F.col("_n").alias("_inside"),
+        F.lag(F.struct("ts", F.col(state).alias("s"))).over(wc).alias("_prev"))
+    at_border = F.when((F.col("_first") == running) & (F.col("_prev.s") != running), 1).otherwise(0)
     edge = edge.withColumn("_border", at_border)
     carry = edge.select(
         *keys, c, "_prev", "_border",
-        F.coalesce(F.sum(F.col("inside") + F.col("_border")).over(chunks.before_here(wc)), F.lit(0)).alias("_off"),
-    )
-    out = rows.join(carry, [*keys, c], "left")
-    return out.withColumns({
+        F.coalesce(F.sum(F.col("_inside") + F.col("_border")).over(chunks.before_here(wc)), F.lit(0)).alias("_off"))
+    out = chunks.attach(rows.drop("_first", "_end"), carry, keys).withColumns({
         "_pts": F.coalesce("_pts", "_prev.ts"),
         "_n": F.col("_n") + F.col("_off") + F.col("_border"),
-    }).drop(c, "_prev", "_border", "_off", "_start")
+    }).drop("_prev", "_border", "_off")
+    return out if c in given.columns else out.drop(c)
 
 
 def classify_runs(
@@ -89,11 +90,18 @@ def classify_runs(
 
 
 def known_states(readings, log, thresholds, keys, start, end, period=None, closed=False, seconds=AUTO):
-    """Readings of the range with main status and thresholds, and the chunk length to go on with."""
+    """Readings of the range with main status and thresholds, and the chunk length to go on with.
+
+    Readings without a device or without power belong to no run and are left out.
+    """
     rows = in_range(readings, "ts", start, end, closed).where(F.col("watts").isNotNull())
+    log = in_before(log, end)
+    for k in keys:
+        rows, log = rows.where(F.col(k).isNotNull()), log.where(F.col(k).isNotNull())
     if seconds == AUTO:
         seconds = chunks.choose_chunk(rows, keys, "ts", period)
-    rows = status_as_of(rows, in_before(log, end), keys, start, seconds)
+    rows = chunks.with_chunk(rows, "ts", seconds)
+    rows = status_as_of(rows, log, keys, start, seconds)
     rows = threshold_as_of(rows, thresholds, end)
     if period is not None:
         rows = rows.withColumn(PERIOD, period_start(period, F.col("ts")))
@@ -111,7 +119,7 @@ def finish_runs(rows: DataFrame, keys: Sequence[str], which: str, period: str |
     return rows.withColumns({
         "btu": F.when(burning, energy.btu(fuel_us)).otherwise(F.lit(0.0)),
         "gallons": F.when(burning, energy.gallons(fuel_us)).otherwise(F.lit(0.0)),
-    }).drop("hi", "lo")
+    }).drop("hi", "lo", chunks.CHUNK)
 
 
 def run_sums(classified: DataFrame, keys: Sequence[str], cap: bool = True) -> DataFrame:
@@ -178,9 +186,10 @@ def fixed_runs(
     if seconds == AUTO:
         seconds = chunks.choose_chunk(readings, keys, "ts")
     rows = readings.withColumn("system_status", state)
+    rows = chunks.with_chunk(rows, "ts", seconds)
     if smooth:
         rows = debounce(rows, keys, "system_status", seconds)
-    return mark_runs(rows, keys, "system_status", "ON", seconds=seconds)
+    return mark_runs(rows, keys, "system_status", "ON", seconds=seconds).drop(chunks.CHUNK)
 
 
 def cycle_stats(runs: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberline.functions.calendar import ntz
+from emberline.functions.calendar import micros_between, ntz
 from emberline.operators import chunks
 
 RUNNING = {"hi": "boiler", "lo": "circulator"}
@@ -70,7 +70,8 @@ def status_as_of(
 ) -> DataFrame:
     """Adds ``main_status``: the last log entry at or before each reading (log wins a tie).
 
-    Log entries older than ``start`` count too; they give the state at the start.
+    Log entries older than ``start`` count too; they give the state at the start. Where the scan
+    is split into chunks, the rows keep their chunk number for the scans that follow.
     Only the last of them per key matters, so the rest is dropped before the scan.
     """
     marks = log.select(*keys, "ts", "tie", F.col("status").alias("_status"))
@@ -80,6 +81,8 @@ def status_as_of(
             F.max_by(F.struct("ts", "tie", "_status"), F.struct("ts", "tie")).alias("l")
         ).where(F.col("l").isNotNull()).select(*keys, "l.ts", "l.tie", "l._status")
         marks = marks.where(F.col("ts") >= ntz(start)).unionByName(initial)
+    marks = chunks.with_chunk(marks, "ts", seconds)
+    readings = chunks.with_chunk(readings, "ts", seconds)
     rows = (
         readings.withColumn("_kind", F.lit(1))
         .unionByName(marks.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
@@ -145,8 +148,8 @@ def fill_status(
     rows = in_range(readings, "ts", start, end)
     rows = status_as_of(rows, in_before(log, end), keys, start, seconds)
     rows = chunks.previous(rows, keys, ("ts", "tie"), {"ts": "_before"}, seconds)
-    gap = F.timestamp_diff("MICROSECOND", F.col("_before"), F.col("ts"))
-    return rows.withColumn("gap_us", gap).drop("_before").withColumnRenamed("main_status", "status")
+    return rows.withColumn("gap_us", micros_between(F.col("_before"), F.col("ts"))).drop(
+        "_before", chunks.CHUNK).withColumnRenamed("main_status", "status")
 
 
 def in_before(df: DataFrame, end: str, ts: str = "ts") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberline.functions import labels
-from emberline.functions.calendar import at_hour, dow, month_season
+from emberline.functions.calendar import at_hour, dow, micros_between, month_season
 from emberline.operators import rollups
 from emberline.operators.rollups import cumulative, latest, recency, weighted_mean
 
@@ -104,8 +104,8 @@ def plot_stamp(ts: Column, year: int) -> Column:
     """The same clock time in a common year; 29 February falls on the 28th if that has none."""
     shift = (F.lit(year) - F.year(ts)) * 12
     day = F.add_months(F.to_date(ts), shift)
-    seconds = F.timestamp_diff("SECOND", F.to_date(ts).cast("timestamp_ntz"), ts)
-    return F.timestamp_add("SECOND", seconds, day.cast("timestamp_ntz"))
+    since_midnight = micros_between(F.to_date(ts).cast("timestamp_ntz"), ts)
+    return F.timestamp_add("MICROSECOND", since_midnight, day.cast("timestamp_ntz"))
 
 
 def month_curves(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from emberline.functions.calendar import micros_between
 from emberline.operators.tables import create_days, upsert_days
 from emberline.session import scratch_path
 
@@ -83,7 +84,7 @@ def hour_close_gaps(readings: DataFrame) -> DataFrame:
     hours = hours.withColumn("at", at)
     w = Window.partitionBy(F.lit(0)).orderBy("at")
     hours = hours.withColumn("next_at", F.lead("at").over(w))
-    skipped = (F.timestamp_diff("HOUR", F.col("at"), F.col("next_at")) - 1).cast("int")
+    skipped = (F.floor(micros_between(F.col("at"), F.col("next_at")) / 3_600_000_000) - 1).cast("int")
     rolls = F.hour("next_at") == (F.col("hour") + 1) % 24
     return hours.where((skipped > 0) | ~rolls).select(
         "sum_date", "hour", "n", "next_at", skipped.alias("hours_skipped"), rolls.alias("trigger_fires"))

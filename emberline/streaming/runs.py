@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from emberline.functions.calendar import epoch_micros
 from emberline.operators.states import RUNNING, threshold_as_of, threshold_state
 from emberline.session import scratch_path
 from emberline.streaming.hourly import run_to_end
@@ -68,7 +69,7 @@ def stream_runs(readings: DataFrame, log: DataFrame, thresholds: DataFrame, whic
         threshold_state(F.lit("ON"), F.col("watts"), F.col(which), running).alias("if_on"))
     m = log.select("key", "ts", "tie", F.lit(0).alias("kind"), "status", F.lit(None).cast("string").alias("if_on"))
     both = r.unionByName(m).withColumn(
-        "us", F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts")))
+        "us", epoch_micros(F.col("ts")))
     out = both.drop("ts").groupBy("key").applyInPandasWithState(
         _advance(running), OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout)
     path = scratch_path(spark, "runs")
