@@ -124,7 +124,7 @@ def _is_on(name, which):
 WITH {EV}, {THR}, t AS (SELECT {which} AS x FROM thr ORDER BY change_time DESC LIMIT 1)
 SELECT key, arg_max(watts, ROW(ts, tie)) >= (SELECT x FROM t) AS is_on FROM ev GROUP BY key""")
     def report(spark, sf):
-        last = fx.readings(spark, sf).groupBy("key").agg(F.max_by("watts", F.struct("ts", "tie")).alias("watts"))
+        last = rollups.newest_reading(fx.readings(spark, sf), fx.KEY)
         limit = rollups.latest(fx.thresholds(spark), ["change_time"], 1).select(which)
         return last.select("key", (F.col("watts") >= limit.scalar()).alias("is_on"))
 

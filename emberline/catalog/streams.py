@@ -65,3 +65,15 @@ def stream_runs(spark, sf):
     out = runs.stream_runs(r, log, fx.thresholds(spark), "hi", fx.E_END)
     return out.select("key", F.col("tie").alias("event_id"), "main_status", "system_status",
                       (F.col("gap_us") / 1e6).alias("tdiff"), "run_id")
+
+
+@query("stream_runs_by_batch", f"""
+WITH {classified('hi')} SELECT key, tie AS event_id, main_status, system_status, gap_us / 1e6 AS tdiff, run_id FROM cls""")
+def stream_runs_by_batch(spark, sf):
+    feed = hourly.feed(spark, sf, "events.parquet").select(
+        F.col("user_id").alias("key"), "ts", F.col("event_id").alias("tie"),
+        F.col("value").cast("decimal(10,2)").alias("watts"),
+        F.when(F.col("event_type") == "signup", "ON").when(F.col("event_type") == "error", "OFF").alias("status"))
+    out = runs.stream_runs_by_batch(feed, fx.thresholds(spark), "hi", fx.E_START, fx.E_END)
+    return out.select("key", F.col("tie").alias("event_id"), "main_status", "system_status",
+                      (F.col("gap_us") / 1e6).alias("tdiff"), "run_id")

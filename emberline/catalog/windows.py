@@ -9,7 +9,7 @@ from emberline.catalog.filters import FILLED, GAPS, filled, with_gaps
 from emberline.catalog.registry import (
     DELIVERIES, EV, PREDICTED, classified, event_hours, order_hours, query,
 )
-from emberline.functions.calendar import micros_between
+from emberline.functions.calendar import instant_order, micros_between
 from emberline.operators import chunks, rollups, runs
 from emberline.operators.states import fixed_state
 from emberline.plans import forecast, inventory
@@ -38,9 +38,9 @@ def ffill(spark, sf):
 def run_edges(spark, sf):
     c = runs.classify_runs(*feed(spark, sf), "hi", fx.E_START, fx.E_END)
     # the first row of each id above 0 is the edge
-    first = c.where((F.col("system_status") == "boiler") & (F.col("run_id") > 0)).groupBy("key", "run_id").agg(
-        F.min(F.struct("ts", "tie")).alias("f"))
-    return first.select("key", F.col("f.tie").alias("event_id"), "f.ts")
+    at = instant_order(F.col("ts"), F.col("tie"))
+    return c.where((F.col("system_status") == "boiler") & (F.col("run_id") > 0)).groupBy("key", "run_id").agg(
+        F.min_by("tie", at).alias("event_id"), F.min("ts").alias("ts")).drop("run_id")
 
 
 CLASSIFIED = "SELECT key, tie AS event_id, main_status, system_status, gap_us / 1e6 AS tdiff, run_id FROM cls"
@@ -192,8 +192,7 @@ def topk_recent(spark, sf):
 
 @query("latest_row", f"WITH {EV} SELECT key, max(ts) AS ts, CAST(arg_max(watts, ROW(ts, tie)) AS DOUBLE) AS watts FROM ev GROUP BY key")
 def latest_row(spark, sf):
-    last = fx.readings(spark, sf).groupBy("key").agg(F.max_by(F.struct("ts", "watts"), F.struct("ts", "tie")).alias("n"))
-    return last.select("key", "n.ts", F.col("n.watts").cast("double").alias("watts"))
+    return rollups.newest_reading(fx.readings(spark, sf), fx.KEY).withColumn("watts", F.col("watts").cast("double"))
 
 
 @query("topn_rank", f"""

@@ -58,6 +58,11 @@ def epoch_micros(ts: Column) -> Column:
     return micros_between(ntz("1970-01-01 00:00:00"), ts)
 
 
+def instant_order(ts: Column, tie: Column) -> Column:
+    """Time and tie as one number. Unlike a struct it lets max_by run as a hash aggregate."""
+    return epoch_micros(ts).cast("decimal(38,0)") * F.lit("10000000000000000000").cast("decimal(20,0)") + tie
+
+
 def epoch_seconds(ts: Column) -> Column:
     return F.floor(epoch_micros(ts) / 1_000_000)
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from emberline.functions.calendar import dow, season_dimension
+from emberline.functions.calendar import dow, instant_order, season_dimension
 
 
 def ratio(total: str | Column, n: str | Column) -> Column:
@@ -104,6 +104,12 @@ def latest(df: DataFrame, order: Sequence[str], k: int) -> DataFrame:
     return df.orderBy(*[F.col(c).desc() for c in order]).limit(k)
 
 
+def newest_reading(readings: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Time and power of each device's last reading."""
+    at = instant_order(F.col("ts"), F.col("tie"))
+    return readings.groupBy(*keys).agg(F.max("ts").alias("ts"), F.max_by("watts", at).alias("watts"))
+
+
 def recency(df: DataFrame, order: Sequence, keys: Sequence[str] = (), name: str = "row_number") -> DataFrame:
     """1 for the newest row. Meant for rollups, whose rows per key the calendar bounds."""
     w = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*[F.col(c).desc() for c in order])

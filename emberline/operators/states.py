@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberline.functions.calendar import micros_between, ntz
+from emberline.functions.calendar import instant_order, micros_between, ntz
 from emberline.operators import chunks
 
 RUNNING = {"hi": "boiler", "lo": "circulator"}
@@ -64,6 +64,22 @@ def furnace_mode_unlogged(watts: Column) -> Column:
 # ---- status as of a reading -------------------------------------------------------------
 
 
+def is_on(status: Column) -> Column:
+    """ON / OFF as a boolean: narrower in a shuffle, and max_by over it is a hash aggregate."""
+    return F.when(status == "ON", True).when(status == "OFF", False)
+
+
+def on_off(flag: Column) -> Column:
+    return F.when(flag, "ON").when(~flag, "OFF")
+
+
+def last_status(name: str = "status") -> Column:
+    """Aggregate: the newest known status of (ts, tie, status) rows."""
+    known = is_on(F.col("status"))
+    at = F.when(known.isNotNull(), instant_order(F.col("ts"), F.col("tie")))
+    return on_off(F.max_by(known, at)).alias(name)
+
+
 def status_as_of(
     readings: DataFrame, log: DataFrame, keys: Sequence[str], start: str | None = None,
     seconds: int | None = None,
@@ -74,21 +90,21 @@ def status_as_of(
     is split into chunks, the rows keep their chunk number for the scans that follow.
     Only the last of them per key matters, so the rest is dropped before the scan.
     """
-    marks = log.select(*keys, "ts", "tie", F.col("status").alias("_status"))
+    marks = log.select(*keys, "ts", "tie", is_on(F.col("status")).alias("_on"))
     if start is not None:
-        old = marks.where((F.col("ts") < ntz(start)) & F.col("_status").isNotNull())
+        old = marks.where((F.col("ts") < ntz(start)) & F.col("_on").isNotNull())
+        at = instant_order(F.col("ts"), F.col("tie"))
         initial = old.groupBy(*keys).agg(
-            F.max_by(F.struct("ts", "tie", "_status"), F.struct("ts", "tie")).alias("l")
-        ).where(F.col("l").isNotNull()).select(*keys, "l.ts", "l.tie", "l._status")
-        marks = marks.where(F.col("ts") >= ntz(start)).unionByName(initial)
+            F.max("ts").alias("ts"), F.max_by("tie", at).alias("tie"), F.max_by("_on", at).alias("_on"))
+        marks = marks.where(F.col("ts") >= ntz(start)).unionByName(initial.where(F.col("ts").isNotNull()))
     marks = chunks.with_chunk(marks, "ts", seconds)
     readings = chunks.with_chunk(readings, "ts", seconds)
     rows = (
         readings.withColumn("_kind", F.lit(1))
         .unionByName(marks.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
     )
-    rows = chunks.fill_forward(rows, keys, ("ts", "_kind", "tie"), ("_status",), seconds)
-    return rows.where(F.col("_kind") == 1).drop("_kind").withColumnRenamed("_status", "main_status")
+    rows = chunks.fill_forward(rows, keys, ("ts", "_kind", "tie"), ("_on",), seconds)
+    return rows.where(F.col("_kind") == 1).withColumn("main_status", on_off(F.col("_on"))).drop("_kind", "_on")
 
 
 def initial_value(log: DataFrame, keys: Sequence[str], start: str, col: str, ts: str = "ts") -> DataFrame:
@@ -135,8 +151,7 @@ def bucket_join(
 ) -> DataFrame:
     """Gives every reading the last log entry of its own time bucket, null where there is none."""
     cut = F.date_trunc(bucket, F.col("ts")).cast("timestamp_ntz")
-    last = log.groupBy(*keys, cut.alias("_bucket")).agg(
-        F.max_by("status", F.struct("ts", "tie")).alias("status"))
+    last = log.groupBy(*keys, cut.alias("_bucket")).agg(last_status())
     return readings.withColumn("_bucket", cut).join(last, [*keys, "_bucket"], "left").drop("_bucket")
 
 
@@ -162,8 +177,7 @@ def active_days(days: DataFrame, log: DataFrame, keys: Sequence[str]) -> DataFra
     ``days`` holds (keys, date). The log is first reduced to one row per (key, date).
     """
     daily = log.groupBy(*keys, F.to_date("ts").alias("date")).agg(
-        F.max_by("status", F.struct("ts", "tie")).alias("last_status"),
-        F.count("status").alias("changes"),
+        last_status("last_status"), F.count("status").alias("changes"),
     )
     both = days.select(*keys, "date", F.lit(True).alias("_asked")).unionByName(daily, allowMissingColumns=True)
     both = both.groupBy(*keys, "date").agg(

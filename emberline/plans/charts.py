@@ -94,10 +94,11 @@ BACKFILL_MINUTES = {2016: 46048.72230754999999996671}
 
 def years(hourly: DataFrame, as_of: str) -> DataFrame:
     """Each year in hours; the current one beside the prior year to date."""
-    prior = prior_year_to_date(hourly, as_of, BACKFILL_MINUTES).withColumnRenamed("runtime", "_p")
-    return rollups.yearly_sums(hourly).join(prior, "year", "left").select(
+    prior = prior_year_to_date(hourly, as_of, BACKFILL_MINUTES).select("runtime").scalar()
+    return rollups.yearly_sums(hourly).select(
         F.col("year").alias("label"), (amount() / 60).alias("runtime"),
-        (F.col("_p") / 60).alias("previous_yeartodate_runtime"), F.lit("yes").alias("complete"))
+        F.when(F.col("year") == int(as_of[:4]), prior / 60).alias("previous_yeartodate_runtime"),
+        F.lit("yes").alias("complete"))
 
 
 def plot_stamp(ts: Column, year: int) -> Column:

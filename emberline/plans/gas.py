@@ -42,9 +42,9 @@ def gas_usage(intervals: DataFrame, slot: str, as_of: str) -> DataFrame:
     t = newest.select(
         slot, F.col("n.btu").alias("btu"), F.col("n.complete").alias("complete"),
         (F.col(f"n.{PERIOD}") + F.expr(f"INTERVAL 1 {period}")).cast("timestamp_ntz").alias("updated"))
-    now = closed.sparkSession.range(1).select(name(ntz(as_of)).alias(slot))
-    opened = now.join(t, slot, "left").select(*t.columns)
-    opened = tables.reset_slot(opened, F.lit(True), closed_end(period, as_of))
+    opened = closed.sparkSession.range(1).select(
+        name(ntz(as_of)).alias(slot), F.lit(0.0).alias("btu"), F.lit("no").alias("complete"),
+        ntz(closed_end(period, as_of)).alias("updated"))
     return tables.upsert(t, opened, [slot])
 
 

@@ -76,7 +76,7 @@ def deliveries(spark: SparkSession, sf_dir: str, as_of: str = O_AS_OF) -> DataFr
     o = table(spark, sf_dir, "orders").where(
         (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderdate") <= ntz(as_of[:10] + " 00:00:00")))
     return o.groupBy(F.to_date("o_orderdate").alias("delivery_date")).agg(
-        (F.max_by("o_orderstatus", "o_orderkey") == "F").alias("fill"),
+        F.max_by(F.col("o_orderstatus") == "F", "o_orderkey").alias("fill"),
         (F.sum(order_minutes()) * 5).cast("decimal(28,2)").alias("gallons"))
 
 

@@ -1,4 +1,11 @@
-"""Run detection on a live feed, with one small state per device."""
+"""Run detection on a live feed.
+
+Two forms with the same result. ``stream_runs`` keeps a state per device in Spark's state store;
+a device's rows of one micro-batch form one group, so it suits many devices of even rate.
+``stream_runs_by_batch`` runs the batch operators on each micro-batch and keeps the last reading
+of each device in a table; a device too busy for one task is split into time chunks.
+Readings older than the device's last one of an earlier micro-batch are too late and left out.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from emberline.functions.calendar import epoch_micros
+from emberline.operators.runs import AUTO, classify_runs
 from emberline.operators.states import RUNNING, threshold_as_of, threshold_state
 from emberline.session import scratch_path
 from emberline.streaming.hourly import run_to_end
@@ -31,6 +39,8 @@ def _advance(running: str):
         end_main = rows["main"].iloc[-1]
         main = end_main if pd.notna(end_main) else None
         r = rows[rows["kind"] == 1].copy()
+        if last_us is not None:
+            r = r[r["us"] >= last_us]  # later than a whole batch: too late
         if len(r):
             on, off = r["main"] == "ON", r["main"] == "OFF"
             # power against the threshold of its time is decided before the state is known
@@ -75,3 +85,84 @@ def stream_runs(readings: DataFrame, log: DataFrame, thresholds: DataFrame, whic
     path = scratch_path(spark, "runs")
     run_to_end(out.writeStream.outputMode("append").format("parquet").option("path", path), spark, "runs")
     return spark.read.parquet(path)
+
+
+STATE_TABLE = ("key long, status string, status_ts timestamp_ntz, status_tie long, "
+               "last_ts timestamp_ntz, last_tie long, last_watts decimal(10,2), last_main string, starts long")
+
+
+def stream_runs_by_batch(
+    feed: DataFrame, thresholds: DataFrame, which: str, start: str, end: str, seconds: int | None = AUTO,
+) -> DataFrame:
+    """Runs over a stream of ``(key, ts, tie, watts, status)``; ``status`` is null on plain readings.
+
+    Every micro-batch writes its rows and the new state under its own number, and reads the state
+    under the number before. A batch that is run again after a failure replaces what it wrote.
+    """
+    spark = feed.sparkSession
+    out, states = scratch_path(spark, "run-rows"), scratch_path(spark, "run-state")
+    first = spark.createDataFrame([], STATE_TABLE)
+    first.write.parquet(f"{states}/after=-1")
+
+    def advance(batch: DataFrame, number: int) -> None:
+        now = batch.sparkSession
+        batch = batch.persist()
+        state = now.read.schema(STATE_TABLE).parquet(f"{states}/after={number - 1}")
+        rows = run_batch(batch, state, thresholds, which, start, end, seconds).persist()
+        rows.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        next_state(batch, rows, state).write.mode("overwrite").parquet(f"{states}/after={number}")
+        rows.unpersist()
+        batch.unpersist()
+
+    run_to_end(feed.writeStream.foreachBatch(advance), spark, "run-rows")
+    return spark.read.parquet(out).drop("batch")
+
+
+def run_batch(batch, state, thresholds, which, start, end, seconds=AUTO) -> DataFrame:
+    """Runs of one micro-batch that goes on from ``state``.
+
+    The last reading of each device and its last status go in ahead of the new rows, so gaps and
+    starts come out as in one series; the number of earlier starts is added to the ids.
+    """
+    seen = state.select("key", "last_ts", F.col("starts").alias("_starts"))
+    fresh = batch.where(F.col("watts").isNotNull()).select("key", "ts", "tie", "watts")
+    fresh = fresh.join(seen, "key", "left").where(F.col("last_ts").isNull() | (F.col("ts") >= F.col("last_ts")))
+    fresh = fresh.select("key", "ts", "tie", "watts", F.lit(False).alias("_seed"))
+    seeds = state.where(F.col("last_ts").isNotNull()).select(
+        "key", F.col("last_ts").alias("ts"), F.col("last_tie").alias("tie"),
+        F.col("last_watts").alias("watts"), F.lit(True).alias("_seed"))
+    marks = batch.where(F.col("status").isNotNull()).select("key", "ts", "tie", "status")
+    marks = marks.unionByName(state.where(F.col("status").isNotNull()).select(
+        "key", F.col("status_ts").alias("ts"), F.col("status_tie").alias("tie"), "status"))
+    # the status at the last reading may be older than the newest one
+    marks = marks.unionByName(state.where(F.col("last_main").isNotNull()).select(
+        "key", F.col("last_ts").alias("ts"), F.col("last_tie").alias("tie"), F.col("last_main").alias("status")))
+    c = classify_runs(fresh.unionByName(seeds), marks, thresholds, ["key"], which, start, end, seconds=seconds)
+    c = c.where(~F.col("_seed")).join(seen.select("key", "_starts"), "key", "left")
+    return c.select(
+        "key", "ts", "tie", "watts", "gap_us", "main_status", "system_status",
+        (F.col("run_id") + F.coalesce("_starts", F.lit(0))).cast("long").alias("run_id"))
+
+
+def next_state(batch, rows, state) -> DataFrame:
+    """Per device the newest status, the newest reading and the number of runs started so far."""
+    marks = batch.where(F.col("status").isNotNull()).select(
+        "key", F.struct("ts", "tie", "status").alias("mark"))
+    reads = rows.select(
+        "key", F.struct("ts", "tie", "watts", F.col("main_status").alias("main")).alias("read"),
+        F.col("run_id").alias("starts"))
+    old = state.select(
+        "key",
+        F.when(F.col("status").isNotNull(), F.struct(
+            F.col("status_ts").alias("ts"), F.col("status_tie").alias("tie"), "status")).alias("mark"),
+        F.when(F.col("last_ts").isNotNull(), F.struct(
+            F.col("last_ts").alias("ts"), F.col("last_tie").alias("tie"), F.col("last_watts").alias("watts"),
+            F.col("last_main").alias("main"))).alias("read"),
+        "starts")
+    every = old.unionByName(marks, allowMissingColumns=True).unionByName(reads, allowMissingColumns=True)
+    new = every.groupBy("key").agg(
+        F.max("mark").alias("m"), F.max("read").alias("r"), F.coalesce(F.max("starts"), F.lit(0)).alias("starts"))
+    return new.select(
+        "key", "m.status", F.col("m.ts").alias("status_ts"), F.col("m.tie").alias("status_tie"),
+        F.col("r.ts").alias("last_ts"), F.col("r.tie").alias("last_tie"), F.col("r.watts").alias("last_watts"),
+        F.col("r.main").alias("last_main"), "starts")

@@ -20,24 +20,40 @@ def _stream(spark, path):
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-def test_runs_carry_over_micro_batches(spark):
+def _feed(spark):
+    """Readings and log entries of two devices, cut into three micro-batches."""
     r = frames.readings(spark, [(1, "10:00:00", 80), (1, "10:01:00", 5), (2, "10:01:00", 80), (1, "10:02:00", 90),
                                 (1, "10:03:00", 91), (2, "10:04:00", 10), (1, "10:05:00", 3), (1, "10:06:00", 70)])
-    lg = frames.log(spark, [(1, "09:00:00", "ON"), (2, "10:02:00", "ON"), (1, "10:05:30", "OFF")])
+    lg = frames.log(spark, [(1, "09:00:00", "ON"), (1, "10:01:10", "OFF"), (1, "10:01:40", "ON"), (2, "10:02:00", "ON"), (1, "10:05:30", "OFF")])
     feed = r.withColumn("status", F.lit(None).cast("string")).unionByName(
-        lg.withColumn("watts", F.lit(None).cast("decimal(10,2)"))).withColumn("is_log", F.col("status").isNotNull())
+        lg.withColumn("watts", F.lit(None).cast("decimal(10,2)")))
     cuts = [("09:00:00", "10:01:30"), ("10:01:30", "10:02:30"), ("10:02:30", "11:00:00")]
     parts = [feed.where((F.col("ts") >= F.lit(f"2024-01-05 {a}").cast("timestamp_ntz"))
                         & (F.col("ts") < F.lit(f"2024-01-05 {b}").cast("timestamp_ntz"))) for a, b in cuts]
-    s = _stream(spark, _folder(spark, parts))
-    got = runs.stream_runs(s.where("NOT is_log").select("key", "ts", "tie", "watts"),
-                           s.where("is_log").select("key", "ts", "tie", "status"),
-                           frames.thresholds(spark), "hi", "2024-02-01 00:00:00")
-    cols = ("key", "ts", "gap_us", "main_status", "system_status", "run_id")
     want = batch.classify_runs(r, lg, frames.thresholds(spark), ["key"], "hi", "2024-01-01 00:00:00",
                                "2024-02-01 00:00:00", seconds=None)
-    key = lambda df: sorted(tuple(x) for x in df.select(*cols).collect())
-    assert [x[:3] for x in key(got)] == [x[:3] for x in key(want)] and key(got) == key(want)
+    return _stream(spark, _folder(spark, parts)), want
+
+
+def _sorted(df):
+    cols = ("key", "ts", "gap_us", "main_status", "system_status", "run_id")
+    return sorted((tuple(x) for x in df.select(*cols).collect()), key=lambda t: t[:2])
+
+
+def test_runs_carry_over_micro_batches(spark):
+    s, want = _feed(spark)
+    got = runs.stream_runs(s.where("status IS NULL").select("key", "ts", "tie", "watts"),
+                           s.where("status IS NOT NULL").select("key", "ts", "tie", "status"),
+                           frames.thresholds(spark), "hi", "2024-02-01 00:00:00")
+    assert _sorted(got) == _sorted(want)
+
+
+def test_runs_by_batch_carry_over_micro_batches(spark):
+    for seconds in (None, 60):
+        s, want = _feed(spark)
+        got = runs.stream_runs_by_batch(
+            s, frames.thresholds(spark), "hi", "2024-01-01 00:00:00", "2024-02-01 00:00:00", seconds)
+        assert _sorted(got) == _sorted(want)
 
 
 def test_hours_over_several_files(spark):
