@@ -27,6 +27,29 @@ def rpt_daily_1year(spark, sf):
     return charts.daily_vs_last_year(fx.order_hours(spark, sf), 365)
 
 
+_KEYED = order_hours().replace("SELECT CAST(o_orderdate", "SELECT o_custkey AS key, CAST(o_orderdate")
+
+
+@query("rpt_daily_by_device", f"""
+WITH {_KEYED}, d AS (SELECT key, sum_date, sum(rc) AS rc FROM oh GROUP BY 1, 2),
+u AS (SELECT key, sum_date, rc / 100e0 AS runtime, row_number() OVER (PARTITION BY key ORDER BY sum_date DESC) AS row_number FROM d)
+SELECT u.key, u.sum_date, strftime(u.sum_date, '%b') || ' - ' || strftime(u.sum_date, '%d') AS label, u.runtime,
+       p.runtime AS previous_year, 'yes' AS complete, u.row_number
+FROM u LEFT JOIN u p ON u.key = p.key AND CAST(u.sum_date - INTERVAL 1 YEAR AS DATE) = p.sum_date WHERE u.row_number < 31""")
+def rpt_daily_by_device(spark, sf):
+    return charts.daily_vs_last_year(fx.order_hours(spark, sf, keys=fx.KEY), 30, fx.KEY)
+
+
+@query("rpt_hourly_by_device", f"""
+WITH {event_hours().replace("SELECT CAST(ts", "SELECT user_id AS key, CAST(ts")},
+b AS (SELECT key, hour, {SUMS} FROM hh GROUP BY 1, 2),
+u AS (SELECT * FROM hh QUALIFY row_number() OVER (PARTITION BY key ORDER BY sum_date DESC, hour DESC) <= 24)
+SELECT u.key, u.sum_date, u.hour AS label, u.rc / 100e0 AS runtime, s / 100e0 / n AS runtime_avg, 'yes' AS complete
+FROM u JOIN b ON b.key = u.key AND b.hour = u.hour""")
+def rpt_hourly_by_device(spark, sf):
+    return charts.day_vs_usual(fx.event_hours(spark, sf, keys=fx.KEY), fx.H_AS_OF, keys=fx.KEY)
+
+
 def _week_sql(by_season):
     on = "AND b.season = u.season" if by_season else ""
     return f"""

@@ -199,7 +199,8 @@ def latest_row(spark, sf):
 WITH {order_hours()}, {DAILY}, k AS (SELECT sum_date, rc / 100e0 AS runtime, row_number() OVER (ORDER BY sum_date DESC) AS row_number FROM d)
 SELECT * FROM k WHERE row_number < 366""")
 def topn_rank(spark, sf):
-    d = rollups.recency(rollups.daily_sums(fx.order_hours(spark, sf)), ["sum_date"]).where(F.col("row_number") < 366)
+    d = rollups.latest(rollups.daily_sums(fx.order_hours(spark, sf)), ["sum_date"], 365)
+    d = rollups.recency(d, ["sum_date"])
     return d.select("sum_date", F.col("runtime").cast("double").alias("runtime"), "row_number")
 
 

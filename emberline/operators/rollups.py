@@ -58,31 +58,31 @@ def with_mean(baseline: DataFrame) -> DataFrame:
     return baseline.withColumn("runtime_avg", ratio("runtime_sum", "count")).drop("runtime_sum")
 
 
-def by_dow_season(daily: DataFrame, spark: SparkSession) -> DataFrame:
-    return _average(with_season(daily, spark), ["dow", "season"])
+def by_dow_season(daily: DataFrame, spark: SparkSession, keys: Sequence[str] = ()) -> DataFrame:
+    return _average(with_season(daily, spark), [*keys, "dow", "season"])
 
 
-def by_month_day(daily: DataFrame) -> DataFrame:
+def by_month_day(daily: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     d = F.col("sum_date")
-    return _average(daily, [F.month(d).alias("month"), F.dayofmonth(d).alias("day")])
+    return _average(daily, [*keys, F.month(d).alias("month"), F.dayofmonth(d).alias("day")])
 
 
-def by_dow_season_hour(hourly: DataFrame, spark: SparkSession) -> DataFrame:
-    return _average(with_season(hourly, spark), [dow(F.col("sum_date")).alias("dow"), "season", "hour"])
+def by_dow_season_hour(hourly: DataFrame, spark: SparkSession, keys: Sequence[str] = ()) -> DataFrame:
+    return _average(with_season(hourly, spark), [*keys, dow(F.col("sum_date")).alias("dow"), "season", "hour"])
 
 
-def by_month(monthly: DataFrame, as_of: Column) -> DataFrame:
+def by_month(monthly: DataFrame, as_of: Column, keys: Sequence[str] = ()) -> DataFrame:
     """Mean per month, leaving out the month that is not over yet."""
     done = (F.col("year") != F.year(as_of)) | (F.col("month") != F.month(as_of))
-    return monthly.groupBy("month").agg(
+    return monthly.groupBy(*keys, "month").agg(
         F.sum(F.when(done, F.col("runtime"))).alias("runtime_sum"),
         F.count(F.when(done, 1)).alias("count"),
     )
 
 
-def by_month_day_hour(hourly: DataFrame) -> DataFrame:
+def by_month_day_hour(hourly: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     d = F.col("sum_date")
-    return _average(hourly, [F.month(d).alias("month"), F.dayofmonth(d).alias("day"), "hour"])
+    return _average(hourly, [*keys, F.month(d).alias("month"), F.dayofmonth(d).alias("day"), "hour"])
 
 
 def weighted_mean(baseline: DataFrame, slots: Sequence[str]) -> DataFrame:
@@ -99,8 +99,10 @@ def merge_baselines(old: DataFrame, new: DataFrame, slots: Sequence[str]) -> Dat
     ).groupBy(*slots).agg(F.sum("runtime_sum").alias("runtime_sum"), F.sum("count").alias("count"))
 
 
-def latest(df: DataFrame, order: Sequence[str], k: int) -> DataFrame:
-    """The k newest rows (a top-k, not a full sort)."""
+def latest(df: DataFrame, order: Sequence[str], k: int, keys: Sequence[str] = ()) -> DataFrame:
+    """The k newest rows (a top-k, not a full sort), of each key where there are keys."""
+    if keys:
+        return recency(df, order, keys, "_k").where(F.col("_k") <= k).drop("_k")
     return df.orderBy(*[F.col(c).desc() for c in order]).limit(k)
 
 
@@ -122,7 +124,7 @@ def cumulative(df: DataFrame, order: Sequence[str], col: str, name: str, keys: S
     return df.withColumn(name, F.sum(col).over(w))
 
 
-def prior_year(daily: DataFrame) -> DataFrame:
+def prior_year(daily: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Adds the amount of the same day a year earlier (29 February compares with the 28th)."""
-    before = daily.select(F.col("sum_date").alias("_d"), F.col("runtime").alias("previous_year"))
-    return daily.join(before, F.add_months("sum_date", -12) == F.col("_d"), "left").drop("_d")
+    before = daily.select(*keys, F.col("sum_date").alias("_d"), F.col("runtime").alias("previous_year"))
+    return daily.withColumn("_d", F.add_months("sum_date", -12)).join(before, [*keys, "_d"], "left").drop("_d")

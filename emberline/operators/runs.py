@@ -11,7 +11,7 @@ from emberline.functions import energy
 from emberline.functions.calendar import micros_between, period_start
 from emberline.operators import chunks
 from emberline.operators.states import (
-    RUNNING, in_before, in_range, status_as_of, threshold_as_of, threshold_state,
+    RUNNING, SCAN_ORDER, in_before, in_range, status_as_of, threshold_as_of, threshold_state,
 )
 
 AUTO = -1
@@ -20,9 +20,9 @@ PERIOD = "period_start"
 
 def mark_runs(
     rows: DataFrame, keys: Sequence[str], state: str, running: str,
-    restart: Sequence[str] = (), seconds: int | None = None,
+    restart: Sequence[str] = (), seconds: int | None = None, order: Sequence[str] = ("ts", "tie"),
 ) -> DataFrame:
-    """Adds ``gap_us`` and ``run_id`` to rows ordered by (ts, tie).
+    """Adds ``gap_us`` and ``run_id`` to ordered rows.
 
     A run starts where the state turns to ``running`` from another known state. A run already
     open at the first row has id 0, and so has one that follows an unknown state before any
@@ -31,23 +31,23 @@ def mark_runs(
     keys = [*keys, *restart]
     here, runs_on = F.col(state), F.col(state) == running
     if seconds is None:
-        w = chunks.ordered(keys, ("ts", "tie"))
+        w = chunks.ordered(keys, order)
         rows = rows.withColumns({"_pts": F.lag("ts").over(w), "_ps": F.lag(state).over(w)})
         starts = F.when(runs_on & (F.col("_ps") != running), 1).otherwise(0)
         rows = rows.withColumn("_n", F.sum(starts).over(chunks.up_to_here(w)))
     else:
-        rows = _mark_runs_chunked(rows, keys, state, running, seconds)
+        rows = _mark_runs_chunked(rows, keys, state, running, seconds, order)
     return rows.withColumns({
         "gap_us": micros_between(F.col("_pts"), F.col("ts")),
         "run_id": F.when(here.isNotNull() & (here != running), None).otherwise(F.col("_n")),
     }).drop("_pts", "_ps", "_n")
 
 
-def _mark_runs_chunked(rows, keys, state, running, seconds):
+def _mark_runs_chunked(rows, keys, state, running, seconds, order):
     c = chunks.CHUNK
     given = rows
     rows = chunks.with_chunk(rows, "ts", seconds)
-    w = chunks.ordered([*keys, c], ("ts", "tie"))
+    w = chunks.ordered([*keys, c], order)
     so_far = chunks.up_to_here(w)
     runs_on = F.col(state) == running
     rows = rows.withColumns({
@@ -113,13 +113,13 @@ def finish_runs(rows: DataFrame, keys: Sequence[str], which: str, period: str |
     running = RUNNING[which]
     rows = rows.withColumn(
         "system_status", threshold_state(F.col("main_status"), F.col("watts"), F.col(which), running))
-    rows = mark_runs(rows, keys, "system_status", running, [PERIOD] if period else [], seconds)
+    rows = mark_runs(rows, keys, "system_status", running, [PERIOD] if period else [], seconds, SCAN_ORDER)
     burning = (F.col("system_status") == running) if which == "hi" else F.lit(False)
     fuel_us = energy.capped_gap(F.col("gap_us"))
     return rows.withColumns({
         "btu": F.when(burning, energy.btu(fuel_us)).otherwise(F.lit(0.0)),
         "gallons": F.when(burning, energy.gallons(fuel_us)).otherwise(F.lit(0.0)),
-    }).drop("hi", "lo", chunks.CHUNK)
+    }).drop("hi", "lo", "_kind", chunks.CHUNK)
 
 
 def run_sums(classified: DataFrame, keys: Sequence[str], cap: bool = True) -> DataFrame:

@@ -16,6 +16,9 @@ from emberline.operators import chunks
 
 RUNNING = {"hi": "boiler", "lo": "circulator"}
 IDLE = "main power"
+# Log entries (_kind 0) come before readings (_kind 1) of the same instant. Scans that follow on the
+# same rows name the same order, so that Spark sorts once.
+SCAN_ORDER = ("ts", "_kind", "tie")
 
 
 # ---- predicates -------------------------------------------------------------------------
@@ -86,8 +89,8 @@ def status_as_of(
 ) -> DataFrame:
     """Adds ``main_status``: the last log entry at or before each reading (log wins a tie).
 
-    Log entries older than ``start`` count too; they give the state at the start. Where the scan
-    is split into chunks, the rows keep their chunk number for the scans that follow.
+    Log entries older than ``start`` count too; they give the state at the start. The rows keep
+    ``_kind`` and, where the scan is split, their chunk number for the scans that follow.
     Only the last of them per key matters, so the rest is dropped before the scan.
     """
     marks = log.select(*keys, "ts", "tie", is_on(F.col("status")).alias("_on"))
@@ -103,8 +106,8 @@ def status_as_of(
         readings.withColumn("_kind", F.lit(1))
         .unionByName(marks.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
     )
-    rows = chunks.fill_forward(rows, keys, ("ts", "_kind", "tie"), ("_on",), seconds)
-    return rows.where(F.col("_kind") == 1).withColumn("main_status", on_off(F.col("_on"))).drop("_kind", "_on")
+    rows = chunks.fill_forward(rows, keys, SCAN_ORDER, ("_on",), seconds)
+    return rows.where(F.col("_kind") == 1).withColumn("main_status", on_off(F.col("_on"))).drop("_on")
 
 
 def initial_value(log: DataFrame, keys: Sequence[str], start: str, col: str, ts: str = "ts") -> DataFrame:
@@ -162,9 +165,9 @@ def fill_status(
     """Readings of ``[start, end)`` with gap in seconds and filled status, unknown power kept."""
     rows = in_range(readings, "ts", start, end)
     rows = status_as_of(rows, in_before(log, end), keys, start, seconds)
-    rows = chunks.previous(rows, keys, ("ts", "tie"), {"ts": "_before"}, seconds)
+    rows = chunks.previous(rows, keys, SCAN_ORDER, {"ts": "_before"}, seconds)
     return rows.withColumn("gap_us", micros_between(F.col("_before"), F.col("ts"))).drop(
-        "_before", chunks.CHUNK).withColumnRenamed("main_status", "status")
+        "_before", "_kind", chunks.CHUNK).withColumnRenamed("main_status", "status")
 
 
 def in_before(df: DataFrame, end: str, ts: str = "ts") -> DataFrame:

@@ -1,10 +1,13 @@
 """Chart tables: now against usual, against last year, and cumulative curves.
 
-All read an hourly rollup ``(sum_date, hour, runtime)``, never readings.
+All read an hourly rollup ``(keys.., sum_date, hour, runtime)``, never readings. With ``keys`` each
+device gets its own chart in the same pass; a rollup's rows per device are bounded by the calendar.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,27 +25,29 @@ def amount(c: str = "runtime") -> Column:
     return F.col(c).cast("double")
 
 
-def daily_vs_last_year(hourly: DataFrame, days: int | None = None) -> DataFrame:
+def daily_vs_last_year(hourly: DataFrame, days: int | None = None, keys: Sequence[str] = ()) -> DataFrame:
     """Each day beside the same day a year before; ``days`` keeps the newest."""
-    u = rollups.prior_year(rollups.daily_sums(hourly))
-    u = recency(u, ["sum_date"])
+    u = rollups.prior_year(rollups.daily_sums(hourly, keys), keys)
     if days is not None:
-        u = u.where(F.col("row_number") <= days)
+        u = latest(u, ["sum_date"], days, keys)
+    u = recency(u, ["sum_date"], keys)
     return u.select(
-        "sum_date", labels.day_label(F.col("sum_date")).alias("label"), amount().alias("runtime"),
+        *keys, "sum_date", labels.day_label(F.col("sum_date")).alias("label"), amount().alias("runtime"),
         amount("previous_year").alias("previous_year"), F.lit("yes").alias("complete"), "row_number")
 
 
-def week_vs_usual(hourly: DataFrame, stored: DataFrame, by_season: bool) -> DataFrame:
+def week_vs_usual(
+    hourly: DataFrame, stored: DataFrame, by_season: bool, keys: Sequence[str] = (),
+) -> DataFrame:
     """The last seven days beside the mean of their weekday (in their season)."""
     spark = hourly.sparkSession
-    base = rollups.by_dow_season(rollups.daily_sums(stored), spark)
-    slots = ["dow", "season"] if by_season else ["dow"]
-    u = latest(rollups.daily_sums(hourly), ["sum_date"], 7).withColumn(
+    base = rollups.by_dow_season(rollups.daily_sums(stored, keys), spark, keys)
+    slots = [*keys, "dow", *(["season"] if by_season else [])]
+    u = latest(rollups.daily_sums(hourly, keys), ["sum_date"], 7, keys).withColumn(
         "season", month_season(F.month("sum_date")))
     u = u if by_season else u.drop("season")
     return u.join(weighted_mean(base, slots), slots).select(
-        "sum_date", labels.weekday_name(F.col("sum_date")).alias("label"),
+        *keys, "sum_date", labels.weekday_name(F.col("sum_date")).alias("label"),
         amount().alias("runtime"), "runtime_avg", F.lit("yes").alias("complete"))
 
 
@@ -52,27 +57,31 @@ def slot_day(hour: Column, as_of: str) -> Column:
     return F.when(hour > F.hour(now), F.date_sub(F.to_date(now), 1)).otherwise(F.to_date(now))
 
 
-def day_vs_usual(hourly: DataFrame, as_of: str, by_dow: bool = False, by_season: bool = False) -> DataFrame:
+def day_vs_usual(
+    hourly: DataFrame, as_of: str, by_dow: bool = False, by_season: bool = False, keys: Sequence[str] = (),
+) -> DataFrame:
     """The last 24 hours beside the mean of their hour (and weekday, and season)."""
-    base = rollups.by_dow_season_hour(hourly, hourly.sparkSession)
+    base = rollups.by_dow_season_hour(hourly, hourly.sparkSession, keys)
     slots = ["hour", *(["dow"] if by_dow else []), *(["season"] if by_season else [])]
     day = slot_day(F.col("hour"), as_of)
-    keys = {"hour": F.col("hour"), "dow": dow(day), "season": month_season(F.month(day))}
-    u = latest(hourly, ["sum_date", "hour"], 24).select(
-        "sum_date", "runtime", *[keys[k].alias(k) for k in slots])
+    slot = {"hour": F.col("hour"), "dow": dow(day), "season": month_season(F.month(day))}
+    u = latest(hourly, ["sum_date", "hour"], 24, keys).select(
+        *keys, "sum_date", "runtime", *[slot[s].alias(s) for s in slots])
+    slots = [*keys, *slots]
     return u.join(weighted_mean(base, slots), slots).select(
-        "sum_date", F.col("hour").alias("label"), amount().alias("runtime"), "runtime_avg",
+        *keys, "sum_date", F.col("hour").alias("label"), amount().alias("runtime"), "runtime_avg",
         F.lit("yes").alias("complete"))
 
 
-def year_vs_usual(hourly: DataFrame, stored: DataFrame, as_of: str) -> DataFrame:
+def year_vs_usual(hourly: DataFrame, stored: DataFrame, as_of: str, keys: Sequence[str] = ()) -> DataFrame:
     """The last twelve months beside the mean of their month, in hours."""
-    base = rollups.by_month(rollups.monthly_sums(stored), _time(as_of))
-    u = hourly.groupBy(F.year("sum_date").alias("year"), F.month("sum_date").alias("month")).agg(
+    base = rollups.by_month(rollups.monthly_sums(stored, keys), _time(as_of), keys)
+    u = hourly.groupBy(*keys, F.year("sum_date").alias("year"), F.month("sum_date").alias("month")).agg(
         F.max("sum_date").alias("last_day"), F.sum("runtime").alias("runtime"))
-    u = recency(u, ["last_day"]).where(F.col("row_number") <= 12)
-    return u.join(weighted_mean(base, ["month"]), "month").select(
-        F.date_format("last_day", "MMM").alias("label"), (amount() / 60).alias("runtime"),
+    u = recency(latest(u, ["last_day"], 12, keys), ["last_day"], keys)
+    slots = [*keys, "month"]
+    return u.join(weighted_mean(base, slots), slots).select(
+        *keys, F.date_format("last_day", "MMM").alias("label"), (amount() / 60).alias("runtime"),
         (F.col("runtime_avg") / 60).alias("runtime_avg"), F.lit("yes").alias("complete"), "row_number")
 
 

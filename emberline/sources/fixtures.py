@@ -47,12 +47,14 @@ def one_device(df: DataFrame) -> DataFrame:
     return df.drop("key")
 
 
-def event_hours(spark: SparkSession, sf_dir: str, live: bool = True, as_of: str | None = H_AS_OF) -> DataFrame:
+def event_hours(
+    spark: SparkSession, sf_dir: str, live: bool = True, as_of: str | None = H_AS_OF, keys=(),
+) -> DataFrame:
     """Hourly sums of the feed up to ``as_of``; without ``live`` only closed hours."""
-    e = table(spark, sf_dir, "events")
+    e = table(spark, sf_dir, "events").withColumn("key", F.col("user_id"))
     if as_of:
         e = e.where(F.col("ts") <= ntz(as_of)) if live else e.where(F.col("ts") < ntz(as_of[:13] + ":00:00"))
-    return hourly_sums(e, F.to_date("ts"), F.hour("ts"), F.col("value").cast("decimal(10,2)"))
+    return hourly_sums(e, F.to_date("ts"), F.hour("ts"), F.col("value").cast("decimal(10,2)"), keys)
 
 
 def order_minutes():
@@ -60,15 +62,18 @@ def order_minutes():
     return (F.floor(F.col("o_totalprice") / 100).cast("decimal(10,0)") * F.lit("0.01").cast("decimal(3,2)"))
 
 
-def order_hours(spark: SparkSession, sf_dir: str, live: bool = True, as_of: str | None = O_AS_OF) -> DataFrame:
+def order_hours(
+    spark: SparkSession, sf_dir: str, live: bool = True, as_of: str | None = O_AS_OF, keys=(),
+) -> DataFrame:
     """Hourly sums over many years up to ``as_of``; without ``live`` only closed hours."""
-    o = table(spark, sf_dir, "orders").withColumn("_h", (F.col("o_orderkey") % 24).cast("int"))
+    o = table(spark, sf_dir, "orders").withColumns(
+        {"_h": (F.col("o_orderkey") % 24).cast("int"), "key": F.col("o_custkey")})
     if as_of:
         day, hour = as_of[:10], int(as_of[11:13])
         today = ntz(day + " 00:00:00")
         open_hour = F.col("_h") <= hour if live else F.col("_h") < hour
         o = o.where((F.col("o_orderdate") < today) | ((F.col("o_orderdate") == today) & open_hour))
-    return hourly_sums(o, F.to_date("o_orderdate"), F.col("_h"), order_minutes())
+    return hourly_sums(o, F.to_date("o_orderdate"), F.col("_h"), order_minutes(), keys)
 
 
 def deliveries(spark: SparkSession, sf_dir: str, as_of: str = O_AS_OF) -> DataFrame:
