@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from emberline.functions.calendar import micros_between
 from emberline.operators.tables import create_days, upsert_days
 from emberline.session import scratch_path
+from emberline.sources.files import SCHEMAS
 
 DELAY = "1 hour"
 
 
 def feed(spark: SparkSession, folder: str, name: str, files_per_batch: int = 100) -> DataFrame:
-    """A parquet folder as a stream; the schema comes from the files at hand."""
-    schema = spark.read.parquet(f"{folder}/{name}").schema
+    """A parquet folder as a stream; ``name`` picks the files, and their schema where it is known."""
+    schema = SCHEMAS.get(name.removesuffix(".parquet")) or spark.read.parquet(f"{folder}/{name}").schema
     return (spark.readStream.schema(schema).option("pathGlobFilter", name)
             .option("maxFilesPerTrigger", files_per_batch).parquet(folder))
 

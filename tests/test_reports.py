@@ -295,3 +295,17 @@ def test_clamp_mask_and_heat(spark):
 def test_rows_of_zero_or_unknown_leave_the_training_set(spark):
     df = spark.createDataFrame([(1, 1), (0, 1), (None, 1), (2, 0)], "a int, b int")
     assert model.drop_zero(df, ["a", "b"]).count() == 1
+
+
+def test_views_answer_sql(spark, small):
+    from emberline.plans import views
+    from emberline.sources import fixtures as fx
+
+    names = views.register(views.Inputs(
+        fx.order_hours(spark, small, live=False), fx.order_hours(spark, small), fx.deliveries(spark, small),
+        fx.climatology(spark, small), fx.forecast(spark, small), fx.O_AS_OF))
+    assert len(names) == 25
+    daily, yearly = (spark.sql(f"SELECT sum(runtime) FROM {v}").first()[0] for v in ("sums_daily", "sums_yearly"))
+    assert daily == yearly
+    assert spark.sql("SELECT count(*) FROM plot_hourly").first()[0] == 24
+    assert spark.sql("SELECT tank_level FROM remaining_fuel").first()[0] is not None
