@@ -43,7 +43,7 @@ def fn_time_math(spark, sf):
     ts, d = F.col("ts"), F.to_date("ts")
     return table(spark, sf, "events").select(
         "event_id", (cal.micros_between(cal.ntz("2024-01-01 00:00:00"), ts) / 1e6).alias("seconds"),
-        F.date_trunc("minute", ts).cast("timestamp_ntz").alias("minute_start"),
+        cal.period_start("minute", ts).alias("minute_start"),
         (ts + F.expr("INTERVAL 1 HOUR")).alias("next_hour"), (ts - F.expr("INTERVAL 1 DAY")).alias("yesterday"),
         F.add_months(d, 1).alias("next_month"), F.add_months(d, -12).alias("year_ago"),
         F.datediff(d, F.lit("2023-12-25").cast("date")).alias("days"),

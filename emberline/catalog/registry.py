@@ -10,6 +10,42 @@ from emberline.functions.calendar import HEATING_SEASON
 from emberline.sources.fixtures import H_AS_OF, O_AS_OF, THRESHOLDS
 
 Query = Callable[[SparkSession, str], DataFrame]
+# Columns that SQL calendar functions and row numbers give as BIGINT where Spark has int.
+INT_COLUMNS = {
+    "sums_monthly": "year month",
+    "sums_yearly": "year",
+    "base_dow": "dow",
+    "base_doy": "month day",
+    "base_hourly": "dow",
+    "base_monthly": "month",
+    "weighted_mean": "dow",
+    "base_mdh": "month day",
+    "running_mean_merge": "dow",
+    "rpt_daily": "row_number",
+    "rpt_daily_1year": "row_number",
+    "rpt_daily_by_device": "row_number",
+    "rpt_monthly": "row_number",
+    "rpt_yearly": "label",
+    "rpt_close_hour_sums": "hour",
+    "rpt_gas_hour": "hour",
+    "rpt_gas_dow": "dow",
+    "rpt_gas_doy": "doy",
+    "rpt_gas_month": "month",
+    "rpt_gas_year": "year",
+    "fn_calendar": "h d m y dow doy days",
+    "override_join": "doy",
+    "recency_rank": "row_number",
+    "rank_over_agg": "year month row_number",
+    "topn_rank": "row_number",
+    "rpt_degree_days": "doy",
+    "rpt_predicted_runtime": "doy",
+    "rpt_daylight": "hour",
+    "calendar_doy": "month day doy_noleap doy_leap",
+    "keyed_update": "year month",
+    "year_roll": "month day",
+    "hour_close_gaps": "hour",
+}
+
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -20,7 +56,8 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"query {name} is registered twice")
         QUERIES[name] = fn
         if sql is not None:
-            ORACLES[name] = sql
+            ints = ", ".join(f"CAST({c} AS INTEGER) AS {c}" for c in INT_COLUMNS.get(name, "").split())
+            ORACLES[name] = f"SELECT * REPLACE ({ints}) FROM ({sql})" if ints else sql
         return fn
 
     return keep

@@ -23,10 +23,12 @@ def dow(d: Column) -> Column:
 
 
 def period_start(period: str, ts: Column) -> Column:
-    """Start of the hour, day, month or year that holds ``ts``, without a time zone."""
-    if period not in PERIODS:
-        raise ValueError(f"period must be one of {PERIODS}, not {period!r}")
+    """Start of the minute, hour, day, month or year that holds ``ts``, without a time zone."""
+    if period not in ("minute", *PERIODS):
+        raise ValueError(f"period must be minute or one of {PERIODS}, not {period!r}")
     day = F.to_date(ts)
+    if period == "minute":
+        return F.timestamp_add("MINUTE", F.minute(ts), at_hour(day, F.hour(ts)))
     if period == "hour":
         return at_hour(day, F.hour(ts))
     if period == "day":

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberline.functions.calendar import instant_order, micros_between, ntz
+from emberline.functions.calendar import instant_order, micros_between, ntz, period_start
 from emberline.operators import chunks
 
 RUNNING = {"hi": "boiler", "lo": "circulator"}
@@ -153,7 +153,7 @@ def bucket_join(
     readings: DataFrame, log: DataFrame, keys: Sequence[str], bucket: str = "minute",
 ) -> DataFrame:
     """Gives every reading the last log entry of its own time bucket, null where there is none."""
-    cut = F.date_trunc(bucket, F.col("ts")).cast("timestamp_ntz")
+    cut = period_start(bucket, F.col("ts"))
     last = log.groupBy(*keys, cut.alias("_bucket")).agg(last_status())
     return readings.withColumn("_bucket", cut).join(last, [*keys, "_bucket"], "left").drop("_bucket")
 
