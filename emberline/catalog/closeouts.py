@@ -163,5 +163,5 @@ WITH {SCORED} SELECT ts, CAST(watts AS DOUBLE) AS watts, mode AS status, round(h
 FROM sc WHERE ts >= TIMESTAMP '2024-01-30 11:00:00' AND ts <= TIMESTAMP '2024-01-30 12:34:00'""")
 def rpt_last_hour(spark, sf):
     r, log = fx.one_device(fx.readings(spark, sf)), fx.one_device(fx.status_log(spark, sf))
-    f = gas.firing_rate(gas.scored(r, log, fx.E_START, fx.E_END), fx.H_AS_OF)
+    f = gas.firing_rate(r, log, fx.H_AS_OF)
     return f.withColumns({"watts": F.col("watts").cast("double"), "heatcall": F.round("heatcall", 6)})

@@ -41,16 +41,14 @@ def stream_live_hour(spark, sf):
     return _plain(live).select("sum_date", "hour", "runtime", "n", "closed")
 
 
-@query("hour_close_gaps", f"""
-WITH h AS (SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS t0, count(*) AS n FROM events
-           WHERE event_type = 'view' AND value > 60 GROUP BY 1),
-x AS (SELECT *, lead(t0) OVER (ORDER BY t0) AS next_at FROM h)
-SELECT CAST(t0 AS DATE) AS sum_date, hour(t0) AS hour, n, next_at,
+@query("hour_close_gaps", """
+WITH h AS (SELECT user_id AS key, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS t0, count(*) AS n FROM events GROUP BY 1, 2),
+x AS (SELECT *, lead(t0) OVER (PARTITION BY key ORDER BY t0) AS next_at FROM h)
+SELECT key, CAST(t0 AS DATE) AS sum_date, hour(t0) AS hour, n, next_at,
        CAST(date_diff('hour', t0, next_at) - 1 AS INTEGER) AS hours_skipped, hour(next_at) = (hour(t0) + 1) % 24 AS trigger_fires
 FROM x WHERE date_diff('hour', t0, next_at) > 1 OR hour(next_at) <> (hour(t0) + 1) % 24""")
 def hour_close_gaps(spark, sf):
-    # a sparser feed, in which hours stay silent
-    return hourly.hour_close_gaps(table(spark, sf, "events").where("event_type = 'view' AND value > 60"))
+    return hourly.hour_close_gaps(fx.readings(spark, sf), fx.KEY)
 
 
 @query("stream_runs", f"""

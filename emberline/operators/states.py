@@ -163,8 +163,14 @@ def fill_status(
     seconds: int | None = None,
 ) -> DataFrame:
     """Readings of ``[start, end)`` with gap in seconds and filled status, unknown power kept."""
-    rows = in_range(readings, "ts", start, end)
-    rows = status_as_of(rows, in_before(log, end), keys, start, seconds)
+    return fill_rows(in_range(readings, "ts", start, end), in_before(log, end), keys, start, seconds)
+
+
+def fill_rows(
+    rows: DataFrame, log: DataFrame, keys: Sequence[str], start: str, seconds: int | None = None,
+) -> DataFrame:
+    """Gap and filled status of readings already cut to their range."""
+    rows = status_as_of(rows, log, keys, start, seconds)
     rows = chunks.previous(rows, keys, SCAN_ORDER, {"ts": "_before"}, seconds)
     return rows.withColumn("gap_us", micros_between(F.col("_before"), F.col("ts"))).drop(
         "_before", "_kind", chunks.CHUNK).withColumnRenamed("main_status", "status")

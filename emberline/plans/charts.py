@@ -21,6 +21,11 @@ def _time(as_of: str) -> Column:
     return F.lit(as_of).cast("timestamp_ntz")
 
 
+def shown(df: DataFrame, keys: Sequence[str], *order) -> DataFrame:
+    """Rows in chart order. Charts of many devices come unsorted, as a table."""
+    return df if keys else df.orderBy(*order)
+
+
 def amount(c: str = "runtime") -> Column:
     return F.col(c).cast("double")
 
@@ -31,9 +36,9 @@ def daily_vs_last_year(hourly: DataFrame, days: int | None = None, keys: Sequenc
     if days is not None:
         u = latest(u, ["sum_date"], days, keys)
     u = recency(u, ["sum_date"], keys)
-    return u.select(
+    return shown(u.select(
         *keys, "sum_date", labels.day_label(F.col("sum_date")).alias("label"), amount().alias("runtime"),
-        amount("previous_year").alias("previous_year"), F.lit("yes").alias("complete"), "row_number")
+        amount("previous_year").alias("previous_year"), F.lit("yes").alias("complete"), "row_number"), keys, "sum_date")
 
 
 def week_vs_usual(
@@ -46,9 +51,9 @@ def week_vs_usual(
     u = latest(rollups.daily_sums(hourly, keys), ["sum_date"], 7, keys).withColumn(
         "season", month_season(F.month("sum_date")))
     u = u if by_season else u.drop("season")
-    return u.join(weighted_mean(base, slots), slots).select(
+    return shown(u.join(weighted_mean(base, slots), slots).select(
         *keys, "sum_date", labels.weekday_name(F.col("sum_date")).alias("label"),
-        amount().alias("runtime"), "runtime_avg", F.lit("yes").alias("complete"))
+        amount().alias("runtime"), "runtime_avg", F.lit("yes").alias("complete")), keys, "sum_date")
 
 
 def slot_day(hour: Column, as_of: str) -> Column:
@@ -68,9 +73,9 @@ def day_vs_usual(
     u = latest(hourly, ["sum_date", "hour"], 24, keys).select(
         *keys, "sum_date", "runtime", *[slot[s].alias(s) for s in slots])
     slots = [*keys, *slots]
-    return u.join(weighted_mean(base, slots), slots).select(
+    return shown(u.join(weighted_mean(base, slots), slots).select(
         *keys, "sum_date", F.col("hour").alias("label"), amount().alias("runtime"), "runtime_avg",
-        F.lit("yes").alias("complete"))
+        F.lit("yes").alias("complete")), keys, "sum_date", "label")
 
 
 def year_vs_usual(hourly: DataFrame, stored: DataFrame, as_of: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -80,9 +85,10 @@ def year_vs_usual(hourly: DataFrame, stored: DataFrame, as_of: str, keys: Sequen
         F.max("sum_date").alias("last_day"), F.sum("runtime").alias("runtime"))
     u = recency(latest(u, ["last_day"], 12, keys), ["last_day"], keys)
     slots = [*keys, "month"]
-    return u.join(weighted_mean(base, slots), slots).select(
+    return shown(u.join(weighted_mean(base, slots), slots).select(
         *keys, F.date_format("last_day", "MMM").alias("label"), (amount() / 60).alias("runtime"),
-        (F.col("runtime_avg") / 60).alias("runtime_avg"), F.lit("yes").alias("complete"), "row_number")
+        (F.col("runtime_avg") / 60).alias("runtime_avg"), F.lit("yes").alias("complete"), "row_number"),
+        keys, F.col("row_number").desc())
 
 
 def prior_year_to_date(hourly: DataFrame, as_of: str, adjustments: dict[int, float] | None = None) -> DataFrame:
@@ -107,7 +113,7 @@ def years(hourly: DataFrame, as_of: str) -> DataFrame:
     return rollups.yearly_sums(hourly).select(
         F.col("year").alias("label"), (amount() / 60).alias("runtime"),
         F.when(F.col("year") == int(as_of[:4]), prior / 60).alias("previous_yeartodate_runtime"),
-        F.lit("yes").alias("complete"))
+        F.lit("yes").alias("complete")).orderBy("label")
 
 
 def plot_stamp(ts: Column, year: int) -> Column:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberline.functions.calendar import dow, ntz, period_start
+from emberline.functions.calendar import dow, instant_order, ntz, period_start
 from emberline.operators import chunks, model, quality, tables
 from emberline.operators.runs import AUTO, PERIOD
-from emberline.operators.states import fill_status
+from emberline.operators.states import fill_rows, fill_status, in_range
 from emberline.plans.closeout import closed_end
 
 SLOTS = {"hour": "hour", "dow": "day", "doy": "day", "month": "month", "year": "year"}
@@ -48,9 +50,22 @@ def gas_usage(intervals: DataFrame, slot: str, as_of: str) -> DataFrame:
     return tables.upsert(t, opened, [slot])
 
 
-def firing_rate(intervals: DataFrame, as_of: str) -> DataFrame:
-    """BTU per hour since the start of the previous hour."""
-    since = period_start("hour", ntz(as_of)) - F.expr("INTERVAL 1 HOUR")
-    return intervals.where((F.col("ts") >= since) & (F.col("ts") <= ntz(as_of))).select(
+def firing_rate(readings: DataFrame, log: DataFrame, as_of: str) -> DataFrame:
+    """BTU per hour since the start of the previous hour.
+
+    Of everything before only the newest reading matters, for the first gap; it is found by an
+    aggregate, so just the recent readings are ordered.
+    """
+    hour = datetime.fromisoformat(as_of).replace(minute=0, second=0, microsecond=0)
+    since = str(hour - timedelta(hours=1))
+    before = readings.where(F.col("ts") < ntz(since))
+    at = instant_order(F.col("ts"), F.col("tie"))
+    seed = before.agg(
+        F.max("ts").alias("ts"), F.max_by("tie", at).alias("tie"), F.max_by("watts", at).alias("watts"),
+    ).where(F.col("ts").isNotNull())
+    recent = in_range(readings, "ts", since, as_of, closed=True).select("ts", "tie", "watts")
+    seconds = chunks.choose_chunk(recent, [], "ts")
+    rows = fill_rows(recent.unionByName(seed), log.where(F.col("ts") <= ntz(as_of)), [], since, seconds)
+    return model.score(rows.where(F.col("ts") >= ntz(since))).select(
         "ts", "watts", "status", "heatcall",
         F.round(F.col("heatcall") / 100 * 60000).cast("int").alias("btuph"))

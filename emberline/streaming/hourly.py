@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -72,20 +74,20 @@ def live_hours(windows: DataFrame, feed_now: DataFrame, ts: str, delay: str = DE
     return hours.withColumn("closed", end <= mark)
 
 
-def hour_close_gaps(readings: DataFrame) -> DataFrame:
-    """Hours that a roll-over trigger never closes.
+def hour_close_gaps(readings: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Hours that a roll-over trigger never closes, for each device.
 
     The trigger closes an hour only when a reading falls into the next hour of day (23 before
     0), counted without the date. A longer silence leaves the last hour before it unsummed, or
     sums a wrong one. Works on one row per hour with readings.
     """
-    hours = readings.groupBy(F.to_date("ts").alias("sum_date"), F.hour("ts").alias("hour")).agg(
+    hours = readings.groupBy(*keys, F.to_date("ts").alias("sum_date"), F.hour("ts").alias("hour")).agg(
         F.count("*").alias("n"))
     at = F.timestamp_add("HOUR", F.col("hour"), F.col("sum_date").cast("timestamp_ntz"))
     hours = hours.withColumn("at", at)
-    w = Window.partitionBy(F.lit(0)).orderBy("at")
+    w = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("at")
     hours = hours.withColumn("next_at", F.lead("at").over(w))
     skipped = (F.floor(micros_between(F.col("at"), F.col("next_at")) / 3_600_000_000) - 1).cast("int")
     rolls = F.hour("next_at") == (F.col("hour") + 1) % 24
     return hours.where((skipped > 0) | ~rolls).select(
-        "sum_date", "hour", "n", "next_at", skipped.alias("hours_skipped"), rolls.alias("trigger_fires"))
+        *keys, "sum_date", "hour", "n", "next_at", skipped.alias("hours_skipped"), rolls.alias("trigger_fires"))

@@ -123,6 +123,32 @@ def test_backfill_applies_to_its_year_only(spark):
     assert first(charts.prior_year_to_date(h, "2018-06-01 00:00:00", charts.BACKFILL_MINUTES)).runtime == 1.0
 
 
+def test_charts_come_in_order(spark):
+    h = frames.hours(spark, [(f"202{2 + i % 2}-0{1 + i % 9}-{1 + i % 28:02d}", i % 24, i) for i in range(120)])
+    as_of = "2023-09-30 12:00:00"
+    days = [r.sum_date for r in charts.daily_vs_last_year(h, 30).collect()]
+    assert days == sorted(days) and len(days) == 30
+    slots = [(r.sum_date, r.label) for r in charts.day_vs_usual(h, as_of).collect()]
+    assert slots == sorted(slots)
+    assert [r.row_number for r in charts.year_vs_usual(h, h, as_of).collect()] == list(range(12, 0, -1))
+    assert [r.label for r in charts.years(h, as_of).collect()] == [2022, 2023]
+
+
+def test_charts_per_device_equal_charts_of_each_device(spark):
+    rows = [(f"2024-01-{1 + i % 28:02d}", (i * 5) % 24, i) for i in range(160)]
+    a, b = frames.hours(spark, rows[:110]), frames.hours(spark, rows[60:])
+    both = a.withColumn("key", F.lit(1)).unionByName(b.withColumn("key", F.lit(2)))
+    as_of = "2024-01-28 12:00:00"
+    forms = (
+        lambda h, k: charts.daily_vs_last_year(h, 10, k), lambda h, k: charts.week_vs_usual(h, h, True, k),
+        lambda h, k: charts.day_vs_usual(h, as_of, True, True, k), lambda h, k: charts.year_vs_usual(h, h, as_of, k))
+    for f in forms:
+        for key, single in ((1, a), (2, b)):
+            got = f(both, ["key"]).where(F.col("key") == key).drop("key")
+            want = f(single, ())
+            assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
 def test_daylight_takes_yesterday_while_still_to_come(spark):
     hours = spark.createDataFrame([(D(2024, 1, 2), 6), (D(2024, 1, 2), 7), (D(2024, 1, 2), 17)], "sum_date date, hour int")
     sky = spark.createDataFrame(
