@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from emberline.catalog.registry import BTU, EV, GAL, classified, order_hours, query
+from emberline.catalog.registry import BTU, EV, GAL, classified, curve, doy_season, order_hours, query
 from emberline.functions import energy
 from emberline.functions.calendar import dow, meteorological_season, micros_between
 from emberline.operators import chunks, model, rollups, runs, states
@@ -122,21 +122,10 @@ def interval_energy(spark, sf):
                     energy.kwh(energy.watt_micros(F.col("watts"), F.col("gap_us"))).alias("kwh"))
 
 
-_H = "CAST(o_custkey % 60 AS DOUBLE)"
-
-
 @query("degree_day_poly", f"""
-SELECT o_orderkey, round(CASE
-  WHEN d BETWEEN 60 AND 151 THEN CASE WHEN we THEN 95.970912e0 - 6.42011e0*h + 0.61051e0*h*h - 0.005119e0*h*h*h
-    ELSE 56.122516e0 + 4.128802e0*h - 0.509963e0*h*h + 0.039681e0*h*h*h - 0.000559e0*h*h*h*h END
-  WHEN d BETWEEN 152 AND 243 THEN CASE WHEN we THEN 63.50494e0 ELSE 56.70688e0 END
-  WHEN d BETWEEN 244 AND 334 THEN CASE WHEN we
-      THEN 54.303062e0 + 2.450336e0*h - 0.44358e0*h*h + 0.057871e0*h*h*h - 0.001182e0*h*h*h*h
-    ELSE 65.9696e0 - 10.36148e0*h + 1.38611e0*h*h - 0.02345e0*h*h*h END
-  ELSE CASE WHEN we THEN 813e0 - 101.0668277e0*h + 5.5227733e0*h*h - 0.1139575e0*h*h*h + 0.0008518e0*h*h*h*h
-    ELSE 942.79250606e0 - 67.43478419e0*h + 1.47757949e0*h*h + 0.03468729e0*h*h*h - 0.0013076e0*h*h*h*h
-         + 0.00001031e0*h*h*h*h*h END END, 6) AS runtime
-FROM (SELECT o_orderkey, {_H} AS h, dayofyear(o_orderdate) AS d, dayofweek(o_orderdate) IN (0, 6) AS we FROM orders)""")
+SELECT o_orderkey, round({curve('name', 'we', 'h')}, 6) AS runtime
+FROM (SELECT o_orderkey, CAST(o_custkey % 60 AS DOUBLE) AS h, {doy_season('dayofyear(o_orderdate)')} AS name,
+             dayofweek(o_orderdate) IN (0, 6) AS we FROM orders)""")
 def degree_day_poly(spark, sf):
     d = F.col("o_orderdate")
     value = curve_value(meteorological_season(F.dayofyear(d)), dow(d).isin(0, 6), (F.col("o_custkey") % 60).cast("double"))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from emberline.functions.calendar import HEATING_SEASON
+from emberline.plans.forecast import RUNTIME_CURVES
 from emberline.sources.fixtures import H_AS_OF, O_AS_OF, THRESHOLDS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -178,21 +179,21 @@ FORECAST = f"""fc AS (
   GROUP BY CAST(o_orderdate AS DATE), 1)"""
 DEGREES = f"""{CLIMATE}, {FORECAST}, hdd AS (
   SELECT c.doy, coalesce(f.hdd, CAST(round(c.hdd_avg) AS INTEGER)) AS hdd FROM climate c LEFT JOIN fc f USING (doy))"""
-_WE = "dayofweek(d) IN (0, 6)"
+
+
+def curve(name: str, weekend: str, x: str) -> str:
+    """The runtime curves as plain powers, from the same fixed values."""
+    def powers(coefficients):
+        return " + ".join(f"({c:.10f}e0) * pow({x}, {i})" for i, c in enumerate(coefficients))
+
+    return "CASE " + " ".join(
+        f"WHEN {name} = '{season_name}' AND {'' if part == 'weekend' else 'NOT '}{weekend} THEN {powers(c)}"
+        for (season_name, part), c in RUNTIME_CURVES.items()) + " END"
+
+
 PREDICTED = f"""{DEGREES}, pr AS (
-  SELECT d AS date, doy, CASE {doy_season('doy')}
-    WHEN 'spring' THEN CASE WHEN {_WE}
-      THEN -0.005119e0*h**3 + 0.610510e0*h**2 - 6.420110e0*h + 95.970912e0
-      ELSE -0.000559e0*h**4 + 0.039681e0*h**3 - 0.509963e0*h**2 + 4.128802e0*h + 56.122516e0 END
-    WHEN 'summer' THEN CASE WHEN {_WE} THEN 63.50494e0 ELSE 56.70688e0 END
-    WHEN 'fall' THEN CASE WHEN {_WE}
-      THEN -0.001182e0*h**4 + 0.057871e0*h**3 - 0.443580e0*h**2 + 2.450336e0*h + 54.303062e0
-      ELSE -0.02345e0*h**3 + 1.38611e0*h**2 - 10.36148e0*h + 65.96960e0 END
-    WHEN 'winter' THEN CASE WHEN {_WE}
-      THEN 0.0008518e0*h**4 - 0.1139575e0*h**3 + 5.5227733e0*h**2 - 101.0668277e0*h + 813e0
-      ELSE 0.00001031e0*h**5 - 0.00130760e0*h**4 + 0.03468729e0*h**3 + 1.47757949e0*h**2
-           - 67.43478419e0*h + 942.79250606e0 END END AS predicted_runtime
-  FROM (SELECT CAST(d AS DATE) AS d, hdd.doy, CAST(hdd.hdd AS DOUBLE) AS h
+  SELECT d AS date, doy, {curve('name', 'dayofweek(d) IN (0, 6)', 'h')} AS predicted_runtime
+  FROM (SELECT CAST(d AS DATE) AS d, hdd.doy, {doy_season('hdd.doy')} AS name, CAST(hdd.hdd AS DOUBLE) AS h
         FROM generate_series(DATE '{O_AS_OF[:10]}', DATE '{O_AS_OF[:10]}' + 365, INTERVAL 1 DAY) g(d)
         JOIN hdd ON dayofyear(d) = hdd.doy))"""
 DELIVERIES = f"""dl AS (

@@ -28,3 +28,12 @@ def test_entry_has_rows(spark):
 
 def test_sql_only_for_known_queries():
     assert set(SQL) <= set(QUERIES)
+
+
+def test_coverage_table_names_real_queries():
+    import pathlib
+    import re
+
+    text = (pathlib.Path(entry.__file__).parent / "COVERAGE.md").read_text()
+    named = {q for line in text.splitlines() if line.startswith("| ") for q in re.findall(r"`([a-z0-9_]+)`", line.split("|")[3])}
+    assert named == set(QUERIES)
