@@ -81,7 +81,8 @@ def classify_runs(
     """State, interval quantities and run id of every reading in a range.
 
     ``which`` picks the threshold: ``hi`` (burner) or ``lo`` (pump; includes burner time and
-    carries no fuel). ``period`` restarts gaps and run ids at every hour/day/month, which equals
+    carries no fuel). Thresholds hold for all devices or, if they have the key columns, for their
+    own. ``period`` restarts gaps and run ids at every hour/day/month, which equals
     one call per period. ``seconds`` is the scan's chunk length: measured if AUTO, None for whole
     keys.
     """
@@ -101,8 +102,10 @@ def known_states(readings, log, thresholds, keys, start, end, period=None, close
     if seconds == AUTO:
         seconds = chunks.choose_chunk(rows, keys, "ts", period)
     rows = chunks.with_chunk(rows, "ts", seconds)
-    rows = status_as_of(rows, log, keys, start, seconds)
-    rows = threshold_as_of(rows, thresholds, end)
+    if keys and set(keys) <= set(thresholds.columns):
+        rows = status_as_of(rows, log, keys, start, seconds, in_before(thresholds, end, "change_time"))
+    else:
+        rows = threshold_as_of(status_as_of(rows, log, keys, start, seconds), thresholds, end)
     if period is not None:
         rows = rows.withColumn(PERIOD, period_start(period, F.col("ts")))
     return rows, seconds

@@ -85,10 +85,12 @@ def last_status(name: str = "status") -> Column:
 
 def status_as_of(
     readings: DataFrame, log: DataFrame, keys: Sequence[str], start: str | None = None,
-    seconds: int | None = None,
+    seconds: int | None = None, thresholds: DataFrame | None = None,
 ) -> DataFrame:
     """Adds ``main_status``: the last log entry at or before each reading (log wins a tie).
 
+    ``thresholds`` with a row per device and change travel the same way and add ``hi`` and ``lo``.
+
     Log entries older than ``start`` count too; they give the state at the start. The rows keep
     ``_kind`` and, where the scan is split, their chunk number for the scans that follow.
     Only the last of them per key matters, so the rest is dropped before the scan.
@@ -100,13 +102,18 @@ def status_as_of(
         initial = old.groupBy(*keys).agg(
             F.max("ts").alias("ts"), F.max_by("tie", at).alias("tie"), F.max_by("_on", at).alias("_on"))
         marks = marks.where(F.col("ts") >= ntz(start)).unionByName(initial.where(F.col("ts").isNotNull()))
+    filled = ["_on"]
+    if thresholds is not None:
+        changes = thresholds.select(
+            *keys, F.col("change_time").alias("ts"), F.lit(0).cast("long").alias("tie"), "hi", "lo")
+        marks, filled = marks.unionByName(changes, allowMissingColumns=True), ["_on", "hi", "lo"]
     marks = chunks.with_chunk(marks, "ts", seconds)
     readings = chunks.with_chunk(readings, "ts", seconds)
     rows = (
         readings.withColumn("_kind", F.lit(1))
         .unionByName(marks.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
     )
-    rows = chunks.fill_forward(rows, keys, SCAN_ORDER, ("_on",), seconds)
+    rows = chunks.fill_forward(rows, keys, SCAN_ORDER, filled, seconds)
     return rows.where(F.col("_kind") == 1).withColumn("main_status", on_off(F.col("_on"))).drop("_on")
 
 

@@ -90,6 +90,17 @@ def test_threshold_changes_over_time(spark):
     assert rows(classify(spark, r, on, thr=thr), "system_status") == [("boiler",), ("main power",), ("boiler",)]
 
 
+@pytest.mark.parametrize("seconds", [None, 60])
+def test_thresholds_of_each_device(spark, seconds):
+    thr = spark.createDataFrame([
+        (1, frames.at("2024-01-01 00:00:00"), 60, 20), (1, frames.at("2024-01-05 02:00:00"), 90, 20),
+        (2, frames.at("2024-01-01 00:00:00"), 10, 5)], "key long, change_time timestamp_ntz, hi int, lo int")
+    r = frames.readings(spark, [(1, "01:00:00", 70), (2, "01:00:00", 15), (1, "02:00:00", 70), (2, "03:00:00", 7), (3, "03:00:00", 99)])
+    on = frames.log(spark, [(k, "2024-01-04 00:00:00", "ON") for k in (1, 2, 3)])
+    assert rows(classify(spark, r, on, thr=thr, seconds=seconds), "key", "system_status") == [
+        (1, "boiler"), (1, "main power"), (2, "boiler"), (2, "main power"), (3, None)]
+
+
 def test_no_threshold_yet_leaves_the_state_unknown(spark):
     thr = frames.thresholds(spark, [("2024-01-05 02:00:00", 60, 20)])
     r = frames.readings(spark, [("01:00:00", 80), ("03:00:00", 80)])
