@@ -96,14 +96,14 @@ def known_states(readings, log, thresholds, keys, start, end, period=None, close
     Readings without a device or without power belong to no run and are left out.
     """
     rows = in_range(readings, "ts", start, end, closed).where(F.col("watts").isNotNull())
-    log = in_before(log, end)
+    log = in_before(log, end, closed=closed)
     for k in keys:
         rows, log = rows.where(F.col(k).isNotNull()), log.where(F.col(k).isNotNull())
     if seconds == AUTO:
         seconds = chunks.choose_chunk(rows, keys, "ts", period)
     rows = chunks.with_chunk(rows, "ts", seconds)
     if keys and set(keys) <= set(thresholds.columns):
-        rows = status_as_of(rows, log, keys, start, seconds, in_before(thresholds, end, "change_time"))
+        rows = status_as_of(rows, log, keys, start, seconds, in_before(thresholds, end, "change_time", closed))
     else:
         rows = threshold_as_of(status_as_of(rows, log, keys, start, seconds), thresholds, end)
     if period is not None:

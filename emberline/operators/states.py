@@ -183,8 +183,8 @@ def fill_rows(
         "_before", "_kind", chunks.CHUNK).withColumnRenamed("main_status", "status")
 
 
-def in_before(df: DataFrame, end: str, ts: str = "ts") -> DataFrame:
-    return df.where(F.col(ts) < ntz(end))
+def in_before(df: DataFrame, end: str, ts: str = "ts", closed: bool = False) -> DataFrame:
+    return df.where(F.col(ts) <= ntz(end) if closed else F.col(ts) < ntz(end))
 
 
 def active_days(days: DataFrame, log: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -113,6 +113,9 @@ def test_closed_and_half_open_range(spark):
     on = frames.log(spark, [("2024-01-04 00:00:00", "ON")])
     assert classify(spark, r, on).count() == 1
     assert classify(spark, r, on, closed=True).count() == 2
+    # an entry at the closed end still applies to a reading there
+    off = frames.log(spark, [("2024-01-04 00:00:00", "ON"), ("2024-01-06 00:00:00", "OFF")])
+    assert rows(classify(spark, r, off, closed=True), "main_status") == [("ON",), ("OFF",)]
 
 
 def test_unknown_power_is_left_out_of_runs_but_kept_by_fill(spark):
@@ -138,6 +141,32 @@ def test_debounce_fills_single_off_samples_only(spark):
             ("ON", 0), ("ON", 0), ("ON", 0), ("OFF", None), ("OFF", None), ("ON", 1)]
 
 
+def test_cycle_statistics_agree_with_counting_by_hand(spark):
+    """The same figures by window and grouping, by a plain loop, and from chunks."""
+    r, _ = _random_feed(spark, 5)
+    state = states.fixed_state(F.col("watts"), 30)
+    by_hand = {}
+    last = {}
+    for x in r.orderBy("key", "ts", "tie").collect():
+        on = x.watts is not None and x.watts > 30
+        before_ts, before_on = last.get(x.key, (None, None))
+        runs_of = by_hand.setdefault(x.key, [])
+        if on:
+            if before_on is False or not runs_of:
+                runs_of.append(None)
+            if before_ts is not None:
+                runs_of[-1] = (runs_of[-1] or 0) + (x.ts - before_ts).total_seconds() / 60
+        last[x.key] = (x.ts, on)
+    want = {k: (len([v for v in m if v is not None]), round(sum(v or 0 for v in m) / 60, 2)) for k, m in by_hand.items()}
+    for seconds in (None, 600):
+        f = runs.fixed_runs(r, ["key"], state, seconds=seconds)
+        got = runs.cycle_stats(runs.run_sums(f, ["key"], cap=False), ["key"])
+        got = {x.key: (x.cycles, x.total_hours) for x in got.collect()}
+        assert got.keys() == want.keys()
+        for key in want:
+            assert got[key] == pytest.approx(want[key], abs=0.011)
+
+
 def test_furnace_mode_order(spark):
     df = spark.createDataFrame(
         [("ON", 30, 5.0), ("ON", 60, 700.0), ("ON", 100, 601.0), ("ON", 501, 5.0), ("ON", 501, 700.0),
