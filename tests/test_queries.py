@@ -4,8 +4,9 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry
+from emberline import catalog
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = dict(catalog.QUERIES), dict(catalog.ORACLES)
 
 
 @pytest.fixture(scope="module")
