@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from emberline.llm import contamination, packing, token_counts
+from emberline.llm import contamination, packing, simhash, token_counts
 from emberline.llm.common import table
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, budget=2)
+    return found.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -21,5 +27,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op3_token_counts, op5_decontamination, op10_packing)}
+QUERIES = {f.__name__: f for f in (op2_simhash, op3_token_counts, op5_decontamination, op10_packing)}
 ORACLES: dict[str, str] = {}
