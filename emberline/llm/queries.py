@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberline.llm import contamination, packing, repeats, simhash, token_counts
+from emberline.llm import archives, contamination, packing, repeats, simhash, token_counts
 from emberline.llm.common import table
 
 
@@ -27,9 +27,14 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = archives.convert_pages(table(spark, sf_dir, "pages"))
+    return found.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op3_token_counts, op4_suffix_dedup, op5_decontamination, op10_packing)}
+QUERIES = {f.__name__: f for f in (op2_simhash, op3_token_counts, op4_suffix_dedup, op5_decontamination, op7_warc, op10_packing)}
 ORACLES: dict[str, str] = {}
