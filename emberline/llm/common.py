@@ -53,3 +53,10 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 <<
 def parts_for(size: int, each: int) -> int:
     """How many parts of ``each`` hold ``size``, one at least."""
     return max(1, -(-int(size) // each))
+
+
+def once(shared, make):
+    """What ``make`` makes of a broadcast value, made once in each Python worker."""
+    if not hasattr(shared, "made"):
+        shared.made = make(shared.value)
+    return shared.made

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberline.llm import archives, contamination, licenses, neighbours, packing, repeats, simhash, token_counts
+from emberline.llm import archives, contamination, language_model, licenses, neighbours, packing, repeats, simhash, token_counts
 from emberline.llm.common import table
 
 
@@ -75,9 +75,13 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_neighbours, op2_simhash, op3_token_counts, op4_suffix_dedup, op5_decontamination, op6_licenses, op7_warc, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_neighbours, op2_simhash, op3_token_counts, op4_suffix_dedup, op5_decontamination, op6_licenses, op7_warc, op8_language_model, op10_packing)}
 ORACLES = {"op6_licenses": OP6_SQL}
