@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emberline.llm.common import parts_for, shared_path, slices, text_bytes
+from emberline.llm.common import once, parts_for, shared_path, slices, text_bytes
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 # Lower-cases A-Z and turns every byte outside words into a space.
@@ -144,12 +144,9 @@ def overlaps(docs: DataFrame, items: DataFrame, window: int = 10, text_col: str
     for block in range(blocks):
         own = tests if blocks == 1 else tests.where(F.expr(f"pmod(xxhash64(id, text), {blocks}) = {block}"))
         shared = spark.sparkContext.broadcast([tuple(r) for r in own.collect()])  # one block: its size is bounded
-        held: dict[str, Automaton] = {}
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, held=held) -> Iterator[pa.RecordBatch]:
-            if "automaton" not in held:
-                held["automaton"] = Automaton([(i, bytes(t)) for i, t in shared.value], window)
-            automaton = held["automaton"]
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            automaton = once(shared, lambda rows: Automaton([(i, bytes(t)) for i, t in rows], window))
             for batch in slices(batches, "_text"):
                 counts, spans, found = [], [], []
                 for text, before, owners in zip(
