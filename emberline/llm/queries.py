@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberline.llm import archives, contamination, language_model, licenses, neighbours, packing, repeats, simhash, token_counts
+from emberline.llm import archives, contamination, language_model, licenses, neighbours, packing, quality, repeats, simhash, token_counts
 from emberline.llm.common import table
 
 
@@ -79,9 +79,14 @@ def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.col("source"), F.col("lang"))
+    return found.drop("key")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_neighbours, op2_simhash, op3_token_counts, op4_suffix_dedup, op5_decontamination, op6_licenses, op7_warc, op8_language_model, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_neighbours, op2_simhash, op3_token_counts, op4_suffix_dedup, op5_decontamination, op6_licenses, op7_warc, op8_language_model, op9_quality, op10_packing)}
 ORACLES = {"op6_licenses": OP6_SQL}
