@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from emberline.llm.common import parts_for
 
@@ -252,7 +253,7 @@ def repeats(length: int):
     return run
 
 
-def remaining(length: int, want_text: bool):
+def remaining(length: int, want_text: bool, least_span: int):
     """From a part, with its repeats, to its documents: the spans of bytes to remove, and what stays."""
     side = length - TRIGGER
 
@@ -273,6 +274,8 @@ def remaining(length: int, want_text: bool):
         for i, text in enumerate(part.texts):
             own = gone[part.starts[i]:part.starts[i + 1]]
             edge = np.flatnonzero(np.diff(np.concatenate([[0], own.view(np.int8), [0]]))).tolist() if own.any() else []
+            if least_span:
+                edge = [x for a, b in zip(edge[::2], edge[1::2], strict=True) if b - a >= least_span for x in (a, b)]
             spans.append([{"a": a, "b": b} for a, b in zip(edge[::2], edge[1::2], strict=True)])
             stays = [0, *edge, len(text)]
             kept.append(b"".join(text[a:b] for a, b in zip(stays[::2], stays[1::2], strict=True)) if edge else text)
@@ -286,12 +289,12 @@ def remaining(length: int, want_text: bool):
     return run
 
 
-def repeated_spans(docs: DataFrame, length: int = 50, want_text: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = 50, least_span: int = 0, want_text: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``rest`` (its other columns), absent, n_bytes, spans, kept_sha256 and kept.
 
     ``spans`` are the byte ranges covered by strings of ``length`` bytes that also start in a document with
-    a smaller id, judged on the input; ``kept`` is the rest of the text, where it is asked for. Texts are
-    shuffled once and read from there three times: to find triggers that stand in two documents, to send
+    a smaller id, judged on the input, of at least ``least_span`` bytes each; ``kept`` is the rest of the text,
+    where it is asked for. Texts are shuffled once and read from there three times: to find triggers that stand in two documents, to send
     their phrases, and to cut. Parts hold about ``PART_BYTES`` of text, dealt by a hash of the id, and send
     a hash or phrase once however often it stands in them, so frequent strings and copies add little.
 
@@ -318,7 +321,7 @@ def repeated_spans(docs: DataFrame, length: int = 50, want_text: bool = False, i
     home = F.when(F.col("key") < 0, -1 - F.col("part")).otherwise(F.col("key"))
     found = met.withColumn("key", home).groupBy("key").applyInArrow(repeats(length), "part long, rid binary, at binary, bits binary")
     kind = f"rest {base.schema['rest'].dataType.simpleString()}, absent boolean, n_bytes long, spans array<struct<a:long,b:long>>, kept_sha256 string, kept binary"
-    return by_part.cogroup(found.groupBy("part")).applyInArrow(remaining(length, want_text), kind)
+    return by_part.cogroup(found.groupBy("part")).applyInArrow(remaining(length, want_text, least_span), kind)
 
 
 def report(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -327,3 +330,16 @@ def report(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col:
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["b"] - s["a"])
     return found.select(F.col("rest")[id_col].alias(id_col), "n_bytes", removed.alias("n_removed"),
                         F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
+def whole_characters(data):
+    """Text of bytes that may begin or end within a character."""
+    return None if data is None else bytes(data).decode("utf-8", "ignore")
+
+
+def deduplicated(docs: DataFrame, length: int = 50, least_span: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents without their repeated spans of at least ``least_span`` bytes; other texts are unchanged."""
+    found = repeated_spans(docs, length, least_span, True, id_col, text_col)
+    kept = F.col("kept").cast("string")
+    text = F.when(F.col("absent"), F.lit(None)).when(F.size("spans") > 0, F.udf(whole_characters, T.StringType())("kept")).otherwise(kept)
+    return found.select(*(text.alias(c) if c == text_col else F.col("rest")[c].alias(c) for c in docs.columns))
