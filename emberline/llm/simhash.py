@@ -215,9 +215,9 @@ def near_duplicates(
     """(id, fp, component_id) of every row; the component is the smallest id linked directly or through others.
 
     With ``budget`` fingerprints have 64 bits and all pairs within that many differing bits are linked. With
-    ``similarity`` they have 256, and a pair is linked if it differs in no more bits than texts of that Jaccard
-    similarity of their shingles are expected to; texts at the threshold itself meet with probability
-    ``recall``, more similar ones nearly always. Equal fingerprints are always linked and joined only once.
+    ``similarity`` they have 256, and a pair is linked if it differs in no more bits than three in four pairs of
+    that Jaccard similarity of their shingles; pairs at the threshold itself meet with probability ``recall``,
+    more similar ones nearly always. Equal fingerprints are always linked and joined only once.
 
     Null, empty and blank texts have a zero fingerprint and are linked with each other. Rows with a null id
     get a null component and link nothing; repeated rows share a component; empty tables give no rows; extra
@@ -232,7 +232,8 @@ def near_duplicates(
         orders, prefix = exact_plan(64, budget)
     else:
         orders, prefix = recall_plan(256, similarity, rows, recall)
-        budget = round(differing_share(similarity) * 256)
+        share = differing_share(similarity)
+        budget = round(256 * share + 0.75 * math.sqrt(256 * share * (1 - share)))
     roots = connected_components(links(classes, 64 * lanes, budget, orders, prefix, rows))
     named = classes.join(roots, "id", "left").select("fp", F.coalesce("root", "id").alias("component_id"))
     return prints.join(named, "fp").select(
