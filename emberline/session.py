@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -9,7 +10,7 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cpus: int = 8, partitions: int | None = None) -> SparkSession:
-    """A session for tests and the bench; on a cluster the caller brings its own."""
+    """A session for tests and the bench, with a scratch folder of its own; on a cluster the caller brings both."""
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("emberline")
@@ -18,6 +19,7 @@ def local_session(cpus: int = 8, partitions: int | None = None) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(partitions or cpus))
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.checkpoint.dir", os.environ.get("EMBERLINE_SCRATCH") or tempfile.mkdtemp(prefix="emberline-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -25,13 +27,8 @@ def local_session(cpus: int = 8, partitions: int | None = None) -> SparkSession:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared one the cluster names in ``spark.checkpoint.dir``.
-
-    Only where that setting is absent (tests on one machine) is a local folder used, and it
-    is then set for the rest of the session.
-    """
+    """A fresh folder below the one that the driver and all executors share, named in ``spark.checkpoint.dir``."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="emberline-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
