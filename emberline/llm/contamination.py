@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from emberline.llm.common import once, parts_for, shared_path, slices, text_bytes
 
-WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+RUN = re.compile(rb"[^ ]+")
 # Lower-cases A-Z and turns every byte outside words into a space.
 NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 BLOCK_BYTES = 8 << 20
@@ -181,7 +181,7 @@ def without_spans(text, spans):
     if not text or not spans:
         return text
     data = text.encode()
-    at = [m.span() for m in WORD.finditer(data)]
+    at = [m.span() for m in RUN.finditer(data.translate(NORMAL))]
     kept, done = [], 0
     for s in spans:
         kept.append(data[done:at[s["a"]][0]])
