@@ -32,12 +32,14 @@ FIGURES = ("cycles", "total_runtime", "avg_runtime", "min_runtime", "max_runtime
 
 @query("run_sums", f"""
 WITH {run_totals('hi')}
-SELECT key, run_id, system_status, us / 6e7 AS runtime, CAST(w_us AS DOUBLE) / 3.6e12 AS kwh FROM r""")
+SELECT key, run_id, system_status, us / 6e7 AS runtime, CAST(w_us AS DOUBLE) / 3.6e12 AS kwh,
+       coalesce(round(CASE WHEN system_status = 'boiler' THEN us * (140000e0 * 0.666205227383988e0) / 3.6e9 END, 6), 0) AS btu,
+       coalesce(round(CASE WHEN system_status = 'boiler' THEN us * 0.666205227383988e0 / 3.6e9 END, 9), 0) AS gallons FROM r""")
 def run_sums(spark, sf):
     c = runs.classify_runs(*feed(spark, sf), "hi", fx.E_START, fx.E_END)
-    return runs.run_sums(c, fx.KEY).select(
+    return runs.with_fuel(runs.run_sums(c, fx.KEY), "boiler").select(
         "key", "run_id", "system_status", (F.col("run_us") / 6e7).alias("runtime"),
-        (F.col("w_us").cast("double") / 3.6e12).alias("kwh"))
+        (F.col("w_us").cast("double") / 3.6e12).alias("kwh"), F.round("btu", 6).alias("btu"), F.round("gallons", 9).alias("gallons"))
 
 
 @query("run_summary", f"WITH {run_totals('hi')} {totals_sql('key, ')}")

@@ -25,7 +25,18 @@ def poly_fit_deg1(spark, sf):
     return f.select(F.round("slope", 4).alias("slope"), F.round("intercept", 4).alias("intercept"))
 
 
-@query("poly_fit")
+def orthogonal_fit_sql(degree: int) -> str:
+    """Least squares by polynomials that are orthogonal under the counts of the distinct quantities."""
+    ctes = ["""d AS (SELECT l_quantity, (CAST(l_quantity AS DOUBLE) - 25.5) / 24.5 AS z, count(*) AS n,
+  sum(CAST(l_extendedprice AS DOUBLE)) AS y FROM lineitem GROUP BY 1, 2)""", "p0 AS (SELECT *, 1e0 AS v0 FROM d)"]
+    for k in range(degree):
+        below = f"- v{k - 1} * (SELECT sum(n * v{k} * v{k}) / sum(n * v{k - 1} * v{k - 1}) FROM p{k})" if k else ""
+        ctes.append(f"p{k + 1} AS (SELECT *, v{k} * (z - (SELECT sum(n * z * v{k} * v{k}) / sum(n * v{k} * v{k}) FROM p{k})) {below} AS v{k + 1} FROM p{k})")
+    terms = " + ".join(f"v{k} * (SELECT sum(y * v{k}) / sum(n * v{k} * v{k}) FROM p{degree})" for k in range(degree + 1))
+    return f"WITH {', '.join(ctes)} SELECT l_quantity, n, round({terms}, 4) AS prediction FROM p{degree}"
+
+
+@query("poly_fit", orthogonal_fit_sql(5))
 def poly_fit(spark, sf):
     """Degree-5 fit over all line items, evaluated at every quantity."""
     items = table(spark, sf, "lineitem").select("l_quantity", "l_extendedprice")

@@ -4,6 +4,9 @@ A window over a whole series puts the series into one task. When the busiest key
 than a task should hold, the scans in this package work per (key, time chunk) instead: rows are
 shuffled once by both, windows stay inside a chunk, and what must cross a chunk border (last
 state, last reading, running totals) travels through a summary with one row per (key, chunk).
+
+A row without a device (a null in ``keys``) belongs to no series: in either form it is kept, and what a
+scan would add to it is null. Rows without a time come before all others of their device, as in a window.
 """
 
 from __future__ import annotations
@@ -21,12 +24,13 @@ MAX_ROWS_PER_TASK = 2_000_000
 CHUNK_CHOICES = (86400, 21600, 3600, 600, 60, 10, 1)
 PERIOD_SECONDS = {"hour": 3600, "day": 86400, "month": 86400, "year": 86400, None: 86400}
 CHUNK = "_chunk"
+BEFORE_ALL = -(1 << 62)  # the chunk of rows without a time
 
 
 def chunk_of(ts: Column, seconds: int) -> Column:
     """Start of the ``seconds``-long chunk that holds ``ts``, in microseconds from 1970."""
     at = epoch_micros(ts)
-    return at - F.pmod(at, F.lit(seconds * US))
+    return F.coalesce(at - F.pmod(at, F.lit(seconds * US)), F.lit(BEFORE_ALL))
 
 
 def choose_chunk(
@@ -69,6 +73,12 @@ def with_chunk(df: DataFrame, ts: str, seconds: int | None) -> DataFrame:
     return df.withColumn(CHUNK, chunk_of(F.col(ts), seconds))
 
 
+def of_series(keys: Sequence[str], value: Column) -> Column:
+    """The value on rows that have a device, null on others."""
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys], F.lit(True))
+    return F.when(known, value) if keys else value
+
+
 def ordered(keys: Sequence[str], order: Sequence[str]):
     return Window.partitionBy(*keys).orderBy(*order)
 
@@ -103,10 +113,10 @@ def fill_forward(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
     seconds: int | None = None,
 ) -> DataFrame:
-    """Replaces each column by its last non-null value up to the row. Keys must be known."""
+    """Replaces each column by its last non-null value up to the row; rows without a device keep theirs."""
     rows = with_chunk(df, order[0], seconds)
     w = up_to_here(ordered(inside(keys, seconds), order))
-    filled = {c: F.last(c, ignorenulls=True).over(w) for c in cols}
+    filled = {c: F.coalesce(of_series(keys, F.last(c, ignorenulls=True).over(w)), F.col(c)) for c in cols}
     if seconds is None:
         return rows.withColumns(filled)
     # The last value of a chunk comes from the rows that have one, often a small part of all.
@@ -132,13 +142,13 @@ def running_sum(
     w = ordered(inside(keys, seconds), order)
     total = F.sum("_x").over(w if peers else up_to_here(w))
     if seconds is None:
-        return rows.withColumn(name, total).drop("_x")
+        return rows.withColumn(name, of_series(keys, total)).drop("_x")
     part = rows.groupBy(*keys, CHUNK).agg(F.sum("_x").alias("_p"))
     offset = part.select(
         *keys, CHUNK, F.sum("_p").over(before_here(along_chunks(keys))).alias("_off"))
     out = attach(rows.withColumn("_s", total), offset, keys)
     both = F.coalesce(F.col("_s") + F.col("_off"), F.col("_s"), F.col("_off"))
-    return _done(out.withColumn(name, both).drop("_x", "_s", "_off"), df)
+    return _done(out.withColumn(name, of_series(keys, both)).drop("_x", "_s", "_off"), df)
 
 
 def previous(
@@ -160,7 +170,7 @@ def following(
 def _neighbour(df, keys, order, cols, seconds, step, back):
     rows = with_chunk(df, order[0], seconds)
     w = ordered(inside(keys, seconds), order)
-    near = {name: step(c).over(w) for c, name in cols.items()}
+    near = {name: of_series(keys, step(c).over(w)) for c, name in cols.items()}
     if seconds is None:
         return rows.withColumns(near)
     one = F.lit(1)

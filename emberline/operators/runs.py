@@ -26,9 +26,10 @@ def mark_runs(
 
     A run starts where the state turns to ``running`` from another known state. A run already
     open at the first row has id 0, and so has one that follows an unknown state before any
-    start. Rows in another known state have no id. ``restart`` columns (a period) begin anew.
+    start. Rows in another known state have no id, nor have rows without a device, which have no gap
+    either. ``restart`` columns (a period) begin anew.
     """
-    keys = [*keys, *restart]
+    devices, keys = keys, [*keys, *restart]
     here, runs_on = F.col(state), F.col(state) == running
     if seconds is None:
         w = chunks.ordered(keys, order)
@@ -38,8 +39,8 @@ def mark_runs(
     else:
         rows = _mark_runs_chunked(rows, keys, state, running, seconds, order)
     return rows.withColumns({
-        "gap_us": micros_between(F.col("_pts"), F.col("ts")),
-        "run_id": F.when(here.isNotNull() & (here != running), None).otherwise(F.col("_n")),
+        "gap_us": chunks.of_series(devices, micros_between(F.col("_pts"), F.col("ts"))),
+        "run_id": chunks.of_series(devices, F.when(here.isNotNull() & (here != running), None).otherwise(F.col("_n"))),
     }).drop("_pts", "_ps", "_n")
 
 
@@ -134,6 +135,12 @@ def run_sums(classified: DataFrame, keys: Sequence[str], cap: bool = True) -> Da
     )
 
 
+def with_fuel(runs: DataFrame, running: str) -> DataFrame:
+    """Adds heat and fuel of each run to its sums; other states burn nothing."""
+    us = F.when(F.col("system_status") == running, F.col("run_us")).otherwise(F.lit(0))
+    return runs.withColumns({"btu": F.coalesce(energy.btu(us), F.lit(0.0)), "gallons": F.coalesce(energy.gallons(us), F.lit(0.0))})
+
+
 def summarize_runs(runs: DataFrame, keys: Sequence[str], running: str) -> DataFrame:
     """Totals over runs; without any run or reading every figure is zero."""
     on = F.col("system_status") == running

@@ -1,6 +1,8 @@
 """Rollups, charts, forecast, inventory, table maintenance, sources and the model, by hand."""
 
 import datetime as dt
+import glob
+import pathlib
 from decimal import Decimal
 
 import frames
@@ -247,6 +249,28 @@ def test_insert_ignore_update_reset_roll(spark):
     assert got == {1: (3.0, None), 2: (2.0, 3.0)}
 
 
+def test_one_row_per_key_whatever_the_change_holds(spark):
+    old = spark.createDataFrame([(1, 1), (2, 2)], "k int, v int")
+    two = spark.createDataFrame([(2, 7), (2, 9), (3, 4), (3, 3), (3, 3)], "k int, v int")
+    assert sorted(map(tuple, tables.insert_ignore(old, two, ["k"]).collect())) == [(1, 1), (2, 2), (3, 3)]
+    assert sorted(map(tuple, tables.keyed_update(old, two, ["k"], ["v"]).collect())) == [(1, 1, False), (2, 9, True)]
+    empty = two.limit(0)
+    assert sorted(map(tuple, tables.insert_ignore(old, empty, ["k"]).collect())) == [(1, 1), (2, 2)]
+
+
+def test_upsert_reads_only_touched_days_and_leaves_no_staged_rows(spark):
+    path = scratch_path(spark, "t")
+    tables.write_days(frames.hours(spark, [(f"2024-01-{d:02d}", 1, d) for d in range(1, 20)]), path)
+    for month in range(1, 20):  # an unreadable day shows whether it is read
+        if month != 3:
+            for f in glob.glob(f"{path.removeprefix('file:')}/sum_date=2024-01-{month:02d}/*.parquet"):
+                pathlib.Path(f).write_bytes(b"no parquet")
+    tables.upsert_days(path, frames.hours(spark, [("2024-01-03", 1, 30), ("2024-01-03", 2, 31)]), ["sum_date", "hour"])
+    got = spark.read.schema("hour int, runtime decimal(12,2), sum_date date").parquet(path).where("sum_date = DATE'2024-01-03'")
+    assert sorted((r.hour, float(r.runtime)) for r in got.collect()) == [(1, 30.0), (2, 31.0)]
+    assert spark.read.parquet(f"{path}-staged/merged").count() == spark.read.parquet(f"{path}-staged/change").count() == 0
+
+
 def test_constraint_check_passes_unknown_and_counts_duplicates(spark):
     df = spark.createDataFrame([(1, "a"), (1, None), (2, "z")], "id int, kind string")
     got = {r.rule: r.violations for r in quality.rule_violations(
@@ -254,6 +278,11 @@ def test_constraint_check_passes_unknown_and_counts_duplicates(spark):
     assert got == {"kind": 1, "id": 1}
 
 
+def test_surrogate_keys_keep_rows_without_a_range(spark):
+    df = spark.createDataFrame([(1, None), (2, 5), (3, None)], "v int, g int")
+    assert sorted((r.k, r.v) for r in tables.with_surrogate_key(df, "k", F.col("g"), ["v"]).collect()) == [(1, 1), (2, 3), (3, 2)]
+
+
 def test_surrogate_keys_are_dense_and_ordered(spark):
     df = spark.range(500).select(((F.col("id") * 7) % 500).alias("v"))
     got = tables.with_surrogate_key(df, "k", F.floor(F.col("v") / 90), ["v"])

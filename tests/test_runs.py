@@ -249,6 +249,26 @@ def test_chunked_helpers_equal_window(spark, seconds):
             assert rows(f(None), "key", "ts", "x") == rows(f(seconds), "key", "ts", "x")
 
 
+@pytest.mark.parametrize("seconds", [3600, 60])
+def test_rows_without_device_or_time_come_out_alike_in_both_forms(spark, seconds):
+    r, _ = _random_feed(spark, 5)
+    r = r.withColumns({"key": F.when(F.col("tie") % 7 != 0, F.col("key")), "ts": F.when(F.col("tie") % 11 != 0, F.col("ts")),
+                       "state": F.when(F.col("watts") > 20, "ON").when(F.col("watts").isNotNull(), "OFF")})
+    order, keys = ("ts", "tie"), ["key"]
+    for f in (
+        lambda s: chunks.running_sum(r, keys, order, "tie", "x", s),
+        lambda s: chunks.previous(r, keys, order, {"tie": "x"}, s),
+        lambda s: chunks.following(r, keys, order, {"tie": "x"}, s),
+        lambda s: chunks.fill_forward(r.withColumn("x", F.col("watts")), keys, order, ("x",), s),
+        lambda s: runs.mark_runs(r, keys, "state", "ON", seconds=s).withColumn("x", F.struct("run_id", "gap_us")),
+        lambda s: runs.debounce(r, keys, "state", s).withColumn("x", F.col("state")),
+    ):
+        plain = sorted(rows(f(None), "tie", "x"), key=str)
+        assert plain == sorted(rows(f(seconds), "tie", "x"), key=str) and len(plain) == r.count()
+    lost = chunks.previous(r, keys, order, {"tie": "x"}, seconds).where("key IS NULL AND x IS NOT NULL")
+    assert lost.count() == 0
+
+
 def test_choose_chunk_follows_the_busiest_key(spark):
     r = spark.range(20000).select(
         F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("key"),
