@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from emberline.catalog.registry import classified, query
+from emberline.catalog.registry import classified, query, run_totals, totals_sql
 from emberline.sources import fixtures as fx
 from emberline.sources.files import table
 from emberline.streaming import hourly, runs
 
 
+WHOLE = "40 days"  # the files of the feed may be in any order
+
+
 def _windows(spark, sf):
     feed = hourly.feed(spark, sf, "events.parquet")
     return hourly.hourly(feed, "ts", F.col("value").cast("decimal(10,2)"))
@@ -60,7 +63,7 @@ def stream_runs(spark, sf):
     log = feed.where(F.col("event_type").isin("signup", "error")).select(
         F.col("user_id").alias("key"), "ts", F.col("event_id").alias("tie"),
         F.when(F.col("event_type") == "signup", "ON").otherwise("OFF").alias("status"))
-    out = runs.stream_runs(r, log, fx.thresholds(spark), "hi", fx.E_END)
+    out = runs.stream_runs(r, log, fx.thresholds(spark), "hi", fx.E_END, delay=WHOLE)
     return out.select("key", F.col("tie").alias("event_id"), "main_status", "system_status",
                       (F.col("gap_us") / 1e6).alias("tdiff"), "run_id")
 
@@ -72,6 +75,16 @@ def stream_runs_by_batch(spark, sf):
         F.col("user_id").alias("key"), "ts", F.col("event_id").alias("tie"),
         F.col("value").cast("decimal(10,2)").alias("watts"),
         F.when(F.col("event_type") == "signup", "ON").when(F.col("event_type") == "error", "OFF").alias("status"))
-    out = runs.stream_runs_by_batch(feed, fx.thresholds(spark), "hi", fx.E_START, fx.E_END)
+    out = runs.stream_runs_by_batch(feed, fx.thresholds(spark), "hi", fx.E_START, fx.E_END, delay=WHOLE)
     return out.select("key", F.col("tie").alias("event_id"), "main_status", "system_status",
                       (F.col("gap_us") / 1e6).alias("tdiff"), "run_id")
+
+
+@query("stream_hour_summary", f"WITH {run_totals('hi', period='hour')} {totals_sql('key, period_start, ')}")
+def stream_hour_summary(spark, sf):
+    feed = hourly.feed(spark, sf, "events.parquet").select(
+        F.col("user_id").alias("key"), "ts", F.col("event_id").alias("tie"),
+        F.col("value").cast("decimal(10,2)").alias("watts"),
+        F.when(F.col("event_type") == "signup", "ON").when(F.col("event_type") == "error", "OFF").alias("status"))
+    out = runs.stream_hour_summaries(feed, fx.thresholds(spark), "hi", fx.E_START, fx.E_END, delay=WHOLE)
+    return out.drop("run_us")

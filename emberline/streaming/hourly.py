@@ -16,10 +16,11 @@ DELAY = "1 hour"
 
 
 def feed(spark: SparkSession, folder: str, name: str, files_per_batch: int = 100) -> DataFrame:
-    """A parquet folder as a stream; ``name`` picks the files, and their schema where it is known."""
+    """A parquet table below ``folder``, one file or a folder of part files, as a stream."""
     schema = SCHEMAS.get(name.removesuffix(".parquet")) or spark.read.parquet(f"{folder}/{name}").schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", name)
-            .option("maxFilesPerTrigger", files_per_batch).parquet(folder))
+    # a glob on the path takes a single file as well as a folder of part files
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+            .parquet(f"{folder}/{name.removesuffix('.parquet')}*.parquet"))
 
 
 def hourly(stream: DataFrame, ts: str, amount: Column, delay: str = DELAY) -> DataFrame:
@@ -35,10 +36,13 @@ def named_hours(windows: DataFrame) -> DataFrame:
         F.to_date(start).alias("sum_date"), F.hour(start).alias("hour"), "runtime", "n")
 
 
-def run_to_end(writer, spark: SparkSession, name: str) -> None:
-    """Processes what is there, from the checkpoint of the shared folder, and stops."""
-    query = (writer.option("checkpointLocation", scratch_path(spark, f"{name}-state"))
-             .trigger(availableNow=True).start())
+def run_to_end(writer, spark: SparkSession, name: str, checkpoint: str | None = None, trigger: dict | None = None) -> None:
+    """Processes what is there and stops, unless another trigger is given.
+
+    A caller that names the checkpoint goes on where the last run of it stopped.
+    """
+    query = (writer.option("checkpointLocation", checkpoint or scratch_path(spark, f"{name}-state"))
+             .trigger(**(trigger or {"availableNow": True})).start())
     query.awaitTermination()
 
 

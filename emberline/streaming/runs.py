@@ -1,133 +1,157 @@
-"""Run detection on a live feed.
+"""Run detection and hourly summaries on a live feed.
 
-Two forms with the same result. ``stream_runs`` keeps a state per device in Spark's state store;
-a device's rows of one micro-batch form one group, so it suits many devices of even rate.
-``stream_runs_by_batch`` runs the batch operators on each micro-batch and keeps the last reading
-of each device in a table; a device too busy for one task is split into time chunks.
-Readings older than the device's last one of an earlier micro-batch are too late and left out.
+Rows wait in a table until the watermark (the latest time seen less ``delay``) has passed them. What is
+passed on is therefore complete and in order whichever way the feed was cut into files, and every log entry
+is there before the readings it applies to. Rows that come after the watermark has passed them are kept in a
+table of their own, never dropped. Each micro-batch runs the batch operators, so a busy device is split
+into time chunks as there.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
-from emberline.functions.calendar import epoch_micros
-from emberline.operators.runs import AUTO, classify_runs
-from emberline.operators.states import RUNNING, threshold_as_of, threshold_state
-from emberline.session import scratch_path
+from emberline.functions.calendar import ntz
+from emberline.operators.runs import AUTO, classify_runs, summary
+from emberline.session import remove_path, scratch_path
 from emberline.streaming.hourly import run_to_end
 
-OUTPUT = ("key long, ts timestamp_ntz, tie long, gap_us long, main_status string, "
-          "system_status string, run_id long")
-STATE = "main_status string, last_us long, last_system string, starts long"
-
-
-def _advance(running: str):
-    """Carries (status, last reading, run count) of one device over a micro-batch."""
-
-    def step(key, parts: Iterator[pd.DataFrame], state):
-        rows = pd.concat(list(parts)).sort_values(["us", "kind", "tie"], kind="stable")
-        main, last_us, last_system, starts = state.get if state.exists else (None, None, None, 0)
-        rows["main"] = rows["status"].where(rows["status"].notna()).ffill()
-        if main is not None:
-            rows["main"] = rows["main"].fillna(main)
-        end_main = rows["main"].iloc[-1]
-        main = end_main if pd.notna(end_main) else None
-        r = rows[rows["kind"] == 1].copy()
-        if last_us is not None:
-            r = r[r["us"] >= last_us]  # later than a whole batch: too late
-        if len(r):
-            on, off = r["main"] == "ON", r["main"] == "OFF"
-            # power against the threshold of its time is decided before the state is known
-            system = pd.Series(None, index=r.index, dtype=object)
-            system[off] = "OFF"
-            system[on & r["if_on"].notna()] = r["if_on"]
-            before = system.shift(1)
-            before.iloc[0] = last_system
-            start = (system == running) & before.notna() & (before != running)
-            number = start.cumsum() + starts
-            known_other = system.notna() & (system != running)
-            gap = r["us"].diff().astype("Int64")
-            gap.iloc[0] = pd.NA if last_us is None else r["us"].iloc[0] - last_us
-            last_us, starts = int(r["us"].iloc[-1]), int(number.iloc[-1])
-            last_system = system.iloc[-1]
-            yield pd.DataFrame({
-                "key": key[0], "ts": pd.to_datetime(r["us"], unit="us"), "tie": r["tie"],
-                "gap_us": gap, "main_status": r["main"].where(r["main"].notna(), None),
-                "system_status": system, "run_id": number.astype("Int64").mask(known_other),
-            })
-        state.update((main, last_us, last_system, starts))
-
-    return step
-
-
-def stream_runs(readings: DataFrame, log: DataFrame, thresholds: DataFrame, which: str, end: str) -> DataFrame:
-    """Runs over a stream of readings and log entries; gaps and ids never restart.
-
-    Each micro-batch is shuffled by device, and one device's rows of one batch form a group, so
-    the batch size (files per trigger) bounds what a task holds.
+FEED = "key long, ts timestamp_ntz, tie long, watts decimal(10,2), status string"
+STATE_TABLE = ("key long, status string, status_ts timestamp_ntz, status_tie long, "
+               "last_ts timestamp_ntz, last_tie long, last_watts decimal(10,2), last_main string, starts long")
+CLOCK = "mark timestamp_ntz, late long"
+
+
+def buffered(
+    feed: DataFrame, sink: str, delay: str, state_schema: str, emit: Callable[[DataFrame, DataFrame, str], DataFrame],
+    step: str | None = None, checkpoint: str | None = None, trigger: dict | None = None, flush: bool = True,
+) -> None:
+    """Feeds a stream of ``FEED`` rows through ``emit(ready, state, folder) -> next state`` in order of time.
+
+    ``sink`` holds, by number of the micro-batch, the rows that wait (``waiting``), the state (``state``) and
+    the watermark (``clock``), and what came too late (``late``). A batch that is run again after a failure
+    replaces what it wrote; only the last two of each table are kept. ``step`` rounds the watermark down
+    (to the hour). ``flush`` treats what waits at the end as complete: its rows are written under the number
+    of the next batch, which replaces them when the stream goes on.
     """
-    spark = readings.sparkSession
-    running = RUNNING[which]
-    r = threshold_as_of(readings, thresholds, end).select(
-        "key", "ts", "tie", F.lit(1).alias("kind"), F.lit(None).cast("string").alias("status"),
-        threshold_state(F.lit("ON"), F.col("watts"), F.col(which), running).alias("if_on"))
-    m = log.select("key", "ts", "tie", F.lit(0).alias("kind"), "status", F.lit(None).cast("string").alias("if_on"))
-    both = r.unionByName(m).withColumn(
-        "us", epoch_micros(F.col("ts")))
-    out = both.drop("ts").groupBy("key").applyInPandasWithState(
-        _advance(running), OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout)
-    path = scratch_path(spark, "runs")
-    run_to_end(out.writeStream.outputMode("append").format("parquet").option("path", path), spark, "runs")
-    return spark.read.parquet(path)
+    spark = feed.sparkSession
 
+    def read(name: str, schema: str, number: int) -> DataFrame:
+        if number < 0:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(f"{sink}/{name}/after={number}")
+
+    def write(df: DataFrame, name: str, number: int) -> None:
+        df.write.mode("overwrite").parquet(f"{sink}/{name}/after={number}")
+
+    def advance(batch: DataFrame, number: int, last: bool = False) -> None:
+        clock = read("clock", CLOCK, number - 1).first()
+        mark, late = (clock["mark"], clock["late"]) if clock else (None, 0)
+        batch = batch.select("key", "ts", "tie", "watts", "status").persist()
+        passed = F.lit(False) if mark is None else F.coalesce(F.col("ts") <= ntz(str(mark)), F.lit(True))
+        counts = batch.agg(F.count_if(passed).alias("late"), (F.max("ts") - F.expr(f"INTERVAL {delay}")).alias("mark")).first()
+        if counts["late"]:
+            batch.where(passed).write.mode("overwrite").parquet(f"{sink}/late/batch={number}")
+        mark = max((m for m in (mark, counts["mark"]) if m is not None), default=None)
+        waiting = read("waiting", FEED, number - 1).unionByName(batch.where(~passed))
+        done = F.lit(True) if last else F.lit(False)
+        if mark is not None and not last:
+            upto = F.date_trunc(step, ntz(str(mark))).cast("timestamp_ntz") if step else ntz(str(mark))
+            done = (F.col("ts") < upto) if step else (F.col("ts") <= upto)
+        ready = waiting.where(done).persist()
+        state = emit(ready, read("state", state_schema, number - 1), f"{sink}/rows/batch={number}")
+        if not last:
+            write(state, "state", number)
+            write(waiting.where(~F.coalesce(done, F.lit(False))), "waiting", number)
+            write(spark.createDataFrame([(mark, late + counts["late"])], CLOCK), "clock", number)
+            for name in ("state", "waiting", "clock"):
+                remove_path(spark, f"{sink}/{name}/after={number - 2}")
+        ready.unpersist()
+        batch.unpersist()
+
+    numbers = [-1]
+
+    def one(batch: DataFrame, number: int) -> None:
+        advance(batch, number)
+        numbers.append(number)
+
+    run_to_end(feed.writeStream.foreachBatch(one), spark, "feed", checkpoint or f"{sink}/checkpoint", trigger)
+    if flush and max(numbers) >= 0:
+        advance(spark.createDataFrame([], FEED), max(numbers) + 1, last=True)
 
-STATE_TABLE = ("key long, status string, status_ts timestamp_ntz, status_tie long, "
-               "last_ts timestamp_ntz, last_tie long, last_watts decimal(10,2), last_main string, starts long")
+
+def late_rows(spark: SparkSession, sink: str, number: int) -> int:
+    """How many rows had come too late after micro-batch ``number``."""
+    return spark.read.schema(CLOCK).parquet(f"{sink}/clock/after={number}").first()["late"]
 
 
 def stream_runs_by_batch(
     feed: DataFrame, thresholds: DataFrame, which: str, start: str, end: str, seconds: int | None = AUTO,
+    delay: str = "1 hour", sink: str | None = None, checkpoint: str | None = None, trigger: dict | None = None,
 ) -> DataFrame:
     """Runs over a stream of ``(key, ts, tie, watts, status)``; ``status`` is null on plain readings.
 
-    Every micro-batch writes its rows and the new state under its own number, and reads the state
-    under the number before. A batch that is run again after a failure replaces what it wrote.
+    The same rows as :func:`classify_runs` over everything that was not late. The caller may name the sink
+    folder, the checkpoint and the trigger, and goes on from them with the next call.
     """
     spark = feed.sparkSession
-    out, states = scratch_path(spark, "run-rows"), scratch_path(spark, "run-state")
-    first = spark.createDataFrame([], STATE_TABLE)
-    first.write.parquet(f"{states}/after=-1")
-
-    def advance(batch: DataFrame, number: int) -> None:
-        now = batch.sparkSession
-        batch = batch.persist()
-        state = now.read.schema(STATE_TABLE).parquet(f"{states}/after={number - 1}")
-        rows = run_batch(batch, state, thresholds, which, start, end, seconds).persist()
-        rows.write.mode("overwrite").parquet(f"{out}/batch={number}")
-        next_state(batch, rows, state).write.mode("overwrite").parquet(f"{states}/after={number}")
-        rows.unpersist()
-        batch.unpersist()
+    sink = sink or scratch_path(spark, "run-rows")
+
+    def emit(ready: DataFrame, state: DataFrame, folder: str) -> DataFrame:
+        rows = run_batch(ready, state, thresholds, which, start, end, seconds).persist()
+        rows.write.mode("overwrite").parquet(folder)
+        return next_state(ready, rows, state)
+
+    buffered(feed, sink, delay, STATE_TABLE, emit, checkpoint=checkpoint, trigger=trigger)
+    return spark.read.parquet(f"{sink}/rows").drop("batch")
+
+
+def stream_runs(
+    readings: DataFrame, log: DataFrame, thresholds: DataFrame, which: str, end: str,
+    start: str = "1900-01-01 00:00:00", **how,
+) -> DataFrame:
+    """Runs over a stream of readings and one of log entries; gaps and ids never restart."""
+    r = readings.select("key", "ts", "tie", F.col("watts").cast("decimal(10,2)").alias("watts"), F.lit(None).cast("string").alias("status"))
+    m = log.select("key", "ts", "tie", F.lit(None).cast("decimal(10,2)").alias("watts"), "status")
+    return stream_runs_by_batch(r.unionByName(m), thresholds, which, start, end, **how)
+
+
+STATUS_TABLE = "key long, ts timestamp_ntz, tie long, status string"
+
+
+def stream_hour_summaries(
+    feed: DataFrame, thresholds: DataFrame, which: str, start: str, end: str, seconds: int | None = AUTO,
+    delay: str = "1 hour", sink: str | None = None, checkpoint: str | None = None, trigger: dict | None = None, flush: bool = True,
+) -> DataFrame:
+    """Run totals (cycles, run time, heat, fuel, energy) of each device and hour, once the hour is closed.
+
+    An hour is closed when the watermark has reached its end; runs and gaps begin anew in each hour, as in
+    ``runs.summary(..., period="hour")``. Only the last status of each device goes from hour to hour.
+    """
+    spark = feed.sparkSession
+    sink = sink or scratch_path(spark, "hour-summaries")
+
+    def emit(ready: DataFrame, state: DataFrame, folder: str) -> DataFrame:
+        marks = ready.where(F.col("status").isNotNull()).select("key", "ts", "tie", "status").unionByName(state)
+        readings = ready.where(F.col("watts").isNotNull()).select("key", "ts", "tie", "watts")
+        summary(readings, marks, thresholds, ["key"], which, start, end, "hour", seconds=seconds).write.mode("overwrite").parquet(folder)
+        return marks.groupBy("key").agg(F.max(F.struct("ts", "tie", "status")).alias("m")).select("key", "m.*")
 
-    run_to_end(feed.writeStream.foreachBatch(advance), spark, "run-rows")
-    return spark.read.parquet(out).drop("batch")
+    buffered(feed, sink, delay, STATUS_TABLE, emit, "HOUR", checkpoint, trigger, flush)
+    return spark.read.parquet(f"{sink}/rows").drop("batch")
 
 
 def run_batch(batch, state, thresholds, which, start, end, seconds=AUTO) -> DataFrame:
-    """Runs of one micro-batch that goes on from ``state``.
+    """Runs of rows that are all later than those ``state`` stands for.
 
     The last reading of each device and its last status go in ahead of the new rows, so gaps and
     starts come out as in one series; the number of earlier starts is added to the ids.
     """
     seen = state.select("key", "last_ts", F.col("starts").alias("_starts"))
-    fresh = batch.where(F.col("watts").isNotNull()).select("key", "ts", "tie", "watts")
-    fresh = fresh.join(seen, "key", "left").where(F.col("last_ts").isNull() | (F.col("ts") >= F.col("last_ts")))
-    fresh = fresh.select("key", "ts", "tie", "watts", F.lit(False).alias("_seed"))
+    fresh = batch.where(F.col("watts").isNotNull()).select("key", "ts", "tie", "watts", F.lit(False).alias("_seed"))
     seeds = state.where(F.col("last_ts").isNotNull()).select(
         "key", F.col("last_ts").alias("ts"), F.col("last_tie").alias("tie"),
         F.col("last_watts").alias("watts"), F.lit(True).alias("_seed"))

@@ -1,6 +1,9 @@
 """Streams over several files against the batch forms."""
 
+import random
+
 import frames
+import pytest
 from pyspark.sql import functions as F
 
 from emberline.operators import runs as batch
@@ -56,6 +59,59 @@ def test_runs_by_batch_carry_over_micro_batches(spark):
         assert _sorted(got) == _sorted(want)
 
 
+def _long_feed(spark):
+    """Two devices over five hours, with log entries at, before and between readings."""
+    rng = random.Random(3)
+    rows = [(rng.randint(1, 2), f"1{h}:{m:02d}:{rng.randint(0, 59):02d}", rng.choice([0, 5, 30, 70, 90])) for h in range(5) for m in range(0, 60, 4)]
+    marks = [(rng.randint(1, 2), f"1{h}:{m:02d}:30", rng.choice(["ON", "ON", "OFF"])) for h in range(5) for m in range(1, 60, 9)]
+    r, lg = frames.readings(spark, rows), frames.log(spark, marks)
+    feed = r.withColumn("status", F.lit(None).cast("string")).unionByName(lg.withColumn("watts", F.lit(None).cast("decimal(10,2)")))
+    return r, lg, feed
+
+
+SPAN = ("2024-01-01 00:00:00", "2024-02-01 00:00:00")
+
+
+@pytest.mark.parametrize("cut", ["by id", "reverse", "log ahead"])
+def test_runs_do_not_depend_on_how_the_feed_is_cut(spark, cut):
+    r, lg, feed = _long_feed(spark)
+    want = batch.classify_runs(r, lg, frames.thresholds(spark), ["key"], "hi", *SPAN, seconds=None)
+    hour = lambda *h: feed.where(F.hour("ts").isin(*h))
+    parts = {"by id": [feed.where("tie % 2 = 0"), feed.where("tie % 2 = 1")], "reverse": [hour(13, 14), hour(12), hour(10, 11)],
+             "log ahead": [feed.where("status IS NOT NULL"), hour(10, 11).where("status IS NULL"), hour(12, 13, 14).where("status IS NULL")]}[cut]
+    got = runs.stream_runs_by_batch(_stream(spark, _folder(spark, parts)), frames.thresholds(spark), "hi", *SPAN, None, delay="1 day")
+    assert _sorted(got) == _sorted(want)
+
+
+def test_late_rows_are_counted_and_kept(spark):
+    r, lg, feed = _long_feed(spark)
+    parts = [feed.where("hour(ts) >= 13"), feed.where("hour(ts) < 11")]
+    sink = scratch_path(spark, "sink")
+    runs.stream_runs_by_batch(_stream(spark, _folder(spark, parts)), frames.thresholds(spark), "hi", *SPAN, None, delay="1 hour", sink=sink)
+    n = feed.where("hour(ts) < 11").count()
+    assert runs.late_rows(spark, sink, 1) == n == spark.read.parquet(f"{sink}/late").count()
+
+
+def test_a_stopped_stream_goes_on(spark):
+    r, lg, feed = _long_feed(spark)
+    want = batch.summary(r, lg, frames.thresholds(spark), ["key"], "hi", *SPAN, period="hour", seconds=None)
+    sink, path = scratch_path(spark, "sink"), _folder(spark, [feed.where("hour(ts) < 12")])
+    again = lambda: runs.stream_hour_summaries(_stream(spark, path), frames.thresholds(spark), "hi", *SPAN, None, "10 minutes", sink, flush=False)
+    closed = {x.period_start.hour for x in again().collect()}
+    assert closed == {10}  # the open hour waits
+    feed.where("hour(ts) >= 12").coalesce(1).write.mode("append").parquet(path)
+    got = sorted(map(str, again().collect()))
+    assert got == sorted(map(str, want.where("hour(period_start) < 14").collect()))
+
+
+def test_a_table_of_part_files_is_a_feed(spark):
+    r, _, _ = _long_feed(spark)
+    folder = scratch_path(spark, "tables")
+    r.repartition(3).write.parquet(f"{folder}/readings.parquet")
+    windows = hourly.hourly(hourly.feed(spark, folder, "readings.parquet"), "ts", F.col("watts"))
+    assert sum(x.n for x in hourly.upserted_hours(windows).collect()) == r.count()
+
+
 def test_hours_over_several_files(spark):
     r = frames.readings(spark, [(1, f"1{h}:{m:02d}:00", h + m) for h in range(5) for m in (0, 20, 40)])
     hour = lambda a, b: r.where(F.hour("ts").between(a, b))
