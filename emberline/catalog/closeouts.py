@@ -82,11 +82,21 @@ def rpt_close_hour_baselines(spark, sf):
 WITH {HOUR_CLOSED}
 SELECT CAST(p AS DATE) AS sum_date, hour, us / 6e7 AS runtime, us * {BTU} / 3.6e9 AS btu, complete FROM cl""")
 def rpt_close_hour_sums(spark, sf):
-    from emberline.functions import energy
+    return closeout.period_sums(_closed(spark, sf, "hour", fx.H_AS_OF), "hour")
 
-    c = _closed(spark, sf, "hour", fx.H_AS_OF)
-    us = F.col("run_us")
-    return c.select("sum_date", "hour", energy.minutes(us).alias("runtime"), energy.btu(us).alias("btu"), "complete")
+
+@query("rpt_close_day_sums", f"""
+WITH {DAY_CLOSED}
+SELECT CAST(p AS DATE) AS sum_date, us / 6e7 AS runtime, us * {BTU} / 3.6e9 AS btu, complete FROM cl""")
+def rpt_close_day_sums(spark, sf):
+    return closeout.period_sums(_closed(spark, sf, "day", fx.H_AS_OF), "day")
+
+
+@query("rpt_close_month_sums", f"""
+WITH {MONTH_CLOSED}
+SELECT CAST(p AS DATE) AS sum_date, month, us / 6e7 AS runtime, us * {BTU} / 3.6e9 AS btu, complete FROM cl""")
+def rpt_close_month_sums(spark, sf):
+    return closeout.period_sums(_closed(spark, sf, "month", MONTH_AS_OF), "month")
 
 
 @query("rpt_close_day", f"""

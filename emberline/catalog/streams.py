@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from emberline.catalog.registry import classified, query, run_totals, totals_sql
+from emberline.catalog.aggregates import totals_sql
+from emberline.catalog.registry import classified, query, run_totals
 from emberline.sources import fixtures as fx
 from emberline.sources.files import table
 from emberline.streaming import hourly, runs

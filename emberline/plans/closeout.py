@@ -54,6 +54,13 @@ def closed_periods(
     )
 
 
+def period_sums(closed: DataFrame, period: str) -> DataFrame:
+    """The rows that closing appends to the hourly, daily or monthly sums, one for each closed period."""
+    slots = {"hour": ["sum_date", "hour"], "day": ["sum_date"], "month": ["sum_date", "month"]}[period]
+    us = F.col("run_us")
+    return closed.select(*slots, energy.minutes(us).alias("runtime"), energy.btu(us).alias("btu"), "complete")
+
+
 def usage_slots(grid: DataFrame, closed: DataFrame, slots: list[str], starting: Column, period: str, as_of: str) -> DataFrame:
     """Slot table: each slot holds its newest closed period; the slot now starting is empty."""
     newest = closed.groupBy(*slots).agg(F.max_by(F.struct("run_us", "complete", "updated"), PERIOD).alias("n"))
