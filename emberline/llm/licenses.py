@@ -80,10 +80,13 @@ def matches(files: DataFrame, templates=TEMPLATES, least: float = 0.75, id_col:
     weights = F.create_map(*(F.lit(x) for pair in idf.items() for x in pair))
     known = F.map_keys(weights)
     needed = sorted({t for _, notice in templates for t in telling(notice, idf, least)})
-    low = F.lower(F.col(text_col))
-    near = functools.reduce(operator.or_, (low.contains(t) for t in needed))
-    lines = files.where(near).select(F.col(id_col).alias("id"), F.posexplode(F.split(text_col, "\n")).alias("line", "text")).where(
-        functools.reduce(operator.or_, (F.lower("text").contains(t) for t in needed))).select(
+
+    def near(text: Column) -> Column:  # within the function the text is lowered once
+        any_of = lambda low: functools.reduce(operator.or_, (low.contains(t) for t in needed))
+        return F.exists(F.array(F.lower(text)), any_of)
+
+    lines = files.where(near(F.col(text_col))).select(F.col(id_col).alias("id"), F.posexplode(F.split(text_col, "\n")).alias("line", "text"))
+    lines = lines.where(near(F.col("text"))).select(
         "id", "line", tokens(F.col("text")).alias("words")).select(
         "id", "line", F.size("words").alias("n"), F.filter("words", lambda w: F.array_contains(known, w)).alias("own"))
     # A line can reach the cosine only if its known words outweigh the others; the largest weight bounds them.
