@@ -8,9 +8,10 @@ from emberline.catalog.filters import FILLED, GAPS, MODE, filled, with_gaps
 from emberline.catalog.registry import (
     BTU, DELIVERIES, EV, GAL, order_hours, query, run_totals, season,
 )
+from emberline.functions import energy
 from emberline.functions.calendar import ntz, period_start
 from emberline.operators import model, quality, rollups, runs
-from emberline.operators.states import fixed_state
+from emberline.operators.states import fixed_state, furnace_mode
 from emberline.plans import charts
 from emberline.sources import fixtures as fx
 
@@ -233,8 +234,6 @@ WITH {FILLED}, m AS (SELECT *, {MODE} AS mode FROM fl)
 SELECT round(sum(least(greatest(CAST(watts AS DOUBLE), 40), 100) / 100 * 60000 * (gap_us / 3.6e9)) FILTER (WHERE mode = 'ON'), 3) AS btu FROM m""")
 def range_total(spark, sf):
     x = filled(spark, sf)
-    from emberline.operators.states import furnace_mode
-
     x = x.withColumn("status", furnace_mode(F.col("status"), F.col("watts"), F.col("gap_us") / 1e6))
     level = model.clamp_mask(F.col("watts").cast("double"), F.col("status"))
-    return x.agg(F.round(F.sum(model.heat(level, F.col("gap_us"), F.col("status"))), 3).alias("btu"))
+    return x.agg(F.round(energy.exact_sum(model.heat(level, F.col("gap_us"), F.col("status"))), 3).alias("btu"))

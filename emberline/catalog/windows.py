@@ -30,7 +30,7 @@ def gap_seconds_chunked(spark, sf):
 def ffill(spark, sf):
     r = fx.one_device(fx.readings(spark, sf).join(
         fx.status_log(spark, sf).select("tie", "status"), "tie", "left"))
-    r = chunks.fill_forward(r, [], ("ts", "tie"), ("status",), 86400)
+    r = chunks.fill_forward(r, [], ("ts", "tie"), ("status",), chunks.choose_chunk(r, [], "ts"))
     return r.select(F.col("tie").alias("event_id"), "status")
 
 
@@ -82,7 +82,7 @@ def classify_lo(spark, sf):
 @query("classify_one_device", f"WITH {classified('hi', by='')} {CLASSIFIED.replace('key, ', '')}")
 def classify_one_device(spark, sf):
     r, log, thr, _ = feed(spark, sf)
-    c = runs.classify_runs(fx.one_device(r), fx.one_device(log), thr, [], "hi", fx.E_START, fx.E_END, seconds=21600)
+    c = runs.classify_runs(fx.one_device(r), fx.one_device(log), thr, [], "hi", fx.E_START, fx.E_END)
     return _classified(c.withColumn("key", F.lit(0))).drop("key")
 
 
@@ -124,7 +124,8 @@ def rank_over_agg(spark, sf):
 @query("cumsum_global", f"""
 WITH {EV} SELECT tie AS event_id, CAST(sum(watts) OVER (ORDER BY ts, tie ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS total FROM ev""")
 def cumsum_global(spark, sf):
-    r = chunks.running_sum(fx.one_device(fx.readings(spark, sf)), [], ("ts", "tie"), "watts", "total", 21600)
+    r = fx.one_device(fx.readings(spark, sf))
+    r = chunks.running_sum(r, [], ("ts", "tie"), "watts", "total", chunks.choose_chunk(r, [], "ts"))
     return r.select(F.col("tie").alias("event_id"), F.col("total").cast("double").alias("total"))
 
 
@@ -174,9 +175,11 @@ WITH {EV}, g AS (SELECT ts, tie, watts * (epoch_us(ts) - epoch_us(lag(ts) OVER (
 c AS (SELECT ts, CAST(sum(w) OVER (ORDER BY ts, tie ROWS UNBOUNDED PRECEDING) AS DOUBLE) / 3.6e12 AS kwh FROM g)
 SELECT x AS limit_kwh, min(ts) FILTER (WHERE kwh > x) AS crossed FROM c, (VALUES (1e0), (10e0), (20e0), (99999e0)) v(x) GROUP BY x""")
 def first_crossing(spark, sf):
-    r = chunks.previous(fx.one_device(fx.readings(spark, sf)), [], ("ts", "tie"), {"ts": "_before"}, 21600)
+    r = fx.one_device(fx.readings(spark, sf))
+    seconds = chunks.choose_chunk(r, [], "ts")
+    r = chunks.previous(r, [], ("ts", "tie"), {"ts": "_before"}, seconds)
     w_us = F.col("watts").cast("decimal(14,2)") * micros_between(F.col("_before"), F.col("ts"))
-    r = chunks.running_sum(r, [], ("ts", "tie"), w_us, "total", 21600)
+    r = chunks.running_sum(r, [], ("ts", "tie"), w_us, "total", seconds)
     kwh = F.col("total").cast("double") / 3.6e12
     limits = (1.0, 10.0, 20.0, 99999.0)
     found = r.agg(*[F.min(F.when(kwh > x, F.col("ts"))).alias(f"c{i}") for i, x in enumerate(limits)])

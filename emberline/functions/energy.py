@@ -49,5 +49,10 @@ def gallons_of_minutes(m: Column) -> Column:
     return m / 60 * GALLONS_PER_HOUR
 
 
+def exact_sum(x: Column) -> Column:
+    """A sum of doubles that does not depend on their order: each is taken as a decimal of twelve places."""
+    return F.sum(x.cast("decimal(28,12)")).cast("double")
+
+
 def rounded(x: Column, n: int) -> Column:
     return F.round(x, n)

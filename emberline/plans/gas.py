@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberline.functions.calendar import dow, instant_order, ntz, period_start
+from emberline.functions.energy import exact_sum
 from emberline.operators import chunks, model, quality, tables
 from emberline.operators.runs import AUTO, PERIOD
 from emberline.operators.states import fill_rows, fill_status, in_range
@@ -26,7 +27,7 @@ def scored(readings: DataFrame, log: DataFrame, start: str, end: str, seconds: i
 def gas_periods(intervals: DataFrame, period: str) -> DataFrame:
     """Heat and completeness per period. Long periods must also be covered end to end."""
     x = intervals.withColumn(PERIOD, period_start(period, F.col("ts")))
-    sums = x.groupBy(PERIOD).agg(F.coalesce(F.sum("btu"), F.lit(0.0)).alias("btu"))
+    sums = x.groupBy(PERIOD).agg(F.coalesce(exact_sum(F.col("btu")), F.lit(0.0)).alias("btu"))
     if period in ("month", "year"):
         ok = quality.complete_coverage(x, [PERIOD], period)
     else:
