@@ -30,7 +30,7 @@ def gap_seconds_chunked(spark, sf):
 def ffill(spark, sf):
     r = fx.one_device(fx.readings(spark, sf).join(
         fx.status_log(spark, sf).select("tie", "status"), "tie", "left"))
-    r = chunks.fill_forward(r, [], ("ts", "tie"), ("status",), chunks.choose_chunk(r, [], "ts"))
+    r = chunks.fill_forward(r, [], ("ts", "tie"), ("status",), chunks.choose_chunk(r, [], "ts") or 86400)
     return r.select(F.col("tie").alias("event_id"), "status")
 
 
@@ -82,7 +82,9 @@ def classify_lo(spark, sf):
 @query("classify_one_device", f"WITH {classified('hi', by='')} {CLASSIFIED.replace('key, ', '')}")
 def classify_one_device(spark, sf):
     r, log, thr, _ = feed(spark, sf)
-    c = runs.classify_runs(fx.one_device(r), fx.one_device(log), thr, [], "hi", fx.E_START, fx.E_END)
+    r = fx.one_device(r)
+    seconds = chunks.choose_chunk(r, [], "ts") or 21600
+    c = runs.classify_runs(r, fx.one_device(log), thr, [], "hi", fx.E_START, fx.E_END, seconds=seconds)
     return _classified(c.withColumn("key", F.lit(0))).drop("key")
 
 
@@ -125,7 +127,7 @@ def rank_over_agg(spark, sf):
 WITH {EV} SELECT tie AS event_id, CAST(sum(watts) OVER (ORDER BY ts, tie ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS total FROM ev""")
 def cumsum_global(spark, sf):
     r = fx.one_device(fx.readings(spark, sf))
-    r = chunks.running_sum(r, [], ("ts", "tie"), "watts", "total", chunks.choose_chunk(r, [], "ts"))
+    r = chunks.running_sum(r, [], ("ts", "tie"), "watts", "total", chunks.choose_chunk(r, [], "ts") or 21600)
     return r.select(F.col("tie").alias("event_id"), F.col("total").cast("double").alias("total"))
 
 
@@ -176,7 +178,7 @@ c AS (SELECT ts, CAST(sum(w) OVER (ORDER BY ts, tie ROWS UNBOUNDED PRECEDING) AS
 SELECT x AS limit_kwh, min(ts) FILTER (WHERE kwh > x) AS crossed FROM c, (VALUES (1e0), (10e0), (20e0), (99999e0)) v(x) GROUP BY x""")
 def first_crossing(spark, sf):
     r = fx.one_device(fx.readings(spark, sf))
-    seconds = chunks.choose_chunk(r, [], "ts")
+    seconds = chunks.choose_chunk(r, [], "ts") or 21600
     r = chunks.previous(r, [], ("ts", "tie"), {"ts": "_before"}, seconds)
     w_us = F.col("watts").cast("decimal(14,2)") * micros_between(F.col("_before"), F.col("ts"))
     r = chunks.running_sum(r, [], ("ts", "tie"), w_us, "total", seconds)

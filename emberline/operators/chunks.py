@@ -119,16 +119,12 @@ def fill_forward(
     filled = {c: F.coalesce(of_series(keys, F.last(c, ignorenulls=True).over(w)), F.col(c)) for c in cols}
     if seconds is None:
         return rows.withColumns(filled)
-    # The last value of a chunk comes from the rows that have one, often a small part of all.
-    known = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in cols])
-    position = F.struct(*order)
-    last = rows.where(known).groupBy(*keys, CHUNK).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), position)).alias(c) for c in cols])
-    every = rows.select(*keys, CHUNK).distinct()
+    # a chunk's last row has what the chunk hands on
+    rows = rows.withColumns({**filled, "_end": F.lead(F.lit(1)).over(ordered(inside(keys, seconds), order)).isNull()})
     earlier = before_here(along_chunks(keys))
-    carry = every.join(last, [*keys, CHUNK], "left").select(
+    carry = rows.where("_end").select(
         *keys, CHUNK, *[F.last(c, ignorenulls=True).over(earlier).alias(f"_in_{c}") for c in cols])
-    out = attach(rows.withColumns(filled), carry, keys)
+    out = attach(rows.drop("_end"), carry, keys)
     out = out.withColumns({c: F.coalesce(c, f"_in_{c}") for c in cols})
     return _done(out.drop(*[f"_in_{c}" for c in cols]), df)
 
