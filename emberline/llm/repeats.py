@@ -123,39 +123,56 @@ def joined(table: pa.Table, name: str, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(x for x in table.column(name).to_pylist() if x), dtype)
 
 
-def shared_triggers(mark: int, buckets: int, length: int):
-    """From a part to each bucket of trigger hashes: hash, smallest document, and whether there is a second one."""
+def short(h: np.ndarray) -> np.ndarray:
+    """The lower 40 bits as items of five bytes; within a bucket they tell hashes apart well enough to choose candidates."""
+    return np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).view("V5").ravel()
+
+
+def longer(packed: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(packed), 8), np.uint8)
+    out[:, :5] = packed.view(np.uint8).reshape(-1, 5)
+    return out.view("<u8").ravel()
+
+
+def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
+    return (h >> np.uint64(40)) % np.uint64(buckets)
+
+
+def shared_triggers(buckets: int, length: int):
+    """From a part to each bucket of trigger hashes: the hashes, and whether two documents of the part hold them."""
 
     def run(key, rows):
-        part = Part(rows, length)
+        part, number = Part(rows, length), key[0].as_py()
         order = np.lexsort((part.doc, part.hash))
         h, doc = part.hash[order], part.doc[order]
         edge = runs(h)
-        low, high = doc[edge[:-1]], doc[edge[1:] - 1] if len(h) else doc
-        h = h[edge[:-1]] if len(h) else h
-        number = key[0].as_py()
-        out = [{"part": number, **r} for r in blobs((h >> np.uint64(mark)) % np.uint64(buckets), hash=h, low=low, many=(high > low))]
-        return pa.Table.from_pylist(out, pa.schema([("part", pa.int64()), ("key", pa.int64()), ("hash", pa.binary()), ("low", pa.binary()), ("many", pa.binary())]))
+        many = doc[edge[:-1]] < doc[edge[1:] - 1] if len(h) else np.zeros(0, bool)
+        h = h[edge[:-1]]
+        out = [{"part": number, **r} for r in blobs(bucket_of(h, buckets), hash=short(h), many=many)]
+        return pa.Table.from_pylist(out, pa.schema([("part", pa.int64()), ("key", pa.int64()), ("hash", pa.binary()), ("many", pa.binary())]))
 
     return run
 
 
-def common_hashes(rows: pa.Table) -> pa.Table:
-    """From a bucket back to each part: its hashes that stand in two documents at least."""
-    h, low, many = joined(rows, "hash", np.uint64), joined(rows, "low", np.int64), joined(rows, "many", bool)
-    part = np.repeat(rows.column("part").to_numpy(), [len(x) // 8 for x in rows.column("hash").to_pylist()])
-    order = np.lexsort((low, h))
-    h, low, many, part = h[order], low[order], many[order], part[order]
+def common_hashes(key, rows):
+    """From a bucket back to each part: its hashes that stand in two documents at least.
+
+    All rows of a document id are in one part, so a hash of two parts is one of two documents.
+    """
+    h, many = longer(joined(rows, "hash", "V5")), joined(rows, "many", bool)
+    part = np.repeat(rows.column("part").to_numpy(), [len(x) // 5 for x in rows.column("hash").to_pylist()])
+    order = np.argsort(h, kind="stable")
+    h, many, part = h[order], many[order], part[order]
     edge = runs(h)
     if len(h):
-        two = np.logical_or.reduceat(many, edge[:-1]) | (low[edge[1:] - 1] > low[edge[:-1]])
-        two = np.repeat(two, np.diff(edge))
+        two = np.repeat(np.logical_or.reduceat(many, edge[:-1]) | (np.diff(edge) > 1), np.diff(edge))
         h, part = h[two], part[two]
-    return pa.Table.from_pylist([{"part": r["key"], "hash": r["hash"]} for r in blobs(part, hash=h)],
-                                pa.schema([("part", pa.int64()), ("hash", pa.binary())]))
+    bucket = key[0].as_py()
+    return pa.Table.from_pylist([{"part": r["key"], "bucket": bucket, "hash": r["hash"]} for r in blobs(part, hash=short(h))],
+                                pa.schema([("part", pa.int64()), ("bucket", pa.int64()), ("hash", pa.binary())]))
 
 
-def phrases(mark: int, buckets: int, length: int):
+def phrases(buckets: int, length: int):
     """From a part, with its common hashes, to buckets: the phrases of common triggers.
 
     A phrase that stands in several documents of the part is sent for the smallest only; in the others
@@ -164,14 +181,15 @@ def phrases(mark: int, buckets: int, length: int):
     side = length - TRIGGER
 
     def run(key, rows, common):
-        schema = pa.schema([("part", pa.int64()), ("key", pa.int64()), *((n, pa.binary()) for n in ("hash", "context", "left", "right", "doc", "rid", "at", "bits"))])
-        common = joined(common, "hash", np.uint64)
-        if not rows.num_rows or not len(common):
+        schema = pa.schema([("part", pa.int64()), ("key", pa.int64()), *((n, pa.binary()) for n in ("hash", "context", "left", "right", "doc", "row", "at", "bits"))])
+        if not rows.num_rows or not common.num_rows:
             return schema.empty_table()
         part, number = Part(rows, length), key[0].as_py()
-        common = np.sort(common)
-        place = np.minimum(np.searchsorted(common, part.hash), len(common) - 1)
-        take = np.flatnonzero(common[place] == part.hash)
+        known = longer(joined(common, "hash", "V5"))
+        known = np.sort(known | np.repeat(common.column("bucket").to_numpy().astype(np.uint64), [len(x) // 5 for x in common.column("hash").to_pylist()]) << np.uint64(40))
+        own = (bucket_of(part.hash, buckets) << np.uint64(40)) | (part.hash & np.uint64((1 << 40) - 1))
+        place = np.minimum(np.searchsorted(known, own), len(known) - 1)
+        take = np.flatnonzero(known[place] == own)
         h, doc, row, at = part.hash[take], part.doc[take], part.row[take], part.at[take]
         size = np.diff(part.starts)[row]
         left, right = np.minimum(at, side), np.minimum(size - at - TRIGGER, side)
@@ -199,12 +217,12 @@ def phrases(mark: int, buckets: int, length: int):
         bits = np.zeros(len(h), np.uint64)
         for o in range(side + 1):
             bits |= ((o <= left) & (side - o <= right)).astype(np.uint64) << np.uint64(o)
-        rid = part.rids[row]
-        own = [{"part": number, "key": -1, "rid": rid[again].tobytes(), "at": at[again].tobytes(), "bits": bits[again].tobytes()}] if again.any() else []
+        row, at = row.astype(np.uint32), at.astype(np.uint32)
+        own = [{"part": number, "key": -1, "row": row[again].tobytes(), "at": at[again].tobytes(), "bits": bits[again].tobytes()}] if again.any() else []
         one = ~again
         sent = [{"part": number, **r} for r in blobs(
-            (h[one] >> np.uint64(mark)) % np.uint64(buckets), hash=h[one], context=context[one].view(f"V{2 * side}").ravel(),
-            left=left[one].astype(np.uint8), right=right[one].astype(np.uint8), doc=doc[one], rid=rid[one], at=at[one])]
+            bucket_of(h[one], buckets), hash=h[one], context=context[one].view(f"V{2 * side}").ravel(),
+            left=left[one].astype(np.uint8), right=right[one].astype(np.uint8), doc=doc[one], row=row[one], at=at[one])]
         return pa.Table.from_pylist(own + sent, schema)
 
     return run
@@ -219,13 +237,13 @@ def repeats(length: int):
     side = length - TRIGGER
 
     def run(key, rows):
-        schema = pa.schema([("part", pa.int64()), ("rid", pa.binary()), ("at", pa.binary()), ("bits", pa.binary())])
+        schema = pa.schema([("part", pa.int64()), ("row", pa.binary()), ("at", pa.binary()), ("bits", pa.binary())])
         if key[0].as_py() < 0:
-            return rows.select(["part", "rid", "at", "bits"])
+            return rows.select(["part", "row", "at", "bits"])
         h = joined(rows, "hash", np.uint64)
         context = joined(rows, "context", np.uint8).reshape(-1, 2 * side)
         left, right = joined(rows, "left", np.uint8).astype(np.int64), joined(rows, "right", np.uint8).astype(np.int64)
-        doc, rid, at = joined(rows, "doc", np.int64), joined(rows, "rid", np.int64), joined(rows, "at", np.int64)
+        doc, row, at = joined(rows, "doc", np.int64), joined(rows, "row", np.uint32), joined(rows, "at", np.uint32)
         part = np.repeat(rows.column("part").to_numpy(), [len(x) // 8 for x in rows.column("hash").to_pylist()])
         by = np.lexsort((doc, h))  # documents in order within equal suffixes, as sorting by suffix is stable
         bits = np.zeros(len(h), np.uint64)
@@ -247,8 +265,8 @@ def repeats(length: int):
             later[order] = d > np.repeat(d[edge[:-1]], np.diff(edge))
             bits[held[later]] |= np.uint64(1 << o)
         hit = bits != 0
-        return pa.Table.from_pylist([{"part": r["key"], "rid": r["rid"], "at": r["at"], "bits": r["bits"]}
-                                     for r in blobs(part[hit], rid=rid[hit], at=at[hit], bits=bits[hit])], schema)
+        return pa.Table.from_pylist([{"part": r["key"], "row": r["row"], "at": r["at"], "bits": r["bits"]}
+                                     for r in blobs(part[hit], row=row[hit], at=at[hit], bits=bits[hit])], schema)
 
     return run
 
@@ -259,16 +277,12 @@ def remaining(length: int, want_text: bool, least_span: int):
 
     def run(rows, found):
         part = Part(rows, length, parse=False)
-        rid, at, bits = joined(found, "rid", np.int64), joined(found, "at", np.int64), joined(found, "bits", np.uint64)
-        change = np.zeros(len(part.text) + 1, np.int32)
-        first, last = np.searchsorted(part.rids, rid), np.searchsorted(part.rids, rid, "right")
-        for copy in range(int((last - first).max(initial=0))):  # rows of one id and text share their repeats
-            here = first + copy < last
-            begin, own = part.starts[first[here] + copy] + at[here], bits[here]
-            for o in range(side + 1):
-                some = begin[(own >> np.uint64(o) & np.uint64(1)).astype(bool)] - o
-                np.add.at(change, some, 1)
-                np.add.at(change, some + length, -1)
+        row, at, bits = joined(found, "row", np.uint32), joined(found, "at", np.uint32), joined(found, "bits", np.uint64)
+        change, begin = np.zeros(len(part.text) + 1, np.int32), part.starts[row] + at
+        for o in range(side + 1):
+            some = begin[(bits >> np.uint64(o) & np.uint64(1)).astype(bool)] - o
+            np.add.at(change, some, 1)
+            np.add.at(change, some + length, -1)
         gone = np.cumsum(change[:-1]) > 0
         spans, kept = [], []
         for i, text in enumerate(part.texts):
@@ -305,21 +319,20 @@ def repeated_spans(docs: DataFrame, length: int = 50, least_span: int = 0, want_
         raise ValueError(f"length must be from {TRIGGER + 1} to {TRIGGER + 63}")
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]
     parts = parts_for(size, PART_BYTES)
-    mark = 20
     others = [F.col(c) for c in docs.columns if c != text_col]
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     base = docs.select(
         F.pmod(F.xxhash64(id_col), F.lit(parts)).alias("part"), F.xxhash64(id_col, text_col).alias("rid"),
         F.col(id_col).cast("long").alias("doc"), text.alias("text"), F.col(text_col).isNull().alias("absent"), F.struct(*others).alias("rest"))
     by_part = base.groupBy("part")
-    sent = by_part.applyInArrow(shared_triggers(mark, parts, length), "part long, key long, hash binary, low binary, many binary")
-    common = sent.groupBy("key").applyInArrow(common_hashes, "part long, hash binary")
+    sent = by_part.applyInArrow(shared_triggers(parts, length), "part long, key long, hash binary, many binary")
+    common = sent.groupBy("key").applyInArrow(common_hashes, "part long, bucket long, hash binary")
     met = by_part.cogroup(common.groupBy("part")).applyInArrow(
-        phrases(mark, parts, length),
-        "part long, key long, hash binary, context binary, left binary, right binary, doc binary, rid binary, at binary, bits binary")
+        phrases(parts, length),
+        "part long, key long, hash binary, context binary, left binary, right binary, doc binary, row binary, at binary, bits binary")
     # what a part has settled itself goes straight back to it
     home = F.when(F.col("key") < 0, -1 - F.col("part")).otherwise(F.col("key"))
-    found = met.withColumn("key", home).groupBy("key").applyInArrow(repeats(length), "part long, rid binary, at binary, bits binary")
+    found = met.withColumn("key", home).groupBy("key").applyInArrow(repeats(length), "part long, row binary, at binary, bits binary")
     kind = f"rest {base.schema['rest'].dataType.simpleString()}, absent boolean, n_bytes long, spans array<struct<a:long,b:long>>, kept_sha256 string, kept binary"
     return by_part.cogroup(found.groupBy("part")).applyInArrow(remaining(length, want_text, least_span), kind)
 
