@@ -16,6 +16,10 @@ from emberline.operators import chunks
 
 RUNNING = {"hi": "boiler", "lo": "circulator"}
 IDLE = "main power"
+# Watts below which a furnace that is on only blows air, seconds after which its state is unknown,
+# watts above which it dries; and, without a log, watts below which it is off and below which it only blows.
+BLOWER_W, UNKNOWN_S, DRYING_W = 69, 600, 500
+OFF_W, UNLOGGED_BLOWER_W = 40, 60
 # Log entries (_kind 0) come before readings (_kind 1) of the same instant. Scans that follow on the
 # same rows name the same order, so that Spark sorts once.
 SCAN_ORDER = ("ts", "_kind", "tie")
@@ -47,9 +51,9 @@ def furnace_mode(status: Column, watts: Column, gap_s: Column) -> Column:
     """Refines ON. Each step rewrites rows still ON, so low power wins over a long gap."""
     on = status == "ON"
     return (
-        F.when(on & (watts < 69), "blower")
-        .when(on & (gap_s > 600), "unknown")
-        .when(on & (watts > 500), "dehumidification")
+        F.when(on & (watts < BLOWER_W), "blower")
+        .when(on & (gap_s > UNKNOWN_S), "unknown")
+        .when(on & (watts > DRYING_W), "dehumidification")
         .otherwise(status)
     )
 
@@ -57,9 +61,9 @@ def furnace_mode(status: Column, watts: Column, gap_s: Column) -> Column:
 def furnace_mode_unlogged(watts: Column) -> Column:
     """The variant without a log: power alone decides, unknown power counts as on."""
     return (
-        F.when(watts > 500, "dehumidification")
-        .when(watts < 40, "off")
-        .when(watts < 60, "blower")
+        F.when(watts > DRYING_W, "dehumidification")
+        .when(watts < OFF_W, "off")
+        .when(watts < UNLOGGED_BLOWER_W, "blower")
         .otherwise("on")
     )
 

@@ -9,6 +9,7 @@ from emberline.functions.energy import GALLONS_PER_HOUR, TANK_GALLONS
 from emberline.operators.rollups import cumulative
 from emberline.sources.series import spine
 
+# The share of the tank that counts as low, and the gallons before the first delivery.
 LOW_SHARE = 0.25
 START_GALLONS = 31.5
 
