@@ -124,10 +124,24 @@ def merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def without_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """The text without the bytes from the first to the last word of each span."""
+    if not spans:
+        return text
+    at = [m.span() for m in RUN.finditer(text.translate(NORMAL))]
+    kept, done = [], 0
+    for a, b in spans:
+        kept.append(text[done:at[a][0]])
+        done = at[b - 1][1]
+    return b"".join([*kept, text[done:]])
+
+
 def overlaps(docs: DataFrame, items: DataFrame, window: int = 10, text_col: str = "text",
-             item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+             item_id: str = "item_id", item_text: str = "text", cut: int | None = None) -> DataFrame:
     """One row per document: ``row`` (all its columns), n_words, spans of hit words [a, b) and items hit.
 
+    With ``cut``, ``text`` is the text without its spans of more than ``cut`` words.
+
     Items are read in blocks of about ``BLOCK_BYTES``, each held as one automaton by every task; as long as
     one block holds them all the documents are read once and nothing is shuffled, otherwise the spans found
     so far are written to the shared folder between blocks. Words are runs of ASCII letters (A-Z lowered),
@@ -138,26 +152,31 @@ def overlaps(docs: DataFrame, items: DataFrame, window: int = 10, text_col: str
     spark = docs.sparkSession
     tests = items.select(F.col(item_id).cast("string").alias("id"), text_bytes(item_text).alias("text"))
     blocks = parts_for(tests.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0], BLOCK_BYTES)
-    rows = docs.select(F.struct("*").alias("row"), text_bytes(text_col).alias("_text"), F.lit(0).cast("long").alias("n_words"),
+    rows = docs.select(F.struct("*").alias("row"), text_bytes(text_col).alias("_text"), F.lit(None).cast("string").alias("text"), F.lit(0).cast("long").alias("n_words"),
                        F.array().cast("array<struct<a:int,b:int>>").alias("spans"), F.array().cast("array<string>").alias("items"))
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in rows.schema.fields])
     for block in range(blocks):
         own = tests if blocks == 1 else tests.where(F.expr(f"pmod(xxhash64(id, text), {blocks}) = {block}"))
         shared = spark.sparkContext.broadcast([tuple(r) for r in own.collect()])  # one block: its size is bounded
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        last = block == blocks - 1
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, last=last) -> Iterator[pa.RecordBatch]:
             automaton = once(shared, lambda rows: Automaton([(i, bytes(t)) for i, t in rows], window))
             for batch in slices(batches, "_text"):
-                counts, spans, found = [], [], []
+                counts, spans, found, kept = [], [], [], []
                 for text, before, owners in zip(
                         batch.column("_text").to_pylist(), batch.column("spans").to_pylist(), batch.column("items").to_pylist(), strict=True):
                     words = words_of(text)
                     new, got = automaton.matches(words)
                     counts.append(len(words))
-                    spans.append([{"a": a, "b": b} for a, b in merged([*new, *((s["a"], s["b"]) for s in before)])])
+                    new = merged([*new, *((s["a"], s["b"]) for s in before)])
+                    spans.append([{"a": a, "b": b} for a, b in new])
                     found.append(sorted({*got, *owners}))
+                    cuts = [(a, b) for a, b in new if b - a > cut] if last and cut is not None else []
+                    kept.append(without_spans(text, cuts).decode("utf-8", "replace") if cuts else None)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("row"), batch.column("_text"), pa.array(counts, pa.int64()),
+                    [batch.column("row"), batch.column("_text"), pa.array(kept, pa.string()), pa.array(counts, pa.int64()),
                      pa.array(spans, batch.schema.field("spans").type), pa.array(found, batch.schema.field("items").type)],
                     batch.schema.names)
 
@@ -176,29 +195,15 @@ def report(docs: DataFrame, items: DataFrame, window: int = 10, id_col: str = "d
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
 
 
-def without_spans(text, spans):
-    """The text without the bytes from the first to the last word of each span."""
-    if not text or not spans:
-        return text
-    data = text.encode()
-    at = [m.span() for m in RUN.finditer(data.translate(NORMAL))]
-    kept, done = [], 0
-    for s in spans:
-        kept.append(data[done:at[s["a"]][0]])
-        done = at[s["b"] - 1][1]
-    return b"".join([*kept, data[done:]]).decode("utf-8", "replace")
-
-
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, max_span: int = 0, max_coverage: float = 0.5,
                   text_col: str = "text", **names) -> DataFrame:
     """The documents without spans of more than ``max_span`` hit words; those covered beyond ``max_coverage`` go.
 
     Only documents with such spans are changed. A document without words is kept as it is.
     """
-    found = overlaps(docs, items, window, text_col, **names)
+    found = overlaps(docs, items, window, text_col, cut=max_span, **names)
     spans = F.filter("spans", lambda s: s["b"] - s["a"] > max_span)
     hit = F.aggregate(spans, F.lit(0), lambda n, s: n + s["b"] - s["a"])
     kept = found.where(hit <= max_coverage * F.col("n_words"))
-    cut = F.udf(without_spans, T.StringType())
-    new = F.when(F.size(spans) > 0, cut(F.col("row")[text_col], spans)).otherwise(F.col("row")[text_col])
+    new = F.coalesce("text", F.col("row")[text_col])
     return kept.select(*(new.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns))

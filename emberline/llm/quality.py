@@ -18,7 +18,7 @@ FEATURES = 1 << 18
 LABELLED_ROWS = 40_000
 LEAST_Z = 5.0
 LEAST_RATIO = 20
-CACHED_WORDS = 500_000
+CACHED_WORDS = 100_000
 TARGETS = ("low", "toxic")
 MEASURES = ("upper", "symbols", "marks", "runs", "lines")
 BINS = 24

@@ -19,12 +19,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from emberline.llm.common import parts_for
 
 TRIGGER = 24
-PART_BYTES = 8 << 20
+PART_BYTES = 4 << 20
 NONE = np.iinfo(np.int64).max
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
@@ -195,8 +194,8 @@ def phrases(buckets: int, length: int):
         left, right = np.minimum(at, side), np.minimum(size - at - TRIGGER, side)
         padded = np.concatenate([np.zeros(side, np.uint8), np.frombuffer(part.text, np.uint8), np.zeros(side, np.uint8)])
         out = []
-        for i in range(0, len(take), 1 << 18):
-            s = slice(i, i + (1 << 18))
+        for i in range(0, len(take), 1 << 16):
+            s = slice(i, i + (1 << 16))
             begin = part.starts[row[s]] + at[s] + side
             steps = np.arange(1, side + 1)
             before = np.where(steps <= left[s, None], padded[begin[:, None] - steps], 0)
@@ -283,7 +282,7 @@ def remaining(length: int, want_text: bool, least_span: int):
             some = begin[(bits >> np.uint64(o) & np.uint64(1)).astype(bool)] - o
             np.add.at(change, some, 1)
             np.add.at(change, some + length, -1)
-        gone = np.cumsum(change[:-1]) > 0
+        gone = np.cumsum(change[:-1], dtype=np.int32) > 0
         spans, kept = [], []
         for i, text in enumerate(part.texts):
             own = gone[part.starts[i]:part.starts[i + 1]]
@@ -298,7 +297,7 @@ def remaining(length: int, want_text: bool, least_span: int):
             "n_bytes": pa.array(np.diff(part.starts), pa.int64()),
             "spans": pa.array(spans, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))),
             "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()),
-            "kept": pa.array(kept if want_text else [None] * len(kept), pa.binary())})
+            "kept": pa.array([k.decode("utf-8", "ignore") if want_text else None for k in kept], pa.string())})
 
     return run
 
@@ -308,7 +307,7 @@ def repeated_spans(docs: DataFrame, length: int = 50, least_span: int = 0, want_
 
     ``spans`` are the byte ranges covered by strings of ``length`` bytes that also start in a document with
     a smaller id, judged on the input, of at least ``least_span`` bytes each; ``kept`` is the rest of the text,
-    where it is asked for. Texts are shuffled once and read from there three times: to find triggers that stand in two documents, to send
+    where it is asked for, less what is left of characters cut in two. Texts are shuffled once and read from there three times: to find triggers that stand in two documents, to send
     their phrases, and to cut. Parts hold about ``PART_BYTES`` of text, dealt by a hash of the id, and send
     a hash or phrase once however often it stands in them, so frequent strings and copies add little.
 
@@ -333,7 +332,7 @@ def repeated_spans(docs: DataFrame, length: int = 50, least_span: int = 0, want_
     # what a part has settled itself goes straight back to it
     home = F.when(F.col("key") < 0, -1 - F.col("part")).otherwise(F.col("key"))
     found = met.withColumn("key", home).groupBy("key").applyInArrow(repeats(length), "part long, row binary, at binary, bits binary")
-    kind = f"rest {base.schema['rest'].dataType.simpleString()}, absent boolean, n_bytes long, spans array<struct<a:long,b:long>>, kept_sha256 string, kept binary"
+    kind = f"rest {base.schema['rest'].dataType.simpleString()}, absent boolean, n_bytes long, spans array<struct<a:long,b:long>>, kept_sha256 string, kept string"
     return by_part.cogroup(found.groupBy("part")).applyInArrow(remaining(length, want_text, least_span), kind)
 
 
@@ -345,14 +344,8 @@ def report(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col:
                         F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
-def whole_characters(data):
-    """Text of bytes that may begin or end within a character."""
-    return None if data is None else bytes(data).decode("utf-8", "ignore")
-
-
 def deduplicated(docs: DataFrame, length: int = 50, least_span: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without their repeated spans of at least ``least_span`` bytes; other texts are unchanged."""
     found = repeated_spans(docs, length, least_span, True, id_col, text_col)
-    kept = F.col("kept").cast("string")
-    text = F.when(F.col("absent"), F.lit(None)).when(F.size("spans") > 0, F.udf(whole_characters, T.StringType())("kept")).otherwise(kept)
+    text = F.when(~F.col("absent"), F.col("kept"))
     return found.select(*(text.alias(c) if c == text_col else F.col("rest")[c].alias(c) for c in docs.columns))
