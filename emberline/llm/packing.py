@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from emberline.llm.common import slices, text_bytes
 
-CACHED_WORDS = 600_000
+CACHED_WORDS = 500_000
 GROUP_TOKENS = 1 << 20
 LARGEST_PIECE = 512
 FIRST_SLACK = 4
@@ -129,14 +129,14 @@ class Ids:
         new = list({w for words in split for w in words if w not in kept})
         got = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
         fresh = {w: np.array(e.ids, "<u2").tobytes() for w, e in zip(new, got, strict=True)}
-        if len(kept) + len(fresh) <= CACHED_WORDS:
-            kept.update(fresh)
-            find = kept.__getitem__
-        else:
-            def find(w):
-                return kept.get(w) or fresh.get(w, b"")
+        room = len(kept) + len(fresh) <= CACHED_WORDS
+        kept.update(fresh)
         last = np.array([end], "<u2").tobytes()
-        return [b"".join(map(find, words)) + last for words in split]
+        found = [b"".join(map(kept.__getitem__, words)) + last for words in split]
+        if not room:
+            for w in fresh:
+                del kept[w]
+        return found
 
 
 @functools.cache
