@@ -131,7 +131,7 @@ def scan(files: DataFrame, path: Column, licence_file: Column | None = None, tem
     """
     here = files.withColumn("_path", path)
     by_name = F.col("_path").rlike(LICENCE_FILE)
-    found = matches(files, templates, least, id_col, text_col)
+    found = matches(files, templates, least, id_col, text_col).checkpoint()  # a row for each text with a notice; read three times
     own = here.drop(*{"n_notices", "score", "licence", "line"} & set(files.columns)).join(found, id_col, "left").select(
         F.col(id_col).alias("id"), F.col("_path").alias("path"), directory(F.col("_path")).alias("dir"), "n_notices", "score", "licence",
         F.coalesce(by_name if licence_file is None else licence_file, F.lit(False)).alias("speaks"))
