@@ -28,13 +28,13 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def distinct_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without passages of 200 bytes and more that stand in a document with a smaller id."""
-    return recounted(repeats.deduplicated(docs, length=50, least_span=200))
+    """Without passages of over 50 words, or of 200 bytes and more, that stand in a document with a smaller id."""
+    return recounted(repeats.deduplicated(docs, length=50, least_span=200, least_words=51))
 
 
 def unseen_tests(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without spans of test items; documents of which these are more than half go."""
-    return recounted(contamination.decontaminate(docs, table(spark, sf_dir, "benchmark"), window=10, max_coverage=0.5))
+    """Without spans of test items of five words and more; documents of which these, or a shorter one, are more than half go."""
+    return recounted(contamination.decontaminate(docs, table(spark, sf_dir, "benchmark"), window=10, max_span=4, max_coverage=0.5))
 
 
 def packed_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -199,11 +199,14 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, max_span:
                   text_col: str = "text", **names) -> DataFrame:
     """The documents without spans of more than ``max_span`` hit words; those covered beyond ``max_coverage`` go.
 
+    A shorter span stays, unless it alone covers the document beyond ``max_coverage``, which then goes too. Items
+    that follow each other without a word between are one span.
     Only documents with such spans are changed. A document without words is kept as it is.
     """
     found = overlaps(docs, items, window, text_col, cut=max_span, **names)
     spans = F.filter("spans", lambda s: s["b"] - s["a"] > max_span)
     hit = F.aggregate(spans, F.lit(0), lambda n, s: n + s["b"] - s["a"])
-    kept = found.where(hit <= max_coverage * F.col("n_words"))
+    most = F.aggregate("spans", F.lit(0), lambda n, s: F.greatest(n, s["b"] - s["a"]))
+    kept = found.where(F.greatest(hit, most) <= max_coverage * F.col("n_words"))
     new = F.coalesce("text", F.col("row")[text_col])
     return kept.select(*(new.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns))

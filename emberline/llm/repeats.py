@@ -270,7 +270,14 @@ def repeats(length: int):
     return run
 
 
-def remaining(length: int, want_text: bool, least_span: int):
+def whole_words(text: bytes, a: int, b: int) -> int:
+    """The number of words of which no part is outside of [a, b)."""
+    inside = text[max(a - 1, 0):b + 1].split()
+    cut = (a > 0 and not text[a - 1:a].isspace()) + (b < len(text) and not text[b:b + 1].isspace())
+    return max(0, len(inside) - cut)
+
+
+def remaining(length: int, want_text: bool, least_span: int, least_words: int | None = None):
     """From a part, with its repeats, to its documents: the spans of bytes to remove, and what stays."""
     side = length - TRIGGER
 
@@ -288,7 +295,8 @@ def remaining(length: int, want_text: bool, least_span: int):
             own = gone[part.starts[i]:part.starts[i + 1]]
             edge = np.flatnonzero(np.diff(np.concatenate([[0], own.view(np.int8), [0]]))).tolist() if own.any() else []
             if least_span:
-                edge = [x for a, b in zip(edge[::2], edge[1::2], strict=True) if b - a >= least_span for x in (a, b)]
+                edge = [x for a, b in zip(edge[::2], edge[1::2], strict=True)
+                        if b - a >= least_span or least_words is not None and whole_words(text, a, b) >= least_words for x in (a, b)]
             spans.append([{"a": a, "b": b} for a, b in zip(edge[::2], edge[1::2], strict=True)])
             stays = [0, *edge, len(text)]
             kept.append(b"".join(text[a:b] for a, b in zip(stays[::2], stays[1::2], strict=True)) if edge else text)
@@ -302,11 +310,12 @@ def remaining(length: int, want_text: bool, least_span: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, length: int = 50, least_span: int = 0, want_text: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = 50, least_span: int = 0, want_text: bool = False, id_col: str = "doc_id", text_col: str = "text",
+                   least_words: int | None = None) -> DataFrame:
     """One row per document: ``rest`` (its other columns), absent, n_bytes, spans, kept_sha256 and kept.
 
     ``spans`` are the byte ranges covered by strings of ``length`` bytes that also start in a document with
-    a smaller id, judged on the input, of at least ``least_span`` bytes each; ``kept`` is the rest of the text,
+    a smaller id, judged on the input, of at least ``least_span`` bytes or ``least_words`` whole words each; ``kept`` is the rest of the text,
     where it is asked for, less what is left of characters cut in two. Texts are shuffled once and read from there three times: to find triggers that stand in two documents, to send
     their phrases, and to cut. Parts hold about ``PART_BYTES`` of text, dealt by a hash of the id, and send
     a hash or phrase once however often it stands in them, so frequent strings and copies add little.
@@ -333,7 +342,7 @@ def repeated_spans(docs: DataFrame, length: int = 50, least_span: int = 0, want_
     home = F.when(F.col("key") < 0, -1 - F.col("part")).otherwise(F.col("key"))
     found = met.withColumn("key", home).groupBy("key").applyInArrow(repeats(length), "part long, row binary, at binary, bits binary")
     kind = f"rest {base.schema['rest'].dataType.simpleString()}, absent boolean, n_bytes long, spans array<struct<a:long,b:long>>, kept_sha256 string, kept string"
-    return by_part.cogroup(found.groupBy("part")).applyInArrow(remaining(length, want_text, least_span), kind)
+    return by_part.cogroup(found.groupBy("part")).applyInArrow(remaining(length, want_text, least_span, least_words), kind)
 
 
 def report(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -344,8 +353,9 @@ def report(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col:
                         F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
-def deduplicated(docs: DataFrame, length: int = 50, least_span: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without their repeated spans of at least ``least_span`` bytes; other texts are unchanged."""
-    found = repeated_spans(docs, length, least_span, True, id_col, text_col)
+def deduplicated(docs: DataFrame, length: int = 50, least_span: int = 200, id_col: str = "doc_id", text_col: str = "text",
+                 least_words: int | None = None) -> DataFrame:
+    """The documents without their repeated spans of at least ``least_span`` bytes or ``least_words`` words; other texts are unchanged."""
+    found = repeated_spans(docs, length, least_span, True, id_col, text_col, least_words)
     text = F.when(~F.col("absent"), F.col("kept"))
     return found.select(*(text.alias(c) if c == text_col else F.col("rest")[c].alias(c) for c in docs.columns))

@@ -230,6 +230,21 @@ def test_pipeline(spark, small, tmp_path):
     assert {r["doc_id"] for r in pieces} == want and all(r["n"] == r["doc_tokens"] for r in pieces)
 
 
+def test_pipeline_judges_passages_by_words_and_spares_short_items(spark, small, monkeypatch):
+    run = " ".join("abcdefghij"[i % 10] + "klmnopq"[i % 7] * (i % 2) for i in range(60))  # 60 words, below 200 bytes
+    few = run[:len(run) * 2 // 3]  # 40 words
+    assert len(run) < 200 and len(few.split()) <= 50
+    rows = [(1, f"first text {run} end"), (2, f"second one {run} other"), (3, f"third one {few} rest")]
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.distinct_passages(spark, documents(spark, rows), small).collect()}
+    assert got[1] == rows[0][1] and "a bl" not in got[2] and got[3] == rows[2][1]
+
+    items = spark.createDataFrame([("1", "yes"), ("2", "New York"), ("3", "who was the first king of it")], "item_id string, text string")
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *_: items)
+    rows = [(1, "we say yes in New York at all times"), (2, "Yes"), (3, "a quiz: who was the first king of it? no answer is here for you")]
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.unseen_tests(spark, documents(spark, rows), small).collect()}
+    assert got == {1: rows[0][1], 3: "a quiz: ? no answer is here for you"}
+
+
 def test_pipeline_stages_take_awkward_and_empty_tables(spark, small, tmp_path):
     for name, docs in (("awkward", documents(spark, awkward(WORDS))), ("empty", empty(spark).withColumns({"source": F.lit("s"), "lang": F.lit("l")}))):
         for stage, f in corpus_pipeline.STAGES:
