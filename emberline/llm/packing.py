@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import functools
 import heapq
 import itertools
-import os
 import zlib
 from collections.abc import Iterator
 
@@ -16,8 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberline.llm.common import slices, text_bytes
+from emberline.llm.word_ids import word_ids
 
-CACHED_WORDS = 500_000
+SLICE_BYTES = 8 << 20
 GROUP_TOKENS = 1 << 20
 LARGEST_PIECE = 512
 FIRST_SLACK = 4
@@ -107,43 +106,6 @@ def pack(pieces: list[tuple[int, int, int]], window: int) -> Iterator[list[tuple
         yield sequence
 
 
-class Ids:
-    """Identifiers of texts as little-endian 16-bit numbers, for a tokenizer that drops white space.
-
-    Such a tokenizer never joins what ASCII white space separates, so each separated piece is encoded once
-    and kept, up to ``CACHED_WORDS`` pieces.
-    """
-
-    def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_padding()
-        self.tokenizer.no_truncation()
-        self.kept: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[bytes], end: int) -> list[bytes]:
-        split = [t.split() for t in texts]
-        kept = self.kept
-        new = list({w for words in split for w in words if w not in kept})
-        got = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-        fresh = {w: np.array(e.ids, "<u2").tobytes() for w, e in zip(new, got, strict=True)}
-        room = len(kept) + len(fresh) <= CACHED_WORDS
-        kept.update(fresh)
-        last = np.array([end], "<u2").tobytes()
-        found = [b"".join(map(kept.__getitem__, words)) + last for words in split]
-        if not room:
-            for w in fresh:
-                del kept[w]
-        return found
-
-
-@functools.cache
-def ids_of(path: str) -> Ids:
-    return Ids(path)
-
-
 def pack_documents(
     docs: DataFrame, tokenizer_path: str, window: int = 4096, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
@@ -157,7 +119,7 @@ def pack_documents(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = ids_of(tokenizer_path)
+        own = word_ids(tokenizer_path)
         sequence = TaskContext.get().partitionId() << 40
         held: list[tuple[object, bytes]] = []
         pieces: list[tuple[int, int, int]] = []
@@ -180,7 +142,7 @@ def pack_documents(
                 ["_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
         id_type = pa.int64()
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, "_text", SLICE_BYTES):
             id_type = batch.schema.field("_id").type
             ids = own.encode(batch.column("_text").to_pylist(), end_id)
             for doc_id, found in zip(batch.column("_id").to_pylist(), ids, strict=True):
