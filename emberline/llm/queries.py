@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberline.llm import archives, contamination, language_model, licenses, neighbours, packing, quality, repeats, simhash, token_counts, token_files
+from emberline.llm import archives, contamination, language_model, licenses, neighbours, packing, quality, repeats, simhash, spelling, token_counts, token_files, whitening
 from emberline.llm.common import table
 
 
@@ -92,7 +92,15 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_neighbours, op2_simhash, op3_token_counts, op4_suffix_dedup, op5_decontamination, op6_licenses, op7_warc, op8_language_model,
-    op9_quality, op10_packing, op11_token_files)}
+    op9_quality, op10_packing, op11_token_files, op12_whitening, op13_spelling)}
 ORACLES = {"op6_licenses": OP6_SQL}
