@@ -81,13 +81,26 @@ def gram_counts(words: DataFrame) -> DataFrame:
     return words.select(F.explode(grams).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
 
 
+def spared(word: str, at: int) -> Iterator[str]:
+    """What two words have in common, written alike in both, if one edit tells them apart and spares the bigram at ``at``.
+
+    All letters on one side of the bigram are spared, so it stands equally far from that end. Of the rest, cut in
+    half where the shorter rest of the two words is, one half is spared: the first letters or the last ones.
+    """
+    for side, same, rest in (("<", word[:at + 2], word[at + 2:]), (">", word[at:], word[:at])):
+        for least in (len(rest), len(rest) - 1):
+            if least < 0:
+                continue
+            half = least // 2
+            yield f"{side}{same}{least}[{rest[:half]}"
+            yield f"{side}{same}{least}]{rest[len(rest) - (least - half):]}"
+
+
 def keyed(words: DataFrame, counts: dict[str, int]) -> DataFrame:
-    """(word, pivot, last, length, key): one row for each side of each pivot and of each gram of the prefix.
+    """(word, pivot, last, key): the keys of what an edit may spare, for the grams of each prefix and for the pivots.
 
     Grams are ordered by their count, then by themselves. The prefix of a word is its first ``PREFIX`` bigrams in that
-    order and all others equal to the last of them; ``last`` is the place of that one in the order. Where an edit
-    spares a gram, all letters on one side of it are spared, so the gram stands equally far from that end; the
-    key is of the gram, the side and the letters there.
+    order and all others equal to the last of them; ``last`` is the place of that one in the order.
     """
     place = {g: i for i, g in enumerate(sorted(counts, key=lambda g: (counts[g], g)))}
 
@@ -98,25 +111,18 @@ def keyed(words: DataFrame, counts: dict[str, int]) -> DataFrame:
                 grams = [place[word[i:i + 2]] for i in range(len(word) - 1)]
                 order = sorted(range(len(grams)), key=lambda i: (grams[i], i))
                 last = grams[order[PREFIX - 1]]
-                prefix = [i for i in order if grams[i] <= last]
-                chosen = set(pivots(order[:PREFIX], [counts[word[i:i + 2]] for i in order[:PREFIX]]))
-                for i in prefix:
-                    sides = (f"<{word[:i + 2]}", f">{word[i:]}")
-                    for side, text in enumerate(sides):
-                        h = xxhash.xxh3_64_intdigest(text.encode(), 2 * grams[i] + side) - (1 << 63)
-                        for kind in (0, 1) if i in chosen else (0,):
-                            names.append(at)
-                            kinds.append(bool(kind))
-                            lasts.append(last)
-                            keys.append(h)
-            words_here = batch.column("word")
-            taken = pa.array(names, pa.int32())
+                chosen = pivots(order[:PREFIX], [counts[word[i:i + 2]] for i in order[:PREFIX]])
+                for kind, those in ((False, [i for i in order if grams[i] <= last]), (True, chosen)):
+                    found = {xxhash.xxh3_64_intdigest(text, grams[i]) - (1 << 63) for i in those for text in spared(word, i)}
+                    names += [at] * len(found)
+                    kinds += [kind] * len(found)
+                    lasts += [last] * len(found)
+                    keys += found
             yield pa.RecordBatch.from_arrays(
-                [words_here.take(taken), pa.array(kinds, pa.bool_()), pa.array(lasts, pa.int32()), pa.array(keys, pa.int64()),
-                 batch.column("length").take(taken)], ["word", "pivot", "last", "key", "length"])
+                [batch.column("word").take(pa.array(names, pa.int32())), pa.array(kinds, pa.bool_()), pa.array(lasts, pa.int32()), pa.array(keys, pa.int64())],
+                ["word", "pivot", "last", "key"])
 
-    sized = words.select("word", F.length("word").alias("length"))
-    return sized.mapInArrow(run, "word string, pivot boolean, last int, key long, length int")
+    return words.select("word").mapInArrow(run, "word string, pivot boolean, last int, key long")
 
 
 def near_words(words: DataFrame) -> DataFrame:
@@ -124,17 +130,16 @@ def near_words(words: DataFrame) -> DataFrame:
 
     Of two words the one whose prefix ends earlier in the order of grams has its pivots in the prefix of the
     other, unless an edit touched them, and one edit spares one of two disjoint pivots. So pivots are joined
-    with prefixes on the spared gram and side, for words of equal length or one letter more or less, and
-    what meets is verified. Nothing is capped; the join is by hash of key and length, and skewed keys are split by Spark.
+    with prefixes on what the edit spared, the bigram with its position from one end included, and what meets is verified.
+    Nothing is capped; the join is by hash of the key, and skewed keys are split by Spark.
     """
     spark = words.sparkSession
     counts = {r["gram"]: r["n"] for r in gram_counts(words).collect()}  # 8,100 rows at most
     keyed(words, counts).write.parquet(path := shared_path(spark, "grams"))
-    rows = spark.read.schema("word string, pivot boolean, last int, key long, length int").parquet(path)
-    index = rows.where("NOT pivot").select(F.col("word").alias("s"), F.col("last").alias("s_last"), "key", "length")
-    probes = rows.where("pivot").select(
-        F.col("word").alias("r"), F.col("last").alias("r_last"), "key", F.explode(F.array(*(F.col("length") + d for d in (-1, 0, 1)))).alias("length"))
-    met = probes.join(index, ["key", "length"]).where("r_last <= s_last AND r <> s")
+    rows = spark.read.schema("word string, pivot boolean, last int, key long").parquet(path)
+    index = rows.where("NOT pivot").select(F.col("word").alias("s"), F.col("last").alias("s_last"), "key")
+    probes = rows.where("pivot").select(F.col("word").alias("r"), F.col("last").alias("r_last"), "key")
+    met = probes.join(index, "key").where("r_last <= s_last AND r <> s AND abs(length(r) - length(s)) <= 1")
     near = met.where(F.levenshtein("r", "s", 1) == 1)
     return near.select(F.least("r", "s").alias("a"), F.greatest("r", "s").alias("b")).distinct()
 
