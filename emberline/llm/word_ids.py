@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import gc
 import json
 import os
 import re
@@ -12,7 +13,8 @@ import numpy as np
 from emberline.llm.token_counts import byte_characters
 
 CACHED_WORDS = 400_000
-WIDEST = 24
+LONGEST = 128
+CLOSING = b".,;:!?)"
 NEVER = np.int32(np.iinfo(np.int32).max)
 LATIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 # Fixed value: the pre-tokenizer of the vocabulary, for lower-cased texts of the characters of LATIN.
@@ -109,63 +111,62 @@ class WordIds:
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
-    def parts(self, words: list[str]) -> dict[str, bytes]:
-        """The identifiers of pre-tokens."""
+    def parts(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """The identifiers of lower-case pre-tokens."""
         found, by_length = {}, {}
         for w in words:
-            b = w.encode()
-            if len(b) <= WIDEST:
-                by_length.setdefault(len(b), ([], []))
-                group = by_length[len(b)]
-                group[0].append(w)
-                group[1].append(b)
-            else:
-                symbols = np.concatenate([self.inner[list(b[:-1])], self.last[[b[-1]]]])
-                found[w] = self.long(symbols.tolist())
-        for n, (names, encoded) in by_length.items():
-            loose = np.frombuffer(b"".join(encoded), np.uint8).reshape(-1, n)
+            by_length.setdefault(len(w), []).append(w)
+        for n, names in by_length.items():
+            loose = np.frombuffer(b"".join(names), np.uint8).reshape(-1, n)
             symbols = self.inner[loose]
             symbols[:, -1] = self.last[loose[:, -1]]
             for rows, ids in self.merges.merge(symbols):
                 size, flat = 2 * ids.shape[1], ids.astype("<u2").tobytes()
-                found.update((names[r], flat[i * size:(i + 1) * size]) for i, r in enumerate(rows.tolist()))
+                found.update((names[r], flat[i:i + size]) for r, i in zip(rows.tolist(), range(0, len(flat), size), strict=True))
         return found
 
-    def long(self, symbols: list[int]) -> bytes:
-        """One long run of characters, as a single row."""
-        ((_, ids),) = self.merges.merge(np.array([symbols], np.int32))
-        return ids.astype("<u2").tobytes()
-
-    def pieces(self, new: list[bytes]) -> dict[bytes, bytes]:
-        split, other = {}, []
+    def pieces(self, new: set[bytes]) -> dict[bytes, bytes]:
+        whole, split, other = {}, {}, []
         for w in new:
+            if len(w) > LONGEST:  # rows of merges are moved whole, which suits words only
+                other.append((w, w.decode("utf-8", "replace")))
+                continue
             if w.isalpha():
-                split[w] = (w.decode().lower(),)
+                whole[w] = w.lower()
+                continue
+            core = w.rstrip(CLOSING)
+            if core.isalpha():
+                split[w] = core.lower(), w[len(core):]
                 continue
             s = w.decode("utf-8", "replace")
             if LATIN.fullmatch(s) and not any(t in s for t in self.special):
-                split[w] = tuple(PARTS.findall(s.lower()))
+                split[w] = tuple(p.encode() for p in PARTS.findall(s.lower()))
             else:
                 other.append((w, s))
-        ids = self.parts(list({p for parts in split.values() for p in parts}))
-        found = {w: ids[p[0]] if len(p) == 1 else b"".join(map(ids.__getitem__, p)) for w, p in split.items()}
+        ids = self.parts(list({*whole.values(), *(p for parts in split.values() for p in parts)}))
+        found = {w: ids[p] for w, p in whole.items()}
+        found.update((w, b"".join(map(ids.__getitem__, p))) for w, p in split.items())
         got = self.tokenizer.encode_batch([s for _, s in other], add_special_tokens=False)
         found.update((w, np.array(e.ids, "<u2").tobytes()) for (w, _), e in zip(other, got, strict=True))
         return found
 
     def encode(self, texts: list[bytes], end: int) -> list[bytes]:
-        """The identifiers of each text, then ``end``."""
+        """The identifiers of each text, then ``end``. Nothing made here has cycles, so their collector rests."""
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            return self.encoded(texts, np.array([end], "<u2").tobytes())
+        finally:
+            if collecting:
+                gc.enable()
+
+    def encoded(self, texts: list[bytes], last: bytes) -> list[bytes]:
         split = [t.split() for t in texts]
-        young, old, new = self.young, self.old, []
-        for w in set().union(*split):
-            if w not in young:
-                ids = old.get(w)
-                if ids is None:
-                    new.append(w)
-                else:
-                    young[w] = ids
-        young.update(self.pieces(new))
-        last = np.array([end], "<u2").tobytes()
+        young, old = self.young, self.old
+        new = set().union(*split).difference(young)
+        for w in new.intersection(old):
+            young[w] = old[w]
+        young.update(self.pieces(new.difference(old)))
         found = [b"".join(map(young.__getitem__, words)) + last for words in split]
         if len(young) > CACHED_WORDS:
             self.young, self.old = {}, young

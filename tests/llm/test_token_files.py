@@ -52,7 +52,7 @@ def test_wavelet_matrix(n, kind):
 def test_identifiers_are_those_of_the_library():
     own, library, draw = WordIds(WORD), Tokenizer.from_file(WORD), random.Random(4)
     parts = ["a", "B", "s", "'s", "'T", "'re", "don", "'", "12", "é", "É", "ß", "×", "ÿ", "-", "--", "<|endoftext|>", "<|", "日", "Σ", "ﬁ",
-             "́", "Ł", "ª", "²", " ", "  ", "\n", "\x85", "\xa0", "\x1c", "e" * 40, "ing", "tion", "the"]
+             "́", "Ł", "ª", "²", " ", "  ", "\n", "\x85", "\xa0", "\x1c", "e" * 40, "xy" * 90, "ing", "tion", "the"]
     texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 12))) for _ in range(3000)]
     found = own.encode([t.encode() for t in texts], 2)
     for text, ids in zip(texts, found, strict=True):
