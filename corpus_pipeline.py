@@ -23,8 +23,8 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: five-word shingles, similarity 0.8 or more."""
-    return simhash.deduplicated(docs, words=5, similarity=0.8)
+    """One document of each group of near-duplicates: three-word shingles, fingerprints within two bits."""
+    return simhash.deduplicated(docs, words=3, budget=2)
 
 
 def distinct_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
