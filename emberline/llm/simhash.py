@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-import random
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +17,6 @@ BUNDLE_ROWS = 4096
 CROWDED_ROWS = 32768
 BROADCAST_ROWS = 100_000
 FRONTIER = 1 << 20
-SMALL_SET, SMALL_SHARE = 8, 0.1875  # four shingles and the same with a fifth differ in more bits than larger sets do
 
 
 def shingle_hashes(text: bytes, words: int) -> np.ndarray:
@@ -65,34 +62,6 @@ def fingerprints(docs: DataFrame, words: int = 5, lanes: int = 1, id_col: str =
     return rows.mapInArrow(run, "id long, fp binary")
 
 
-def set_prints(docs: DataFrame, words: int, lanes: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, fp, digest, size) of every row: SimHash, digest and number of its distinct shingles."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text"):
-            sets = [np.unique(shingle_hashes(t, words)) for t in batch.column("_text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array([majority(s, lanes) for s in sets], pa.binary()),
-                 pa.array([xxhash.xxh128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int32())],
-                ["id", "fp", "digest", "size"])
-
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), text_bytes(text_col).alias("_text"))
-    return rows.mapInArrow(run, "id long, fp binary, digest binary, size int")
-
-
-def shingle_sets(rows: DataFrame, words: int) -> DataFrame:
-    """(id, digest, shingles) of rows (id, _text): their distinct shingles as hashes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text", 1 << 20):
-            sets = [np.unique(shingle_hashes(t, words)) for t in batch.column("_text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array([xxhash.xxh128_digest(s.tobytes()) for s in sets], pa.binary()),
-                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["id", "digest", "shingles"])
-
-    return rows.mapInArrow(run, "id long, digest binary, shingles array<long>")
-
-
 def exact_plan(bits: int, budget: int) -> tuple[list[list[int]], int]:
     """Bit orders and a prefix so that two fingerprints within ``budget`` agree on the prefix of some order."""
     cuts = [round(i * bits / (budget + 1)) for i in range(budget + 2)]
@@ -100,24 +69,6 @@ def exact_plan(bits: int, budget: int) -> tuple[list[list[int]], int]:
     return orders, min(b - a for a, b in zip(cuts, cuts[1:], strict=False))
 
 
-def differing_share(similarity: float) -> float:
-    """The share of SimHash bits in which two shingle sets of this Jaccard similarity are expected to differ."""
-    return math.acos(2 * similarity / (1 + similarity)) / math.pi
-
-
-def recall_plan(bits: int, similarity: float, rows: int, recall: float) -> tuple[list[list[int]], int]:
-    """Shuffled bit orders and a prefix for a budget too large for segments.
-
-    The prefix grows with the logarithm of ``rows``, so that groups stay small; there are as many orders as
-    let two texts of exactly ``similarity`` agree on the prefix of some order with probability ``recall``.
-    """
-    prefix = min(bits // 2, max(12, math.ceil(math.log2(max(rows, 2))) - 6))
-    agree = (1 - differing_share(similarity)) ** prefix
-    number = math.ceil(math.log(1 - recall) / math.log(1 - agree))
-    draw = random.Random(number * 1000 + bits)
-    return [draw.sample(range(bits), bits) for _ in range(number)], prefix
-
-
 def products(alo: np.ndarray, ahi: np.ndarray, blo: np.ndarray, bhi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All index pairs of two ranges, for each row; of a range with itself every pair once."""
     each = (ahi - alo) * (bhi - blo)
@@ -128,11 +79,9 @@ def products(alo: np.ndarray, ahi: np.ndarray, blo: np.ndarray, bhi: np.ndarray)
     return x[keep], y[keep]
 
 
-def trie_pairs(keys: np.ndarray, prefix: int, budget: int, wanted=None) -> tuple[np.ndarray, np.ndarray]:
+def trie_pairs(keys: np.ndarray, prefix: int, budget: int) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of fingerprints that share ``prefix`` bits and differ in at most ``budget`` bits.
 
-    ``wanted(a, b, distance)`` may leave pairs out.
-
     ``keys`` are packed bits, one fingerprint to a row, in sorted order, so a node of the trie is a range of
     rows. Pairs of nodes descend together, one bit at a time, and count the bits in which they differ;
     a pair beyond the budget is dropped. Pairs of single fingerprints are settled by their remaining bits.
@@ -153,13 +102,8 @@ def trie_pairs(keys: np.ndarray, prefix: int, budget: int, wanted=None) -> tuple
     def settle(a, b):
         for i in range(0, len(a), FRONTIER):
             x, y = a[i:i + FRONTIER], b[i:i + FRONTIER]
-            far = np.bitwise_count(keys[x] ^ keys[y]).sum(1, np.int64)
-            near = far <= budget
-            x, y = x[near], y[near]
-            if wanted is not None:
-                some = wanted(x, y, far[near])
-                x, y = x[some], y[some]
-            found.append((x.astype(np.int32), y.astype(np.int32)))
+            near = np.bitwise_count(keys[x] ^ keys[y]).sum(1, np.int64) <= budget
+            found.append((x[near].astype(np.int32), y[near].astype(np.int32)))
 
     stack = [(prefix, lo, hi, lo, hi, np.zeros(len(lo), np.int64))]
     while stack:
@@ -216,25 +160,8 @@ def spanning(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray,
     return ids[order[far]], ids[order[parent[far]]]
 
 
-def forest(nodes: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Which of the links (a, b), nearest first, are in the minimum spanning forest."""
-    parent, chosen, live = np.arange(nodes), np.zeros(len(a), bool), np.arange(len(a))
-    while True:
-        x, y = parent[a[live]], parent[b[live]]
-        apart = x != y
-        live, x, y = live[apart], x[apart], y[apart]
-        if not len(live):
-            return chosen
-        best, other = np.full(nodes, len(a)), np.full(nodes, len(a))
-        best[x[::-1]], other[y[::-1]] = live[::-1], live[::-1]  # the last write is the nearest link
-        best = np.minimum(best, other)
-        took = np.unique(best[best < len(a)])
-        chosen[took] = True
-        parent = merged(parent, a[took], b[took])
-
-
-def meetings(prints: DataFrame, bits: int, orders: list[list[int]], prefix: int, rows: int, more: tuple[str, ...] = ()):
-    """Fingerprints (id, fp), with the columns ``more``, grouped so that those that agree on a prefix meet.
+def meetings(prints: DataFrame, bits: int, orders: list[list[int]], prefix: int, rows: int):
+    """Fingerprints (id, fp) grouped so that those that agree on a prefix meet.
 
     For each bit order the fingerprints are dealt by a hash of their prefix to bundles of about
     ``BUNDLE_ROWS``; a bundle is a forest of sub-tries, joined with itself in one task. A bundle of more than
@@ -249,7 +176,7 @@ def meetings(prints: DataFrame, bits: int, orders: list[list[int]], prefix: int,
             for start in range(0, batch.num_rows, 2000):
                 part = batch.slice(start, 2000)
                 fps = np.frombuffer(b"".join(part.column("fp").to_pylist()), np.uint8).reshape(-1, bits // 8)
-                kept, loose = [part.column(c) for c in ("id", *more)], np.unpackbits(fps, axis=1)
+                loose = np.unpackbits(fps, axis=1)
                 for t, order in enumerate(table):
                     keys = np.packbits(loose[:, order], axis=1)
                     head = np.zeros((len(keys), 8), np.uint8)
@@ -258,12 +185,10 @@ def meetings(prints: DataFrame, bits: int, orders: list[list[int]], prefix: int,
                     bundle = (mixed >> np.uint64(33)) % np.uint64(bundles)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(keys), t, np.int32)), pa.array(bundle.astype(np.int32)),
-                         pa.array([k.tobytes() for k in keys], pa.binary()), *kept],
-                        ["order", "bundle", "key", "id", *more])
+                         pa.array([k.tobytes() for k in keys], pa.binary()), part.column("id")],
+                        ["order", "bundle", "key", "id"])
 
-    known = prints.where("id IS NOT NULL").select("id", "fp", *more)
-    kinds = ", ".join(f"{c} {known.schema[c].dataType.simpleString()}" for c in ("id", *more))
-    dealt = known.mapInArrow(deal, f"order int, bundle int, key binary, {kinds}")
+    dealt = prints.where("id IS NOT NULL").select("id", "fp").mapInArrow(deal, "order int, bundle int, key binary, id long")
     crowded = (dealt.groupBy("order", "bundle").count().where(F.col("count") > CROWDED_ROWS)
                .select("order", "bundle", F.ceil(F.col("count") / CROWDED_ROWS).cast("int").alias("chunks"))).checkpoint()
     if crowded.count() <= BROADCAST_ROWS:
@@ -294,109 +219,17 @@ def links(prints: DataFrame, bits: int, budget: int, orders: list[list[int]], pr
     return meetings(prints, bits, orders, prefix, rows).applyInArrow(join, "a long, b long").distinct()
 
 
-def candidates(classes: DataFrame, bits: int, similarity: float, orders: list[list[int]], prefix: int, rows: int, spare: int) -> DataFrame:
-    """(a, b) to be verified, and (id, null) of each class of which a pair was left for a later round.
-
-    Of the pairs of a group whose ``root`` differs, those of the minimum spanning forest of the roots are
-    named, and ``spare`` more for each root, nearest first. Pairs are left out for good only where the fingerprints are
-    more than three standard deviations beyond the expected distance, or the sizes of the sets rule the similarity out.
-    """
-    share = differing_share(similarity)
-    budget, wide = (round(bits * s + 3 * math.sqrt(bits * s * (1 - s))) for s in (share, max(share, SMALL_SHARE)))
-
-    def join(group: pa.Table) -> pa.Table:
-        keys, ids, sizes, roots = in_order(group, bits, "id", "size", "root")
-        names, label = np.unique(roots, return_inverse=True)
-
-        def wanted(x, y, far):
-            least, most = np.minimum(sizes[x], sizes[y]), np.maximum(sizes[x], sizes[y])
-            return (label[x] != label[y]) & (least >= similarity * most - 1e-6) & ((far <= budget) | (most <= SMALL_SET))
-
-        a, b = trie_pairs(keys, prefix, wide, wanted)
-        far = np.concatenate([np.zeros(0, np.uint16), *(
-            np.bitwise_count(keys[a[i:i + FRONTIER]] ^ keys[b[i:i + FRONTIER]]).sum(1, np.uint16) for i in range(0, len(a), FRONTIER))])
-        mixed = (ids[a] ^ ids[b]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(57)
-        by = np.argsort(far << np.uint16(7) | mixed.astype(np.uint16), kind="stable")  # ties alike in every order
-        a, b = a[by], b[by]
-        chosen = forest(len(names), label[a], label[b])
-        chosen[:spare * len(np.unique(label[np.concatenate([a, b])]))] = True
-        left = np.unique(ids[np.concatenate([a[~chosen], b[~chosen]])])
-        a, b = ids[a[chosen]], ids[b[chosen]]
-        return pa.table({"a": pa.array(np.concatenate([np.minimum(a, b), left]), pa.int64()),
-                         "b": pa.concat_arrays([pa.array(np.maximum(a, b), pa.int64()), pa.nulls(len(left), pa.int64())])})
-
-    return meetings(classes, bits, orders, prefix, rows, ("size", "root")).applyInArrow(join, "a long, b long").distinct()
-
-
-def similar_components(docs: DataFrame, classes: DataFrame, words: int, similarity: float, recall: float, bits: int) -> DataFrame:
-    """(id, root) of the classes (id, fp, digest, size) linked by pairs of at least ``similarity``; roots are left out.
-
-    A pair is linked only after its sets of shingles, taken from docs (id, _text), were compared. A group of
-    many similar texts has pairs by the square of its size, so the nearest are compared first and those that
-    are then in one component are not compared any more; rounds go on until no pair is left.
-    """
-    spark, schema = docs.sparkSession, "a long, b long"
-    orders, prefix = recall_plan(bits, similarity, rows := classes.count(), recall)
-    waiting, spare, tested, linked = classes.withColumn("root", F.col("id")), 0, None, None
-    while True:
-        candidates(waiting, bits, similarity, orders, prefix, rows, spare).write.parquet(path := shared_path(spark, "candidates"))
-        found = spark.read.schema(schema).parquet(path)
-        pairs = found.where("b IS NOT NULL AND a <> b")
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        tested = found.where("b IS NOT NULL") if tested is None else tested.unionByName(found.where("b IS NOT NULL"))
-        needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().checkpoint()
-        if needed.count() <= BROADCAST_ROWS:
-            needed = F.broadcast(needed)
-        sets = shingle_sets(docs.join(needed, "id", "left_semi"), words).join(classes.select("id", "digest"), ["id", "digest"], "left_semi")
-        sets.dropDuplicates(["id", "digest"]).write.parquet(path := shared_path(spark, "shingles"))
-        sets = spark.read.schema("id long, digest binary, shingles array<long>").parquet(path)
-        one, two = (sets.select(F.col("id").alias(c), F.col("shingles").alias(f"of_{c}")) for c in "ab")
-        common = F.size(F.array_intersect("of_a", "of_b"))
-        alike = common / (F.size("of_a") + F.size("of_b") - common) >= similarity
-        pairs.join(one, "a").join(two, "b").where(alike).select("a", "b").write.parquet(path := shared_path(spark, "similar"))
-        passed = spark.read.schema(schema).parquet(path)
-        linked = passed if linked is None else linked.unionByName(passed)
-        roots = connected_components(linked)
-        left = found.where("b IS NULL").select(F.col("a").alias("id"))
-        waiting = (classes.join(left, "id", "left_semi").join(roots, "id", "left")
-                   .withColumn("root", F.coalesce("root", "id")).checkpoint())
-        if not (rows := waiting.count()):
-            return roots
-        spare = max(4, 4 * spare)
-
-
-def similar_documents(docs: DataFrame, words: int, similarity: float, recall: float, id_col: str, text_col: str) -> DataFrame:
-    """(id, fp, component_id) by exact similarity; rows with the same set of shingles are compared with others only once."""
-    spark = docs.sparkSession
-    set_prints(docs, words, 4, id_col, text_col).write.parquet(path := shared_path(spark, "simhash"))
-    prints = spark.read.schema("id long, fp binary, digest binary, size int").parquet(path)
-    classes = prints.groupBy("fp", "digest").agg(F.min("id").alias("id"), F.max("size").alias("size")).checkpoint()
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), text_bytes(text_col).alias("_text"))
-    roots = similar_components(texts, classes, words, similarity, recall, 256)
-    named = classes.join(roots, "id", "left").select("fp", "digest", F.coalesce("root", "id").alias("component_id"))
-    return prints.join(named, ["fp", "digest"]).select(
-        F.col("id").alias(id_col), "fp", F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
-
-
-def near_duplicates(
-    docs: DataFrame, words: int = 5, similarity: float | None = 0.8, budget: int | None = None, recall: float = 0.999,
-    id_col: str = "doc_id", text_col: str = "text",
-) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 3, budget: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp, component_id) of every row; the component is the smallest id linked directly or through others.
 
-    With ``budget`` fingerprints have 64 bits and all pairs within that many differing bits are linked; equal
-    fingerprints are joined only once. With ``similarity`` they have 256 bits, of the distinct shingles, and only
-    name candidates: a pair is linked if the Jaccard similarity of its shingles, as sets, is that or more. A pair at
-    the threshold that differs in the expected number of bits meets with probability ``recall``, more similar ones nearly always.
+    Fingerprints have 64 bits, of shingles of ``words`` words, and all pairs within ``budget`` differing bits are linked;
+    equal fingerprints are joined only once. Whether two texts are linked depends on the two alone.
 
     Null, empty and blank texts have a zero fingerprint and are linked with each other. Rows with a null id
     get a null component and link nothing; repeated rows share a component; empty tables give no rows; extra
-    columns are ignored.
+    columns are ignored. Texts of any length are read whole; one text at a time is held as shingles.
     """
     spark = docs.sparkSession
-    if budget is None:
-        return similar_documents(docs, words, similarity, recall, id_col, text_col)
     fingerprints(docs, words, 1, id_col, text_col).write.parquet(path := shared_path(spark, "simhash"))
     prints = spark.read.schema("id long, fp binary").parquet(path)
     classes = prints.groupBy("fp").agg(F.min("id").alias("id")).checkpoint()
@@ -408,8 +241,8 @@ def near_duplicates(
         F.col("id").alias(id_col), "fp", F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-def deduplicated(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", **how) -> DataFrame:
-    """The documents without those of a component other than its smallest id. Rows with a null id stay."""
-    found = near_duplicates(docs, words, similarity, id_col=id_col, **how)
+def deduplicated(docs: DataFrame, words: int = 3, budget: int = 2, id_col: str = "doc_id", **how) -> DataFrame:
+    """The documents without those of a component other than its smallest id. Rows with a null id, and rows that repeat an id, stay."""
+    found = near_duplicates(docs, words, budget, id_col=id_col, **how)
     gone = found.where(F.col("component_id") < F.col(id_col)).select(id_col).distinct()
     return docs.join(gone, id_col, "left_anti").select(docs.columns)

@@ -218,55 +218,26 @@ def test_trie_join_is_complete(frontier, monkeypatch):
     assert got == {(a, b) for a, b in zip(*np.nonzero(near), strict=True) if a < b}
 
 
-def test_near_duplicates_by_similarity(spark):
+def test_one_of_each_group_is_kept(spark):
+    """Groups of copies that differ in a word or two of many, chains included, and one of several hundred copies."""
     draw = random.Random(9)
-    rows = []
-    for g in range(20):
-        words = [draw.choice(WORDS) + draw.choice("abcde") + draw.choice("fghij") for _ in range(200)]
-        rows.append((100 * g, " ".join(words)))
-        for c in range(1, 4):
-            own = list(words)
-            own[50 * c] = "changed"
-            rows.append((100 * g + c, " ".join(own)))
-    kept = simhash.deduplicated(documents(spark, rows))
-    assert [r["doc_id"] for r in kept.orderBy("doc_id").collect()] == [100 * g for g in range(20)]
-
-
-def shingle_set(text, n=5):
-    words = text.lower().split()
-    return {tuple(words[i:i + n]) for i in range(max(1, len(words) - n + 1))}
-
-
-def test_near_duplicates_are_those_of_exact_similarity(spark):
-    draw = random.Random(5)
     word = lambda: draw.choice(WORDS) + draw.choice("abcde") + draw.choice("fghij")
     rows = []
-    for g in range(40):  # from 0.6 to 0.95, alone and in a chain
-        words = [word() for _ in range(draw.choice([8, 30, 150, 300]))]
-        rows.append((100 * g, " ".join(words)))
-        for c in range(1, 4):
+    for g in range(20):
+        words = [word() for _ in range(draw.choice([40, 400, 1500]))]
+        rows.append((1000 * g, " ".join(words)))
+        for c in range(1, 400 if g == 7 else 8):
             own = list(words)
-            for at in draw.sample(range(len(own)), max(1, round(len(own) * draw.uniform(0.005, 0.03)))):
-                own[at] = word()
-            rows.append((100 * g + c, " ".join(own)))
+            own[draw.randrange(len(own))] = word()
+            rows.append((1000 * g + c, " ".join(own)))
             words = own if g % 2 else words
-    words = [word() for _ in range(200)]
-    for c in range(60):  # many that are all near the limit
-        own = list(words)
-        for at in draw.sample(range(200), 2 + c % 2):
-            own[at] = word()
-        rows.append((10_000 + c, " ".join(own)))
-    for c in range(3):  # one shingle outweighs the rest of the text
-        rows.append((20_000 + c, "again " * 300 + " ".join(word() for _ in range(100))))
-    rows += [(30_000, "one two three four five six seven eight"), (30_001, "one two three four five six seven eight nine"),
-             (30_002, "one two three four five six seven eight ten")]
-    sets = {i: shingle_set(t) for i, t in rows}
-    near = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
-    between = sum(0.6 <= len(sets[a] & sets[b]) / len(sets[a] | sets[b]) < 0.8 for a in sets for b in sets if a < b)
-    assert len(near) > 50 and between > 50
-    root = components(list(sets), near)
-    got = simhash.near_duplicates(documents(spark, rows)).select("doc_id", "component_id").collect()
-    assert {r["doc_id"]: r["component_id"] for r in got} == root
+    rows += [(50_000, None), (50_001, ""), (None, ""), (None, rows[0][1])]
+    prints = [(i, reference_print((t or "").encode(), 3)) for i, t in rows if i is not None]
+    smallest = components([i for i, _ in prints], [(a, b) for a, x in prints for b, y in prints if (x ^ y).bit_count() <= 2])
+    kept = simhash.deduplicated(documents(spark, rows)).select("doc_id").collect()
+    assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == sorted(i for i, root in smallest.items() if i == root)
+    assert sum(r["doc_id"] is None for r in kept) == 2
+    assert len(set(smallest.values())) < len(smallest) - 100
 
 
 # ---- repeated strings
@@ -376,7 +347,7 @@ def test_empty_tables(spark):
     one = documents(spark, [(1, "some words here")])
     for df in (
         token_counts.token_counts(none, BYTES), packing.pack_documents(none, WORD), contamination.report(none, items),
-        simhash.near_duplicates(none, 3, budget=2), simhash.near_duplicates(none), repeats.report(none),
+        simhash.near_duplicates(none), simhash.deduplicated(none), repeats.report(none),
         language_model.score(none, F.lit(False)),
     ):
         assert df.collect() == []
