@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from emberline.catalog.aggregates import totals_sql
 from emberline.catalog.registry import classified, query, run_totals
+from emberline.session import scratch_path
 from emberline.sources import fixtures as fx
 from emberline.sources.files import table
-from emberline.streaming import hourly, runs
+from emberline.streaming import hourly, keyed, runs
 
 
 WHOLE = "40 days"  # the files of the feed may be in any order
@@ -81,6 +82,21 @@ def stream_runs_by_batch(spark, sf):
                       (F.col("gap_us") / 1e6).alias("tdiff"), "run_id")
 
 
+@query("stream_runs_keyed", f"""
+WITH {classified('hi')} SELECT key, tie AS event_id, main_status, system_status, gap_us / 1e6 AS tdiff, run_id FROM cls""")
+def stream_runs_keyed(spark, sf):
+    feed = hourly.feed(spark, sf, "events.parquet").select(
+        F.col("user_id").alias("key"), "ts", F.col("event_id").alias("tie"),
+        F.col("value").cast("decimal(10,2)").alias("watts"), F.lit(None).cast("string").alias("status"),
+        F.when(F.col("event_type") == "signup", "ON").when(F.col("event_type") == "error", "OFF").alias("mark"))
+    entry = F.struct("key", "ts", "tie", F.lit(None).cast("decimal(10,2)").alias("watts"), F.col("mark").alias("status"))
+    both = F.filter(F.array(F.struct("key", "ts", "tie", "watts", "status"), entry), lambda r: r.watts.isNotNull() | r.status.isNotNull())
+    rows = feed.select(F.explode(both).alias("r")).select("r.*")  # an event is a reading, and some are log entries, too
+    out = keyed.stream_runs(rows, fx.thresholds(spark), "hi", fx.E_START, fx.E_END, scratch_path(spark, "run-rows"),
+                            scratch_path(spark, "run-state"), delay=WHOLE)
+    return out.select("key", F.col("tie").alias("event_id"), "main_status", "system_status", (F.col("gap_us") / 1e6).alias("tdiff"), "run_id")
+
+
 @query("stream_hour_summary", f"WITH {run_totals('hi', period='hour')} {totals_sql('key, period_start, ')}")
 def stream_hour_summary(spark, sf):
     feed = hourly.feed(spark, sf, "events.parquet").select(

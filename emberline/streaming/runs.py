@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberline.functions.calendar import ntz
@@ -47,11 +47,17 @@ def buffered(
     def write(df: DataFrame, name: str, number: int) -> None:
         df.write.mode("overwrite").parquet(f"{sink}/{name}/after={number}")
 
+    def finished(mark) -> Column:
+        """What the watermark has passed. With ``step`` that is what its last whole step holds: a row of an open hour is not late."""
+        if step:
+            return F.col("ts") < F.date_trunc(step, ntz(str(mark))).cast("timestamp_ntz")
+        return F.col("ts") <= ntz(str(mark))
+
     def advance(batch: DataFrame, number: int, last: bool = False) -> None:
         clock = read("clock", CLOCK, number - 1).first()
         mark, late = (clock["mark"], clock["late"]) if clock else (None, 0)
         batch = batch.select("key", "ts", "tie", "watts", "status").persist()
-        passed = F.lit(False) if mark is None else F.coalesce(F.col("ts") <= ntz(str(mark)), F.lit(True))
+        passed = F.lit(False) if mark is None else F.coalesce(finished(mark), F.lit(True))
         counts = batch.agg(F.count_if(passed).alias("late"), (F.max("ts") - F.expr(f"INTERVAL {delay}")).alias("mark")).first()
         if counts["late"]:
             batch.where(passed).write.mode("overwrite").parquet(f"{sink}/late/batch={number}")
@@ -59,8 +65,7 @@ def buffered(
         waiting = read("waiting", FEED, number - 1).unionByName(batch.where(~passed))
         done = F.lit(True) if last else F.lit(False)
         if mark is not None and not last:
-            upto = F.date_trunc(step, ntz(str(mark))).cast("timestamp_ntz") if step else ntz(str(mark))
-            done = (F.col("ts") < upto) if step else (F.col("ts") <= upto)
+            done = finished(mark)
         ready = waiting.where(done).persist()
         state = emit(ready, read("state", state_schema, number - 1), f"{sink}/rows/batch={number}")
         if not last:

@@ -92,6 +92,23 @@ def test_late_rows_are_counted_and_kept(spark):
     assert runs.late_rows(spark, sink, 1) == n == spark.read.parquet(f"{sink}/late").count()
 
 
+def test_rows_of_an_open_hour_are_not_late(spark):
+    """The watermark may stand inside an hour; what comes for that hour still counts, however the feed is cut."""
+    first, second = [(1, "10:00:30", 80), (1, "10:10:00", 80), (1, "10:50:00", 80)], [(1, "10:15:00", 90), (1, "10:20:00", 90), (1, "12:30:00", 5)]
+    mark = frames.log(spark, [(1, "09:00:00", "ON")]).withColumn("watts", F.lit(None).cast("decimal(10,2)"))
+    part = lambda rows: frames.readings(spark, rows).withColumn("status", F.lit(None).cast("string"))
+    totals = []
+    for parts in ([part(first + second).unionByName(mark)], [part(first).unionByName(mark), part(second)]):
+        sink = scratch_path(spark, "sink")
+        got = runs.stream_hour_summaries(_stream(spark, _folder(spark, parts)), frames.thresholds(spark), "hi", *SPAN, None, "10 minutes", sink)
+        totals.append(sorted(map(str, got.collect())))
+        assert runs.late_rows(spark, sink, len(parts) - 1) == 0
+    assert totals[0] == totals[1]
+    r = frames.readings(spark, first + second)
+    want = batch.summary(r, mark.drop("watts"), frames.thresholds(spark), ["key"], "hi", *SPAN, period="hour", seconds=None)
+    assert totals[0] == sorted(map(str, want.collect()))
+
+
 def test_a_stopped_stream_goes_on(spark):
     r, lg, feed = _long_feed(spark)
     want = batch.summary(r, lg, frames.thresholds(spark), ["key"], "hi", *SPAN, period="hour", seconds=None)
