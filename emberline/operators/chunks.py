@@ -24,6 +24,9 @@ MAX_ROWS_PER_TASK = 2_000_000
 CHUNK_CHOICES = (86400, 21600, 3600, 600, 60, 10, 1)
 PERIOD_SECONDS = {"hour": 3600, "day": 86400, "month": 86400, "year": 86400, None: 86400}
 CHUNK = "_chunk"
+SMALL_ROW = 8  # bytes; less than a row of readings takes in files
+SHORT_CHUNK = 3600  # a window over longer chunks holds at most 8,784 rows for each year of a key
+STRETCH = 3600  # so many shorter chunks are summed up before the window over a key
 BEFORE_ALL = -(1 << 62)  # the chunk of rows without a time
 
 
@@ -33,16 +36,21 @@ def chunk_of(ts: Column, seconds: int) -> Column:
     return F.coalesce(at - F.pmod(at, F.lit(seconds * US)), F.lit(BEFORE_ALL))
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The size of the optimized plan's result, as its statistics have it."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def choose_chunk(
     df: DataFrame, keys: Sequence[str], ts: str, period: str | None = None,
     max_rows: int = MAX_ROWS_PER_TASK,
 ) -> int | None:
     """Chunk length in seconds, or None where every key fits one task whole.
 
-    A table that fits one task altogether needs no closer look. Otherwise rows are counted per
-    (key, hour) with map-side combine and one row reaches the driver.
+    A table that by the optimizer's estimate is small needs no closer look, and no job runs. Otherwise rows are
+    counted per (key, hour) with map-side combine and one row reaches the driver.
     """
-    if df.count() <= max_rows:
+    if estimated_bytes(df) <= SMALL_ROW * max_rows:
         return None
     hourly = df.groupBy(*keys, chunk_of(F.col(ts), 3600).alias("h")).agg(F.count("*").alias("n"))
     daily = hourly.groupBy(*keys, (F.col("h") - F.pmod("h", F.lit(86400 * US))).alias("d")).agg(
@@ -91,11 +99,46 @@ def before_here(w):
     return w.rowsBetween(Window.unboundedPreceding, -1)
 
 
+def after_here(w):
+    return w.rowsBetween(1, Window.unboundedFollowing)
+
+
 def along_chunks(keys: Sequence[str]):
     """Over a summary with one row per (key, chunk)."""
     return Window.partitionBy(*keys).orderBy(CHUNK)
 
 
+def over_chunks(parts: DataFrame, keys: Sequence[str], take: dict[str, tuple[str, str]], seconds: int) -> DataFrame:
+    """Adds to a summary with one row per (key, chunk) what comes from the key's other chunks.
+
+    ``take`` is ``name: (kind, column)``: the "last" known value before the chunk, the "next" known one after it, or the
+    "sum" over all before. Short chunks go by two levels, inside a stretch of chunks and over stretches, so no
+    task orders all chunks of a key, nor those of a series without keys.
+    """
+    pick = {
+        "last": lambda c, w: F.last(c, ignorenulls=True).over(before_here(w)),
+        "next": lambda c, w: F.first(c, ignorenulls=True).over(after_here(w)),
+        "sum": lambda c, w: F.sum(c).over(before_here(w)),
+    }
+    if seconds >= SHORT_CHUNK:
+        return parts.withColumns({name: pick[kind](c, along_chunks(keys)) for name, (kind, c) in take.items()})
+    stretch = F.when(F.col(CHUNK) == BEFORE_ALL, F.col(CHUNK)).otherwise(F.col(CHUNK) - F.pmod(F.col(CHUNK), F.lit(STRETCH * seconds * US)))
+    parts = parts.withColumn("_stretch", stretch)
+    whole = {
+        "last": lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col(CHUNK))),
+        "next": lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col(CHUNK))),
+        "sum": F.sum,
+    }
+    along = Window.partitionBy(*keys).orderBy("_stretch")
+    ends = parts.groupBy(*keys, "_stretch").agg(*(whole[kind](c).alias(name) for name, (kind, c) in take.items()))
+    far = ends.select(*keys, "_stretch", *(pick[kind](name, along).alias(f"_far_{name}") for name, (kind, _) in take.items()))
+    near = Window.partitionBy(*keys, "_stretch").orderBy(CHUNK)
+    out = parts.withColumns({name: pick[kind](c, near) for name, (kind, c) in take.items()}).join(far, [*keys, "_stretch"], "left")
+    joined = {name: F.coalesce(F.col(name) + F.col(f"_far_{name}"), name, f"_far_{name}") if kind == "sum" else F.coalesce(name, f"_far_{name}")
+              for name, (kind, _) in take.items()}
+    return out.withColumns(joined).drop("_stretch", *(f"_far_{name}" for name in take))
+
+
 def inside(keys: Sequence[str], seconds: int | None) -> list[str]:
     return [*keys] if seconds is None else [*keys, CHUNK]
 
@@ -121,9 +164,8 @@ def fill_forward(
         return rows.withColumns(filled)
     # a chunk's last row has what the chunk hands on
     rows = rows.withColumns({**filled, "_end": F.lead(F.lit(1)).over(ordered(inside(keys, seconds), order)).isNull()})
-    earlier = before_here(along_chunks(keys))
-    carry = rows.where("_end").select(
-        *keys, CHUNK, *[F.last(c, ignorenulls=True).over(earlier).alias(f"_in_{c}") for c in cols])
+    ends = rows.where("_end").select(*keys, CHUNK, *cols)
+    carry = over_chunks(ends, keys, {f"_in_{c}": ("last", c) for c in cols}, seconds).drop(*cols)
     out = attach(rows.drop("_end"), carry, keys)
     out = out.withColumns({c: F.coalesce(c, f"_in_{c}") for c in cols})
     return _done(out.drop(*[f"_in_{c}" for c in cols]), df)
@@ -140,8 +182,7 @@ def running_sum(
     if seconds is None:
         return rows.withColumn(name, of_series(keys, total)).drop("_x")
     part = rows.groupBy(*keys, CHUNK).agg(F.sum("_x").alias("_p"))
-    offset = part.select(
-        *keys, CHUNK, F.sum("_p").over(before_here(along_chunks(keys))).alias("_off"))
+    offset = over_chunks(part, keys, {"_off": ("sum", "_p")}, seconds).drop("_p")
     out = attach(rows.withColumn("_s", total), offset, keys)
     both = F.coalesce(F.col("_s") + F.col("_off"), F.col("_s"), F.col("_off"))
     return _done(out.withColumn(name, of_series(keys, both)).drop("_x", "_s", "_off"), df)
@@ -152,7 +193,7 @@ def previous(
     seconds: int | None = None,
 ) -> DataFrame:
     """For each ``source: name`` adds the value of the row before, across chunk borders."""
-    return _neighbour(df, keys, order, cols, seconds, F.lag, F.lead)
+    return _neighbour(df, keys, order, cols, seconds, F.lag, F.lead, "last")
 
 
 def following(
@@ -160,10 +201,10 @@ def following(
     seconds: int | None = None,
 ) -> DataFrame:
     """For each ``source: name`` adds the value of the row after, across chunk borders."""
-    return _neighbour(df, keys, order, cols, seconds, F.lead, F.lag)
+    return _neighbour(df, keys, order, cols, seconds, F.lead, F.lag, "next")
 
 
-def _neighbour(df, keys, order, cols, seconds, step, back):
+def _neighbour(df, keys, order, cols, seconds, step, back, kind):
     rows = with_chunk(df, order[0], seconds)
     w = ordered(inside(keys, seconds), order)
     near = {name: of_series(keys, step(c).over(w)) for c, name in cols.items()}
@@ -173,8 +214,8 @@ def _neighbour(df, keys, order, cols, seconds, step, back):
     rows = rows.withColumns({
         **near, "_alone": step(one).over(w).isNull(), "_edge": back(one).over(w).isNull()})
     # the outermost row of a chunk is the neighbour of the next chunk's outermost row
-    edge = rows.where("_edge").select(*keys, CHUNK, F.struct(*cols).alias("_far"))
-    carry = edge.withColumn("_far", step("_far").over(along_chunks(keys)))
+    edge = rows.where("_edge").select(*keys, CHUNK, F.struct(*cols).alias("_own"))
+    carry = over_chunks(edge, keys, {"_far": (kind, "_own")}, seconds).drop("_own")
     out = attach(rows, carry, keys).withColumns({
         name: F.when(F.col("_alone"), F.col(f"_far.{c}")).otherwise(F.col(name))
         for c, name in cols.items()})

@@ -58,15 +58,12 @@ def _mark_runs_chunked(rows, keys, state, running, seconds, order):
     start = F.when(runs_on & (F.col("_ps") != running), 1).otherwise(0)
     rows = rows.withColumn("_n", F.sum(start).over(so_far))
     # a chunk's last row knows how the chunk begins, how it ends and how many runs start inside
-    wc = chunks.along_chunks(keys)
-    edge = rows.where("_end").select(
-        *keys, c, "_first", F.col("_n").alias("_inside"),
-        F.lag(F.struct("ts", F.col(state).alias("s"))).over(wc).alias("_prev"))
+    edge = rows.where("_end").select(*keys, c, "_first", F.col("_n").alias("_inside"), F.struct("ts", F.col(state).alias("s")).alias("_own"))
+    edge = chunks.over_chunks(edge, keys, {"_prev": ("last", "_own")}, seconds)
     at_border = F.when((F.col("_first") == running) & (F.col("_prev.s") != running), 1).otherwise(0)
-    edge = edge.withColumn("_border", at_border)
-    carry = edge.select(
-        *keys, c, "_prev", "_border",
-        F.coalesce(F.sum(F.col("_inside") + F.col("_border")).over(chunks.before_here(wc)), F.lit(0)).alias("_off"))
+    edge = edge.withColumn("_border", at_border).withColumn("_new", F.col("_inside") + F.col("_border"))
+    carry = chunks.over_chunks(edge, keys, {"_off": ("sum", "_new")}, seconds).select(
+        *keys, c, "_prev", "_border", F.coalesce("_off", F.lit(0)).alias("_off"))
     out = chunks.attach(rows.drop("_first", "_end"), carry, keys).withColumns({
         "_pts": F.coalesce("_pts", "_prev.ts"),
         "_n": F.col("_n") + F.col("_off") + F.col("_border"),
