@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from emberline.catalog.registry import doy_season, event_hours, order_hours, query
 from emberline.functions.calendar import dow, meteorological_season, ntz
-from emberline.operators import chunks, quality, rollups, tables
+from emberline.operators import chunks, quality, rollups, snapshots, tables
 from emberline.plans import charts
 from emberline.session import scratch_path
 from emberline.sources import files, fixtures as fx, series
@@ -123,11 +123,12 @@ FROM hh WHERE sum_date < DATE '2024-01-25' OR sum_date >= DATE '{SPLIT}'""")
 def upsert_hourly(spark, sf):
     path = scratch_path(spark, "upsert")
     h = _hours(spark, sf).withColumn("runtime", F.col("runtime").cast("decimal(28,2)"))
-    tables.write_days(h.where(F.col("sum_date") < F.lit("2024-01-25").cast("date")), path)
+    snapshots.create(spark, path, h.schema)
+    snapshots.upsert_days(path, h.where(F.col("sum_date") < F.lit("2024-01-25").cast("date")), ["sum_date", "hour"])
     new = h.where(F.col("sum_date") >= F.lit(SPLIT).cast("date"))
     new = new.withColumn("runtime", (F.col("runtime") * 2).cast("decimal(28,2)"))
-    tables.upsert_days(path, new, ["sum_date", "hour"])
-    return _money(spark.read.parquet(path), "runtime")
+    snapshots.upsert_days(path, new, ["sum_date", "hour"])
+    return _money(snapshots.read(spark, path), "runtime")
 
 
 @query("insert_ignore", f"""

@@ -8,7 +8,6 @@ from emberline.catalog.aggregates import totals_sql
 from emberline.catalog.registry import classified, query, run_totals
 from emberline.session import scratch_path
 from emberline.sources import fixtures as fx
-from emberline.sources.files import table
 from emberline.streaming import hourly, keyed, runs
 
 
@@ -42,7 +41,7 @@ def stream_upsert(spark, sf):
 
 @query("stream_live_hour", f"WITH {_HOURS} SELECT sum_date, hour, runtime, n, he <= m AS closed FROM h, wm")
 def stream_live_hour(spark, sf):
-    live = hourly.live_hours(_windows(spark, sf), table(spark, sf, "events"), "ts")
+    live = hourly.live_hours(_windows(spark, sf))
     return _plain(live).select("sum_date", "hour", "runtime", "n", "closed")
 
 

@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from emberline.functions.calendar import micros_between
-from emberline.operators.tables import create_days, upsert_days
+from emberline.functions.calendar import micros_between, ntz
+from emberline.operators import snapshots
 from emberline.session import scratch_path
 from emberline.sources.files import SCHEMAS
 
@@ -36,14 +37,22 @@ def named_hours(windows: DataFrame) -> DataFrame:
         F.to_date(start).alias("sum_date"), F.hour(start).alias("hour"), "runtime", "n")
 
 
-def run_to_end(writer, spark: SparkSession, name: str, checkpoint: str | None = None, trigger: dict | None = None) -> None:
-    """Processes what is there and stops, unless another trigger is given.
+def run_to_end(writer, spark: SparkSession, name: str, checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """Processes what is there and stops, unless another trigger is given; returns the query that ran.
 
     A caller that names the checkpoint goes on where the last run of it stopped.
     """
     query = (writer.option("checkpointLocation", checkpoint or scratch_path(spark, f"{name}-state"))
              .trigger(**(trigger or {"availableNow": True})).start())
     query.awaitTermination()
+    return query
+
+
+def watermark_of(query: StreamingQuery) -> Column:
+    """The watermark of a query's last micro-batch, as its progress tells it; null if it had none."""
+    marks = [p["eventTime"]["watermark"] for p in query.recentProgress if "watermark" in p["eventTime"]]
+    mark = marks[-1].removesuffix("Z") if marks and not marks[-1].startswith("1970-01-01") else None
+    return F.lit(None).cast("timestamp_ntz") if mark is None else ntz(mark.replace("T", " "))
 
 
 def closed_hours(windows: DataFrame) -> DataFrame:
@@ -55,27 +64,31 @@ def closed_hours(windows: DataFrame) -> DataFrame:
     return spark.read.parquet(out)
 
 
-def upserted_hours(windows: DataFrame) -> DataFrame:
-    """Update mode: each batch's changed hours replace their rows, the open hour included."""
-    spark = windows.sparkSession
-    out = scratch_path(spark, "live-hours")
-    create_days(spark, out, named_hours(windows).schema)
+def upsert_stream(windows: DataFrame, out: str, checkpoint: str | None = None) -> StreamingQuery:
+    """Update mode: each batch's changed hours replace their rows in a snapshot table, the open hour included.
+
+    A batch that runs again after a failure puts the same rows in place; readers see whole batches only.
+    """
+    snapshots.create(windows.sparkSession, out, named_hours(windows).schema)
 
     def merge(batch: DataFrame, number: int) -> None:
-        fresh = named_hours(batch).persist()
-        upsert_days(out, fresh, ["sum_date", "hour"])
-        fresh.unpersist()
+        snapshots.upsert_days(out, named_hours(batch), ["sum_date", "hour"])
+        snapshots.forget(batch.sparkSession, out)
 
-    run_to_end(windows.writeStream.outputMode("update").foreachBatch(merge), spark, "live-hours")
-    return spark.read.parquet(out)
+    return run_to_end(windows.writeStream.outputMode("update").foreachBatch(merge), windows.sparkSession, "live-hours", checkpoint)
+
+
+def upserted_hours(windows: DataFrame) -> DataFrame:
+    """All hours of the feed, summed as far as it goes."""
+    upsert_stream(windows, out := scratch_path(windows.sparkSession, "live-hours"))
+    return snapshots.read(windows.sparkSession, out)
 
 
-def live_hours(windows: DataFrame, feed_now: DataFrame, ts: str, delay: str = DELAY) -> DataFrame:
-    """All hours with a flag for those the watermark has closed."""
-    mark = feed_now.agg((F.max(ts) - F.expr(f"INTERVAL {delay}")).alias("m")).scalar()
-    hours = upserted_hours(windows)
+def live_hours(windows: DataFrame) -> DataFrame:
+    """All hours with a flag for those closed: those that append mode would have written by the query's own watermark."""
+    query = upsert_stream(windows, out := scratch_path(windows.sparkSession, "live-hours"))
     end = F.timestamp_add("HOUR", F.col("hour") + 1, F.col("sum_date").cast("timestamp_ntz"))
-    return hours.withColumn("closed", end <= mark)
+    return snapshots.read(windows.sparkSession, out).withColumn("closed", F.coalesce(end <= watermark_of(query), F.lit(False)))
 
 
 def hour_close_gaps(readings: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

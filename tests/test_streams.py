@@ -134,7 +134,7 @@ def test_hours_over_several_files(spark):
     hour = lambda a, b: r.where(F.hour("ts").between(a, b))
     path = _folder(spark, [hour(10, 11), hour(12, 12), hour(13, 14)])
     windows = lambda: hourly.hourly(_stream(spark, path), "ts", F.col("watts"))
-    live = hourly.live_hours(windows(), spark.read.parquet(path), "ts")
+    live = hourly.live_hours(windows())
     got = {x.hour: (float(x.runtime), x.n, x.closed) for x in live.collect()}
     assert got == {10 + h: (float(3 * h + 60), 3, h < 3) for h in range(5)}
     closed = {x.hour for x in hourly.closed_hours(windows()).collect()}
