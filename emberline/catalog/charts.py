@@ -6,9 +6,12 @@ from pyspark.sql import functions as F
 
 from emberline.catalog.aggregates import DAILY, SUMS, WEIGHTED
 from emberline.catalog.registry import PREDICTED, event_hours, order_hours, query, season
+from emberline.functions.calendar import ntz
 from emberline.operators import rollups
 from emberline.plans import charts, forecast
+from emberline.session import scratch_path
 from emberline.sources import fixtures as fx
+from emberline.streaming import rollup
 
 _DAILY_SQL = f"""
 WITH {order_hours()}, {DAILY}, u AS (SELECT sum_date, rc / 100e0 AS runtime, row_number() OVER (ORDER BY sum_date DESC) AS row_number FROM d)
@@ -27,6 +30,17 @@ def rpt_daily_1year(spark, sf):
     return charts.daily_vs_last_year(fx.order_hours(spark, sf), 365)
 
 
+@query("rpt_daily_stored", _DAILY_SQL + " WHERE u.row_number < 31")
+def rpt_daily_stored(spark, sf):
+    """The same chart from a stored rollup that three batches of orders have kept current; the second comes twice."""
+    at = F.timestamp_add("HOUR", (F.col("o_orderkey") % 24).cast("int"), F.to_date("o_orderdate").cast("timestamp_ntz"))
+    orders = fx.table(spark, sf, "orders").withColumn("ts", at).where(F.col("ts") <= ntz(fx.O_AS_OF))
+    path = scratch_path(spark, "stored-hours")
+    for number in (0, 1, 1, 2):
+        rollup.add_batch(path, orders.where(F.col("o_custkey") % 3 == number), number, "ts", fx.order_minutes())
+    return charts.daily_vs_last_year(rollup.stored_hours(spark, path), 30)
+
+
 _KEYED = order_hours().replace("SELECT CAST(o_orderdate", "SELECT o_custkey AS key, CAST(o_orderdate")
 
 

@@ -8,7 +8,7 @@ from emberline.catalog.aggregates import totals_sql
 from emberline.catalog.registry import classified, query, run_totals
 from emberline.session import scratch_path
 from emberline.sources import fixtures as fx
-from emberline.streaming import hourly, keyed, runs
+from emberline.streaming import hourly, keyed, rollup, runs
 
 
 WHOLE = "40 days"  # the files of the feed may be in any order
@@ -104,3 +104,14 @@ def stream_hour_summary(spark, sf):
         F.when(F.col("event_type") == "signup", "ON").when(F.col("event_type") == "error", "OFF").alias("status"))
     out = runs.stream_hour_summaries(feed, fx.thresholds(spark), "hi", fx.E_START, fx.E_END, delay=WHOLE)
     return out.drop("run_us")
+
+
+@query("stream_rollup", f"WITH {_HOURS} SELECT sum_date, hour, runtime, n FROM h")
+def stream_rollup(spark, sf):
+    """The stored rollup, fed by a stream; then its last batch comes once more."""
+    feed = hourly.feed(spark, sf, "events.parquet")
+    amount = F.col("value").cast("decimal(10,2)")
+    path = scratch_path(spark, "rollup")
+    rollup.maintain(feed, path, "ts", amount)
+    rollup.add_batch(path, fx.table(spark, sf, "events"), 0, "ts", amount)
+    return _plain(rollup.stored_hours(spark, path)).select("sum_date", "hour", "runtime", "n")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -85,11 +85,12 @@ def read(spark: SparkSession, path: str, number: int | None = None) -> DataFrame
     return _days(spark, path, held, sorted(held["days"]))
 
 
-def upsert_days(path: str, new: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> int:
-    """Upserts rows and returns the number of the snapshot that has them; doing it again changes nothing.
+def change_days(path: str, new: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame], batch: int | None = None) -> int:
+    """Puts ``merge(old, new)`` in place of the days that ``new`` touches; returns the number of the snapshot that has them.
 
-    Only the days of the change are read and written, each once. The list of days, one for each date of the table, passes through the
-    driver. ``new`` is evaluated once and kept on disk by Spark until the change is in place.
+    Only those days are read and written, each once, a large day by several tasks. The list of days, one for each date of the table,
+    passes through the driver. A table of years is better kept by month: any date column may be the ``day`` of ``create``. ``new`` is evaluated once and kept on disk by Spark until the change is in place. A ``batch``
+    number is kept in the snapshot: a batch that the table has already, or an earlier one, changes nothing.
     """
     spark = new.sparkSession
     new = new.persist()
@@ -97,21 +98,39 @@ def upsert_days(path: str, new: DataFrame, keys: Sequence[str], order: Sequence[
         while True:
             last = numbers(spark, path)[-1]
             held = snapshot(spark, path, last)
+            if batch is not None and batch <= held.get("batch", -1):
+                return last
             day = held["day"]
             touched = [NO_DAY if r[0] is None else str(r[0]) for r in new.select(day).distinct().collect()]
-            if not touched:
+            folder, kept = uuid.uuid4().hex, {} if batch is None else {"batch": batch}
+            if touched:
+                old = _days(spark, path, held, [d for d in touched if d in held["days"]])
+                merged = merge(old, new.select(*old.columns))
+                merged.hint("rebalance", F.col(day)).write.partitionBy(day).parquet(f"{path}/data/change={folder}")
+            elif not kept:
                 return last
-            old = _days(spark, path, held, [d for d in touched if d in held["days"]])
-            folder = uuid.uuid4().hex
-            merged = upsert(old, new.select(*old.columns), keys, order)
-            merged.repartition(F.col(day)).write.partitionBy(day).parquet(f"{path}/data/change={folder}")
-            if commit(spark, path, last + 1, {**held, "days": {**held["days"], **dict.fromkeys(touched, folder)}}):
+            if commit(spark, path, last + 1, {**held, **kept, "days": {**held["days"], **dict.fromkeys(touched, folder)}}):
                 return last + 1
             remove_path(spark, f"{path}/data/change={folder}")
     finally:
         new.unpersist()
 
 
+def upsert_days(path: str, new: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> int:
+    """New rows win over old ones of the same key; doing it again changes nothing."""
+    return change_days(path, new, lambda old, fresh: upsert(old, fresh, keys, order))
+
+
+def add_days(path: str, new: DataFrame, keys: Sequence[str], batch: int) -> int:
+    """Adds the other columns of ``new``, sums and counts, to those of the rows with the same key, once for each batch number."""
+
+    def merge(old: DataFrame, fresh: DataFrame) -> DataFrame:
+        totals = [F.sum(c).cast(old.schema[c].dataType).alias(c) for c in old.columns if c not in keys]
+        return old.unionByName(fresh).groupBy(*keys).agg(*totals).select(*old.columns)
+
+    return change_days(path, new, merge, batch)
+
+
 def forget(spark: SparkSession, path: str, keep: int = 2) -> None:
     """Removes snapshots but the newest ``keep``, and the days that only they name. Not while older ones are being read."""
     found = numbers(spark, path)

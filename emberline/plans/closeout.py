@@ -6,6 +6,8 @@ pass, which leaves the same tables behind. Periods are exact and half-open.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -87,19 +89,20 @@ def hour_table(closed: DataFrame, as_of: str) -> DataFrame:
     return usage.join(baseline(hours, closed, ["hour"]), "hour")
 
 
+BASELINES = {0b011: ["hour"], 0b001: ["hour", "dow"], 0b010: ["hour", "season"], 0b000: ["hour", "dow", "season"]}
+
+
 def hour_baselines(closed: DataFrame) -> DataFrame:
-    """The four hourly baselines in one table; slots a baseline ignores are null."""
-    spark = closed.sparkSession
-    full = slot_grid(spark)
-    out = None
-    for slots in (["hour"], ["hour", "dow"], ["hour", "season"], ["hour", "dow", "season"]):
-        b = baseline(full.select(*slots).distinct(), closed, slots)
-        b = b.select(
-            F.lit("+".join(slots)).alias("baseline"),
-            *[F.col(c) if c in slots else F.lit(None).cast("string" if c == "season" else "int").alias(c)
-              for c in ("hour", "dow", "season")], "count", "btu_avg")
-        out = b if out is None else out.unionByName(b)
-    return out
+    """The four hourly baselines in one table, from one aggregate; slots a baseline ignores are null."""
+    slots, sets = ["hour", "dow", "season"], list(BASELINES.values())
+    which = F.grouping_id().cast("int").alias("g")
+    grid = slot_grid(closed.sparkSession).groupingSets(sets, *slots).agg(which)
+    mean = closed.groupingSets(sets, *slots).agg(which, F.sum("run_us").alias("us"), F.count("*").alias("n"))
+    same = (grid["g"] == mean["g"]) & (grid["hour"] == mean["hour"]) & grid["dow"].eqNullSafe(mean["dow"]) & grid["season"].eqNullSafe(mean["season"])
+    name = reduce(lambda c, g: c.when(grid["g"] == g, "+".join(BASELINES[g])), BASELINES, F)
+    return grid.join(mean, same, "left").select(
+        name.alias("baseline"), *(grid[c] for c in slots), F.coalesce("n", F.lit(0)).cast("int").alias("count"),
+        F.coalesce(energy.btu(F.col("us")) / F.col("n"), F.lit(0.0)).alias("btu_avg"))
 
 
 def dow_table(closed: DataFrame, as_of: str) -> DataFrame:
