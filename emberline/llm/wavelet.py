@@ -22,7 +22,7 @@ def planes_of(tokens: np.ndarray, levels: int) -> list[tuple[np.ndarray, int]]:
     """(packed bits, number of zeros) by level, the highest bit first; each level moves its zeros before its ones."""
     planes = []
     for bit in range(levels - 1, -1, -1):
-        ones = (tokens >> bit & 1).astype(bool)
+        ones = (tokens & tokens.dtype.type(1 << bit)) != 0
         planes.append((np.packbits(ones), len(tokens) - int(np.count_nonzero(ones))))
         tokens = np.concatenate([tokens[~ones], tokens[ones]])
     return planes
@@ -150,12 +150,13 @@ class WaveletMatrix:
 
     def tokens(self) -> np.ndarray:
         """All tokens, by undoing the moves of each level from the lowest bit up."""
-        found = np.zeros(self.size, np.uint32)
+        kind = np.uint16 if self.levels <= 16 else np.uint32
+        found = np.zeros(self.size, kind)
         for bit, plane in enumerate(reversed(self.planes)):
             ones = plane.unpacked()
             above = np.empty_like(found)
-            above[~ones] = found[:plane.zeros]
-            above[ones] = found[plane.zeros:] | np.uint32(1 << bit)
+            np.place(above, ~ones, found[:plane.zeros])
+            np.place(above, ones, found[plane.zeros:] | kind(1 << bit))
             found = above
         return found
 

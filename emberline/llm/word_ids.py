@@ -14,6 +14,7 @@ from emberline.llm.token_counts import byte_characters
 
 CACHED_WORDS = 400_000
 LONGEST = 128
+SINGLE = 512
 CLOSING = b".,;:!?)"
 NEVER = np.int32(np.iinfo(np.int32).max)
 LATIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
@@ -29,6 +30,9 @@ class Merges:
         left, right, made = (np.array(c, np.int64) for c in zip(*((vocab[a], vocab[b], vocab[a + b]) for a, b in pairs), strict=True))
         keys = left << 16 | right
         by = np.argsort(keys, kind="stable")
+        small = (left < SINGLE) & (right < SINGLE)
+        self.single = np.full((SINGLE, SINGLE), NEVER, np.int32)  # pairs of the symbols that words start from
+        self.single[left[small], right[small]] = np.flatnonzero(small)
         self.made, self.keys, self.ranks = made.astype(np.int32), keys[by], by.astype(np.int32)
         bits = int(len(keys)).bit_length() + 3
         self.shift = np.uint64(64 - bits)
@@ -60,7 +64,7 @@ class Merges:
         cannot are put out.
         """
         rows, done = np.arange(len(symbols)), []
-        ranks = self.rank(symbols[:, :-1], symbols[:, 1:])
+        ranks = self.single[symbols[:, :-1], symbols[:, 1:]] if symbols.max(initial=0) < SINGLE else self.rank(symbols[:, :-1], symbols[:, 1:])
         while len(rows):
             if symbols.shape[1] == 1:
                 done.append((rows, symbols))
@@ -125,27 +129,33 @@ class WordIds:
                 found.update((names[r], flat[i:i + size]) for r, i in zip(rows.tolist(), range(0, len(flat), size), strict=True))
         return found
 
+    def known(self, word: bytes) -> bytes | None:
+        return self.young.get(word) or self.old.get(word)
+
     def pieces(self, new: set[bytes]) -> dict[bytes, bytes]:
-        whole, split, other = {}, {}, []
+        """The identifiers of new pieces, and of the lower-case words in them that are new, too.
+
+        Case does not count and closing marks are pre-tokens of their own, so a word met in one form serves in others.
+        """
+        found, split, other = {}, {}, []
         for w in new:
             if len(w) > LONGEST:  # rows of merges are moved whole, which suits words only
                 other.append((w, w.decode("utf-8", "replace")))
                 continue
-            if w.isalpha():
-                whole[w] = w.lower()
-                continue
             core = w.rstrip(CLOSING)
             if core.isalpha():
-                split[w] = core.lower(), w[len(core):]
+                split[w] = (core.lower(), w[len(core):]) if len(core) < len(w) else (w.lower(),)
                 continue
             s = w.decode("utf-8", "replace")
             if LATIN.fullmatch(s) and not any(t in s for t in self.special):
                 split[w] = tuple(p.encode() for p in PARTS.findall(s.lower()))
             else:
                 other.append((w, s))
-        ids = self.parts(list({*whole.values(), *(p for parts in split.values() for p in parts)}))
-        found = {w: ids[p] for w, p in whole.items()}
-        found.update((w, b"".join(map(ids.__getitem__, p))) for w, p in split.items())
+        ids = {p: self.known(p) for parts in split.values() for p in parts}
+        missing = self.parts([p for p, i in ids.items() if i is None])
+        ids.update(missing)
+        found.update((p, i) for p, i in missing.items() if p.isalpha())
+        found.update((w, ids[p[0]] if len(p) == 1 else b"".join(map(ids.__getitem__, p))) for w, p in split.items())
         got = self.tokenizer.encode_batch([s for _, s in other], add_special_tokens=False)
         found.update((w, np.array(e.ids, "<u2").tobytes()) for (w, _), e in zip(other, got, strict=True))
         return found
