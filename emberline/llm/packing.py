@@ -144,9 +144,9 @@ def pack_documents(
         id_type = pa.int64()
         for batch in slices(batches, "_text", SLICE_BYTES):
             id_type = batch.schema.field("_id").type
-            ids = own.encode(batch.column("_text").to_pylist(), end_id)
-            for doc_id, found in zip(batch.column("_id").to_pylist(), ids, strict=True):
-                n = len(found) // 2
+            ids, borders = own.encode(batch.column("_text"), end_id)
+            for doc_id, found in zip(batch.column("_id").to_pylist(), np.split(ids, borders[1:-1]), strict=True):
+                n, found = len(found), found.tobytes()
                 held.append((doc_id, found))
                 d, full = len(held) - 1, n - n % window
                 if full:

@@ -55,13 +55,14 @@ def write_token_files(
     def identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, number = word_ids(tokenizer_path), TaskContext.get().partitionId() << 40
         for batch in slices(batches, "_text", SLICE_BYTES):
-            ids = own.encode(batch.column("_text").to_pylist(), end_id)
-            salt = (np.arange(number, number + len(ids)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
-            number += len(ids)
+            ids, ends = own.encode(batch.column("_text"), end_id)
+            held = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer((2 * ends).astype(np.int32)), pa.py_buffer(ids)])
+            salt = (np.arange(number, number + len(held)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
+            number += len(held)
             place = batch.column("place").to_numpy()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(groups_of(place, salt, edges)), batch.column("place"), pa.array(salt.astype(np.int64)), batch.column("doc_id"),
-                 pa.array(ids, pa.binary())], ["group", "place", "salt", "doc_id", "ids"])
+                 held], ["group", "place", "salt", "doc_id", "ids"])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, number, held, size = None, 0, [], 0

@@ -9,15 +9,18 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from emberline.llm.token_counts import byte_characters
 
 CACHED_WORDS = 400_000
 LONGEST = 128
 SINGLE = 512
-CLOSING = b".,;:!?)"
+CLOSING = ".,;:!?)"
 NEVER = np.int32(np.iinfo(np.int32).max)
 LATIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+WORD = "^[a-zß-öø-ÿ]+$"
 # Fixed value: the pre-tokenizer of the vocabulary, for lower-cased texts of the characters of LATIN.
 PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
@@ -89,12 +92,22 @@ class Merges:
         return done
 
 
+def gathered(flat: np.ndarray, lengths: np.ndarray, picks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches ``picks`` of ``flat``, which holds stretches of these lengths in a row, and where each ends."""
+    n = lengths[picks]
+    ends = np.cumsum(n)
+    starts = (np.cumsum(lengths) - lengths)[picks]
+    return flat[np.repeat(starts - ends + n, n) + np.arange(n.sum())], ends
+
+
 class WordIds:
     """Identifiers as little-endian 16-bit numbers, as the tokenizers library gives them without special tokens.
 
-    The vocabulary drops white space, so what ASCII white space separates is encoded once and kept. Pieces of
-    ASCII and Western letters are split and merged here, all new ones of a slice together; any other piece
-    goes through the library. Of what is kept, the pieces met since the cache was last full stay.
+    The vocabulary drops white space and case, so what ASCII white space separates in a lowered slice is told
+    apart once, by Arrow. Words of ASCII and Western letters and the closing marks behind them are pre-tokens of
+    their own; other pieces of those characters are split here, and all new pre-tokens of a slice are merged
+    together. Any other piece, and a text that names a special token, goes through the library. Of what is
+    kept, the words and pieces met since the cache was last full stay.
     """
 
     def __init__(self, path: str):
@@ -112,7 +125,7 @@ class WordIds:
         self.inner = np.array([vocab[c] for c in letters], np.int32)
         self.last = np.array([vocab[c + "</w>"] for c in letters], np.int32)
         self.special = [t["content"] for t in spec["added_tokens"]]
-        self.young: dict[bytes, bytes] = {}
+        self.young: dict[bytes, bytes] = {b"": b""}
         self.old: dict[bytes, bytes] = {}
 
     def parts(self, words: list[bytes]) -> dict[bytes, bytes]:
@@ -129,58 +142,91 @@ class WordIds:
                 found.update((names[r], flat[i:i + size]) for r, i in zip(rows.tolist(), range(0, len(flat), size), strict=True))
         return found
 
-    def known(self, word: bytes) -> bytes | None:
-        return self.young.get(word) or self.old.get(word)
+    def library(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u2").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def pieces(self, new: set[bytes]) -> dict[bytes, bytes]:
-        """The identifiers of new pieces, and of the lower-case words in them that are new, too.
-
-        Case does not count and closing marks are pre-tokens of their own, so a word met in one form serves in others.
-        """
-        found, split, other = {}, {}, []
+    def kept(self, names: list[bytes], make) -> list[bytes]:
+        """The identifiers of ``names``; ``make`` gives those of the ones that are not in the cache."""
+        young, old = self.young, self.old
+        new = [w for w in names if w not in young]
+        young.update((w, old[w]) for w in new if w in old)
+        young.update(make([w for w in new if w not in old]))
+        return list(map(young.__getitem__, names))
+
+    def pieces(self, new: list[bytes]) -> dict[bytes, bytes]:
+        """The identifiers of lowered pieces of any kind."""
+        split, other = {}, []
         for w in new:
-            if len(w) > LONGEST:  # rows of merges are moved whole, which suits words only
-                other.append((w, w.decode("utf-8", "replace")))
-                continue
-            core = w.rstrip(CLOSING)
-            if core.isalpha():
-                split[w] = (core.lower(), w[len(core):]) if len(core) < len(w) else (w.lower(),)
-                continue
             s = w.decode("utf-8", "replace")
-            if LATIN.fullmatch(s) and not any(t in s for t in self.special):
-                split[w] = tuple(p.encode() for p in PARTS.findall(s.lower()))
+            if len(w) <= LONGEST and LATIN.fullmatch(s):  # rows of merges are moved whole, which suits words only
+                split[w] = [p.encode() for p in PARTS.findall(s.lower())]
             else:
                 other.append((w, s))
-        ids = {p: self.known(p) for parts in split.values() for p in parts}
-        missing = self.parts([p for p, i in ids.items() if i is None])
-        ids.update(missing)
-        found.update((p, i) for p, i in missing.items() if p.isalpha())
-        found.update((w, ids[p[0]] if len(p) == 1 else b"".join(map(ids.__getitem__, p))) for w, p in split.items())
-        got = self.tokenizer.encode_batch([s for _, s in other], add_special_tokens=False)
-        found.update((w, np.array(e.ids, "<u2").tobytes()) for (w, _), e in zip(other, got, strict=True))
+        loose = list({p for parts in split.values() for p in parts})
+        ids = dict(zip(loose, self.kept(loose, self.parts), strict=True))
+        found = {w: b"".join(map(ids.__getitem__, parts)) for w, parts in split.items()}
+        found.update(zip((w for w, _ in other), self.library([s for _, s in other]), strict=True))
         return found
 
-    def encode(self, texts: list[bytes], end: int) -> list[bytes]:
-        """The identifiers of each text, then ``end``. Nothing made here has cycles, so their collector rests."""
+    def vocabulary(self, names: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """(identifiers, their number for each) of different lowered pieces."""
+        cores = pc.ascii_rtrim(names, CLOSING)
+        plain = pc.and_(pc.match_substring_regex(cores, WORD), pc.less_equal(pc.binary_length(cores), LONGEST))
+        words = cores.filter(plain).dictionary_encode()
+        plain = plain.to_numpy(zero_copy_only=False)
+        ends = pc.binary_length(cores).to_numpy()
+        closed = np.flatnonzero(plain & (ends < pc.binary_length(names).to_numpy()))
+        marks: dict[bytes, int] = {b"": 0}
+        closing = [marks.setdefault(w[end:], len(marks)) for w, end in zip(
+            names.take(closed).cast(pa.binary()).to_pylist(), ends[closed].tolist(), strict=True)]
+        ids = self.kept(words.dictionary.cast(pa.binary()).to_pylist(), self.parts)
+        n_words = len(ids)
+        ids += self.kept(names.filter(~plain).cast(pa.binary()).to_pylist(), self.pieces)
+        n_known = len(ids)
+        ids += self.kept(list(marks), self.pieces)
+        pairs = np.full((len(names), 2), n_known)
+        pairs[plain, 0] = words.indices.to_numpy()
+        pairs[~plain, 0] = np.arange(n_words, n_known)
+        pairs[closed, 1] += np.array(closing, np.int64)
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
+        flat, _ = gathered(np.frombuffer(b"".join(ids), "<u2"), lengths, pairs.ravel())
+        return flat, lengths[pairs].sum(1)
+
+    def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """(identifiers, borders): those of all texts (UTF-8 bytes) in a row, ``end`` after each, and where texts begin and end.
+
+        Nothing made here has cycles, so their collector rests.
+        """
         collecting = gc.isenabled()
         gc.disable()
         try:
-            return self.encoded(texts, np.array([end], "<u2").tobytes())
+            return self.encoded(texts, end)
         finally:
             if collecting:
                 gc.enable()
 
-    def encoded(self, texts: list[bytes], last: bytes) -> list[bytes]:
-        split = [t.split() for t in texts]
-        young, old = self.young, self.old
-        new = set().union(*split).difference(young)
-        for w in new.intersection(old):
-            young[w] = old[w]
-        young.update(self.pieces(new.difference(old)))
-        found = [b"".join(map(young.__getitem__, words)) + last for words in split]
-        if len(young) > CACHED_WORDS:
-            self.young, self.old = {}, young
-        return found
+    def encoded(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        texts = pa.Array.from_buffers(pa.string(), len(texts), texts.buffers(), offset=texts.offset)
+        low = pc.ascii_lower(texts)
+        special = np.flatnonzero(functools.reduce(pc.or_, (pc.match_substring(low, s.lower()) for s in self.special)).to_numpy(zero_copy_only=False))
+        if len(special):
+            low = pc.if_else(pa.array(np.isin(np.arange(len(texts)), special)), "", low)
+        split = pc.ascii_split_whitespace(low)
+        borders = split.offsets.to_numpy().astype(np.int64)
+        words = split.flatten().dictionary_encode()
+        flat, lengths = self.vocabulary(words.dictionary)
+        own = self.library([w.decode("utf-8", "replace") for w in texts.take(special).cast(pa.binary()).to_pylist()])
+        flat = np.concatenate([flat, np.array([end], "<u2"), np.frombuffer(b"".join(own), "<u2")])
+        last = len(lengths)
+        lengths = np.concatenate([lengths, [1], np.array([len(o) // 2 for o in own], np.int64)])
+        at = np.concatenate([borders[special + 1], borders[1:]])
+        codes = np.insert(words.indices.to_numpy(), at, np.concatenate([np.arange(last + 1, len(lengths)), np.full(len(texts), last)]))
+        counts = np.diff(borders) + 1
+        counts[special] += 1
+        tokens, ends = gathered(flat, lengths, codes)
+        if len(self.young) > CACHED_WORDS:
+            self.young, self.old = {b"": b""}, self.young
+        return tokens, np.concatenate([[0], ends[np.cumsum(counts) - 1]])
 
 
 @functools.cache
