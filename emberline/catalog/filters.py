@@ -64,9 +64,15 @@ def fixed_state(spark, sf):
         states.fixed_state(F.col("value"), 50).alias("above_50"))
 
 
-FILLED = f"""{EV}, fl AS (
-  SELECT *, last_value(st IGNORE NULLS) OVER (ORDER BY ts, tie ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS status,
-         epoch_us(ts) - epoch_us(lag(ts) OVER (ORDER BY ts, tie)) AS gap_us FROM ev)"""
+def filled_sql(by: str = "") -> str:
+    """CTEs ending in ``fl``: status and gap of every reading, of one device or of each."""
+    part = f"PARTITION BY {by} " if by else ""
+    return f"""{EV}, fl AS (
+  SELECT *, last_value(st IGNORE NULLS) OVER ({part}ORDER BY ts, tie ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS status,
+         epoch_us(ts) - epoch_us(lag(ts) OVER ({part}ORDER BY ts, tie)) AS gap_us FROM ev{f" WHERE {by} IS NOT NULL" if by else ""})"""
+
+
+FILLED = filled_sql()
 MODE = """CASE WHEN status = 'ON' AND watts < 69 THEN 'blower' WHEN status = 'ON' AND gap_us > 600000000 THEN 'unknown'
   WHEN status = 'ON' AND watts > 500 THEN 'dehumidification' ELSE status END"""
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from emberline.catalog.filters import FILLED, MODE, filled
+from emberline.catalog.filters import FILLED, MODE, filled, filled_sql
 from emberline.catalog.registry import query
 from emberline.operators import model
 from emberline.sources import series
@@ -14,6 +14,7 @@ _Z = "((CAST(watts AS DOUBLE) - 150) / 100)"
 LEVEL = "(" + " + ".join(f"({c!r}e0)" + f"*{_Z}" * i for i, c in enumerate(model.FIRING_CURVE)) + ")"
 HELD = f"CASE WHEN mode <> 'ON' THEN 0 ELSE least(greatest({LEVEL}, 40), 100) END"
 SCORED = f"{FILLED}, md AS (SELECT *, {MODE} AS mode FROM fl), sc AS (SELECT *, {HELD} AS heatcall FROM md)"
+SCORED_EACH = SCORED.replace(FILLED, filled_sql("key"))
 HEAT_SQL = "CASE WHEN mode = 'ON' THEN heatcall / 100 * 60000 * (gap_us / 3.6e9) END"
 
 

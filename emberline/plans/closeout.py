@@ -1,11 +1,13 @@
 """Closing hours, days and months: slot tables, running baselines, sums, completeness.
 
 The scheduled job closes one period per call. Here every period of a range is closed in one
-pass, which leaves the same tables behind. Periods are exact and half-open.
+pass, which leaves the same tables behind. Periods are exact and half-open. ``keys`` close every
+device apart; without keys all readings are those of one device.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,30 +26,42 @@ def closed_end(period: str, as_of: str) -> str:
     return as_of[:cut] + "0000-01-01 00:00:00"[cut:]
 
 
-def stored_gaps(readings: DataFrame, seconds: int | None) -> DataFrame:
+def stored_gaps(readings: DataFrame, seconds: int | None, keys: Sequence[str] = ()) -> DataFrame:
     """Readings with the gap to the one before, whatever period that lies in."""
-    x = chunks.previous(readings, [], ("ts", "tie"), {"ts": "_before"}, seconds)
+    x = chunks.previous(readings, keys, ("ts", "tie"), {"ts": "_before"}, seconds)
     return x.withColumn("gap_us", micros_between(F.col("_before"), F.col("ts"))).drop("_before")
 
 
 def closed_periods(
     readings: DataFrame, log: DataFrame, thresholds: DataFrame, period: str, start: str, as_of: str,
-    seconds: int | None = AUTO,
+    seconds: int | None = AUTO, keys: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per closed period of a single device, idle and empty ones too."""
+    """One row per closed period, idle and empty ones too.
+
+    The single device of a table without ``keys`` has every period of the range; with keys each device has
+    those from its first to its last reading in it, so a device seen for a day costs a day. Readings
+    without a device belong to none and are left out.
+    """
     end = closed_end(period, as_of)
     rows = readings.where((F.col("ts") >= ntz(start)) & (F.col("ts") < ntz(end)))
+    for k in keys:
+        rows = rows.where(F.col(k).isNotNull())
     if seconds == AUTO:
-        seconds = chunks.choose_chunk(rows, [], "ts", period)
-    sums = summary(readings, log, thresholds, [], "hi", start, end, period, seconds=seconds)
+        seconds = chunks.choose_chunk(rows, keys, "ts", period)
+    by = [*keys, PERIOD]
+    sums = summary(readings, log, thresholds, keys, "hi", start, end, period, seconds=seconds)
     ok = quality.complete_any_gap(
-        stored_gaps(rows, seconds).withColumn(PERIOD, period_start(period, F.col("ts"))), [PERIOD])
-    one = readings.sparkSession.range(1).select(
-        ntz(start).alias("lo"), (ntz(end) - F.expr(f"INTERVAL 1 {period}")).cast("timestamp_ntz").alias("hi"))
-    every = spine(one, "lo", "hi", f"1 {period.upper()}", PERIOD)
+        stored_gaps(rows, seconds, keys).withColumn(PERIOD, period_start(period, F.col("ts"))), by)
+    if keys:
+        seen = rows.groupBy(*keys).agg(F.min("ts").alias("first"), F.max("ts").alias("last")).select(
+            *keys, period_start(period, F.col("first")).alias("lo"), period_start(period, F.col("last")).alias("hi"))
+    else:
+        seen = readings.sparkSession.range(1).select(
+            ntz(start).alias("lo"), (ntz(end) - F.expr(f"INTERVAL 1 {period}")).cast("timestamp_ntz").alias("hi"))
+    every = spine(seen, "lo", "hi", f"1 {period.upper()}", PERIOD, keys)
     p = F.col(PERIOD)
-    return every.join(sums.select(PERIOD, "run_us"), PERIOD, "left").join(ok, PERIOD, "left").select(
-        p, p.cast("date").alias("sum_date"), F.hour(p).alias("hour"), dow(p).alias("dow"),
+    return every.join(sums.select(*by, "run_us"), by, "left").join(ok, by, "left").select(
+        *keys, p, p.cast("date").alias("sum_date"), F.hour(p).alias("hour"), dow(p).alias("dow"),
         F.month(p).alias("month"), F.dayofmonth(p).alias("day"),
         meteorological_season(F.dayofyear(p)).alias("season"),
         F.coalesce("run_us", F.lit(0)).alias("run_us"),
@@ -56,11 +70,19 @@ def closed_periods(
     )
 
 
-def period_sums(closed: DataFrame, period: str) -> DataFrame:
+def for_each(grid: DataFrame, closed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The slots of ``grid``, for each device that has closed a period. A grid has 672 slots at most."""
+    if not keys:
+        return grid
+    slots = grid.agg(F.collect_list(F.struct("*")).alias("slots"))
+    return closed.select(*keys).distinct().withColumn("_slots", slots.scalar()).select(*keys, F.inline("_slots"))
+
+
+def period_sums(closed: DataFrame, period: str, keys: Sequence[str] = ()) -> DataFrame:
     """The rows that closing appends to the hourly, daily or monthly sums, one for each closed period."""
     slots = {"hour": ["sum_date", "hour"], "day": ["sum_date"], "month": ["sum_date", "month"]}[period]
     us = F.col("run_us")
-    return closed.select(*slots, energy.minutes(us).alias("runtime"), energy.btu(us).alias("btu"), "complete")
+    return closed.select(*keys, *slots, energy.minutes(us).alias("runtime"), energy.btu(us).alias("btu"), "complete")
 
 
 def usage_slots(grid: DataFrame, closed: DataFrame, slots: list[str], starting: Column, period: str, as_of: str) -> DataFrame:
@@ -81,45 +103,44 @@ def baseline(grid: DataFrame, closed: DataFrame, slots: list[str]) -> DataFrame:
         F.coalesce(energy.btu(F.col("us")) / F.col("n"), F.lit(0.0)).alias("btu_avg"))
 
 
-def hour_table(closed: DataFrame, as_of: str) -> DataFrame:
-    spark = closed.sparkSession
-    hours = integers(spark, 0, 23, "hour")
+def hour_table(closed: DataFrame, as_of: str, keys: Sequence[str] = ()) -> DataFrame:
+    hours, slots = for_each(integers(closed.sparkSession, 0, 23, "hour"), closed, keys), [*keys, "hour"]
     now = F.hour(ntz(as_of))
-    usage = usage_slots(hours, closed, ["hour"], F.col("hour") == now, "hour", as_of)
-    return usage.join(baseline(hours, closed, ["hour"]), "hour")
+    usage = usage_slots(hours, closed, slots, F.col("hour") == now, "hour", as_of)
+    return usage.join(baseline(hours, closed, slots), slots)
 
 
 BASELINES = {0b011: ["hour"], 0b001: ["hour", "dow"], 0b010: ["hour", "season"], 0b000: ["hour", "dow", "season"]}
 
 
-def hour_baselines(closed: DataFrame) -> DataFrame:
+def hour_baselines(closed: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """The four hourly baselines in one table, from one aggregate; slots a baseline ignores are null."""
-    slots, sets = ["hour", "dow", "season"], list(BASELINES.values())
+    slots, sets = [*keys, "hour", "dow", "season"], [[*keys, *b] for b in BASELINES.values()]
     which = F.grouping_id().cast("int").alias("g")
-    grid = slot_grid(closed.sparkSession).groupingSets(sets, *slots).agg(which)
+    grid = for_each(slot_grid(closed.sparkSession), closed, keys).groupingSets(sets, *slots).agg(which)
     mean = closed.groupingSets(sets, *slots).agg(which, F.sum("run_us").alias("us"), F.count("*").alias("n"))
-    same = (grid["g"] == mean["g"]) & (grid["hour"] == mean["hour"]) & grid["dow"].eqNullSafe(mean["dow"]) & grid["season"].eqNullSafe(mean["season"])
+    same = reduce(lambda c, k: c & (grid[k] == mean[k]), ["hour", *keys], grid["g"] == mean["g"]) & grid["dow"].eqNullSafe(mean["dow"]) & grid["season"].eqNullSafe(mean["season"])
     name = reduce(lambda c, g: c.when(grid["g"] == g, "+".join(BASELINES[g])), BASELINES, F)
     return grid.join(mean, same, "left").select(
         name.alias("baseline"), *(grid[c] for c in slots), F.coalesce("n", F.lit(0)).cast("int").alias("count"),
         F.coalesce(energy.btu(F.col("us")) / F.col("n"), F.lit(0.0)).alias("btu_avg"))
 
 
-def dow_table(closed: DataFrame, as_of: str) -> DataFrame:
-    days = integers(closed.sparkSession, 0, 6, "dow")
-    usage = usage_slots(days, closed, ["dow"], F.col("dow") == dow(ntz(as_of)), "day", as_of)
-    return usage.join(baseline(days, closed, ["dow"]), "dow")
+def dow_table(closed: DataFrame, as_of: str, keys: Sequence[str] = ()) -> DataFrame:
+    days, slots = for_each(integers(closed.sparkSession, 0, 6, "dow"), closed, keys), [*keys, "dow"]
+    usage = usage_slots(days, closed, slots, F.col("dow") == dow(ntz(as_of)), "day", as_of)
+    return usage.join(baseline(days, closed, slots), slots)
 
 
-def dow_season_table(closed: DataFrame) -> DataFrame:
+def dow_season_table(closed: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     grid = slot_grid(closed.sparkSession).select("dow", "season").distinct()
-    return baseline(grid, closed, ["dow", "season"])
+    return baseline(for_each(grid, closed, keys), closed, [*keys, "dow", "season"])
 
 
-def doy_table(closed: DataFrame, as_of: str) -> DataFrame:
+def doy_table(closed: DataFrame, as_of: str, keys: Sequence[str] = ()) -> DataFrame:
     """Day-of-year slots with this and the previous year's amount, rolled on the day now starting."""
-    days = calendar(closed.sparkSession).select("month", "day")
-    slots = ["month", "day"]
+    days = for_each(calendar(closed.sparkSession).select("month", "day"), closed, keys)
+    slots = [*keys, "month", "day"]
     today = (F.col("month") == F.month(ntz(as_of))) & (F.col("day") == F.dayofmonth(ntz(as_of)))
     usage = usage_slots(days, closed, slots, today, "day", as_of)
     w = Window.partitionBy(*slots).orderBy(PERIOD)
@@ -132,10 +153,10 @@ def doy_table(closed: DataFrame, as_of: str) -> DataFrame:
     return usage.join(baseline(days, closed, slots), slots).join(years, slots)
 
 
-def month_table(closed: DataFrame, as_of: str) -> DataFrame:
-    months = integers(closed.sparkSession, 1, 12, "month")
-    usage = usage_slots(months, closed, ["month"], F.col("month") == F.month(ntz(as_of)), "month", as_of)
-    last = closed.groupBy("month").agg(F.max_by("run_us", PERIOD).alias("us"))
-    last = last.select("month", energy.btu(F.col("us")).alias("previous_year"))
-    return usage.join(baseline(months, closed, ["month"]), "month").join(last, "month", "left").fillna(
+def month_table(closed: DataFrame, as_of: str, keys: Sequence[str] = ()) -> DataFrame:
+    months, slots = for_each(integers(closed.sparkSession, 1, 12, "month"), closed, keys), [*keys, "month"]
+    usage = usage_slots(months, closed, slots, F.col("month") == F.month(ntz(as_of)), "month", as_of)
+    last = closed.groupBy(*slots).agg(F.max_by("run_us", PERIOD).alias("us"))
+    last = last.select(*slots, energy.btu(F.col("us")).alias("previous_year"))
+    return usage.join(baseline(months, closed, slots), slots).join(last, slots, "left").fillna(
         0.0, ["previous_year"])

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from emberline.functions import calendar as cal
 from emberline.functions import labels
 from emberline.operators import model, quality, rollups, tables
-from emberline.plans import charts, closeout, forecast, inventory
+from emberline.plans import charts, closeout, forecast, gas, inventory
 from emberline.session import scratch_path
 from emberline.sources import files, series
 
@@ -301,6 +301,39 @@ def test_closing_twice_gives_the_same_tables(spark):
     assert (t[9].complete, t[9]["count"]) == ("yes", 1) and (t[15].complete, t[15]["count"]) == ("no", 0)
 
 
+SERIES = [(1, "10:00:00", 80), (1, "10:20:00", 80), (1, "14:00:00", 80), (2, "11:00:00", 80), (2, "11:04:00", 70), (2, "11:30:00", 5), (3, "20:00:00", 90)]
+AS_OF = "2024-01-05 18:10:00"
+
+
+def test_devices_close_the_periods_they_were_seen_in(spark):
+    r, lg = frames.readings(spark, [*SERIES, (None, "09:00:00", 80)]), frames.log(spark, [(k, "2024-01-04 00:00:00", "ON") for k in (1, 2, 3)])
+    closed = closeout.closed_periods(r, lg, frames.thresholds(spark), "hour", "2024-01-05 00:00:00", AS_OF, keys=["key"])
+    got = sorted((x.key, x.hour, x.run_us // 1_000_000, x.complete) for x in closed.collect())
+    assert got == [(1, 10, 10, "no"), (1, 11, 0, "yes"), (1, 12, 0, "yes"), (1, 13, 0, "yes"), (1, 14, 0, "no"), (2, 11, 240, "no")]
+    slots = {(x.key, x.hour): x for x in closeout.hour_table(closed, AS_OF, ["key"]).collect()}
+    assert len(slots) == 48 and slots[1, 10]["count"] == 1 and slots[2, 10]["count"] == 0 and str(slots[2, 18].updated) == "2024-01-05 18:00:00"
+    assert closeout.doy_table(closed, AS_OF, ["key"]).count() == 2 * 366
+    assert closeout.hour_baselines(closed, ["key"]).count() == 2 * (24 + 24 * 7 + 24 * 4 + 24 * 28)
+
+
+@pytest.mark.parametrize("seconds", [None, 600])
+def test_keyed_close_outs_and_gas_are_those_of_each_device(spark, seconds):
+    r = frames.readings(spark, [x for x in SERIES if x[0] != 3])
+    lg = frames.log(spark, [(1, "10:10:00", "ON"), (2, "2024-01-04 00:00:00", "ON"), (2, "11:10:00", "OFF")])
+    args = frames.thresholds(spark), "hour", "2024-01-05 00:00:00", AS_OF
+    both = closeout.closed_periods(r, lg, *args, seconds=seconds, keys=["key"]).collect()
+    scored = gas.scored(r, lg, "2024-01-05 00:00:00", AS_OF, seconds, ["key"])
+    slots = gas.gas_usage(scored, "hour", AS_OF, ["key"]).collect()
+    for k in (1, 2):
+        one_r, one_log = (df.where(F.col("key") == k).drop("key") for df in (r, lg))
+        plain = {x.period_start: x for x in closeout.closed_periods(one_r, one_log, *args, seconds=seconds).collect()}
+        mine = [x for x in both if x.key == k]
+        assert mine and all((x.run_us, x.complete) == (plain[x.period_start].run_us, plain[x.period_start].complete) for x in mine)
+        assert sum(x.run_us for x in plain.values()) == sum(x.run_us for x in mine)
+        alone = gas.gas_usage(gas.scored(one_r, one_log, "2024-01-05 00:00:00", AS_OF, seconds), "hour", AS_OF).collect()
+        assert sorted((x.hour, x.btu, x.complete) for x in alone) == sorted((x.hour, x.btu, x.complete) for x in slots if x.key == k)
+
+
 # ---- sources and model --------------------------------------------------------------------
 
 
