@@ -26,10 +26,10 @@ def threshold(projections: int = PROJECTIONS, window: float = WINDOW) -> int:
 
 
 class Index:
-    """Sorted arrays of the projections of one block of vectors."""
+    """Sorted arrays of the projections of one block of vectors; ``copies`` says how many rows each stands for."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, projections: int = PROJECTIONS):
-        self.ids, self.vectors = ids, vectors
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, copies: np.ndarray, projections: int = PROJECTIONS):
+        self.ids, self.vectors, self.copies = ids, vectors, copies
         self.axes = np.random.default_rng(projections * 100_003 + vectors.shape[1]).standard_normal((vectors.shape[1], projections))
         placed = vectors @ self.axes
         self.order = np.argsort(placed, axis=0, kind="stable").T.copy()
@@ -38,7 +38,7 @@ class Index:
         self.farthest = 2 * float(np.sqrt((vectors * vectors).sum(1)).max(initial=0.0))
 
     def search(self, own: int, query: np.ndarray, k: int) -> list[tuple[float, int]]:
-        """The ``k`` nearest (distance, id), the query's own id left out.
+        """The ``k`` nearest (distance, id), the query's own row left out.
 
         The windows start at a radius at which ``k`` vectors could have enough collisions and grow by
         virtual rehashing: each level takes in only what lies beyond the last. A vector is verified when its
@@ -52,7 +52,10 @@ class Index:
         lows = np.array([np.searchsorted(v, p - half, "left") for v, p in zip(self.values, places, strict=True)])
         highs = np.array([np.searchsorted(v, p + half, "right") for v, p in zip(self.values, places, strict=True)])
         level = int(np.argmax((highs - lows).sum(0) >= min(n, k) * self.least))
-        counts, seen = np.zeros(n, np.int64), self.ids == own
+        counts, left = np.zeros(n, np.int64), np.minimum(self.copies, k + 1)
+        same = np.flatnonzero(self.ids == own)
+        left[same[(self.vectors[same] == query).all(1)]] -= 1
+        seen = left == 0
         best_d, best_i = np.zeros(0), np.zeros(0, np.int64)
         low = high = None
         for at in range(level, LEVELS):
@@ -69,8 +72,8 @@ class Index:
             if len(fresh):
                 seen[fresh] = True
                 apart = self.vectors[fresh] - query
-                best_d = np.concatenate([best_d, np.sqrt((apart * apart).sum(1))])
-                best_i = np.concatenate([best_i, self.ids[fresh]])
+                best_d = np.concatenate([best_d, np.repeat(np.sqrt((apart * apart).sum(1)), left[fresh])])
+                best_i = np.concatenate([best_i, np.repeat(self.ids[fresh], left[fresh])])
                 keep = np.lexsort((best_i, best_d))[:k]
                 best_d, best_i = best_d[keep], best_i[keep]
             if len(best_d) >= k and best_d[k - 1] <= radii[at]:
@@ -88,42 +91,47 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec
     """(query_id, rank, vec_id, score): for each row where ``queries`` holds, the ``k`` nearest other rows.
 
     The score is the Euclidean distance in double precision; ties go to the smaller id. Rows are dealt by a
-    hash of their id to blocks of about ``BLOCK_ROWS``, each indexed whole in a task; every block of queries
+    hash of id and vector to blocks of about ``BLOCK_ROWS``, each indexed whole in a task; every block of queries
     meets every block of rows once, sends its ``k`` nearest there, and these are merged.
 
     Null vectors, those with null or non-finite components, zero and empty ones, and rows with a null id take
-    no part; vectors of different lengths never meet. Rows that repeat an id count once, with the smallest of
-    their vectors. A table of one row, or an empty one, gives no rows. Other columns are ignored.
+    no part; vectors of different lengths never meet. Rows that repeat an id are rows of their own, as queries
+    and as candidates of one another and of others; equal rows are searched once and counted as often as they stand. A table of one row, or an empty one, gives no rows. Other columns are ignored.
     """
 
     def run(rows, asked):
-        schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+        schema = pa.schema([("query_id", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("times", pa.int64()),
+                            ("vec_id", pa.int64()), ("score", pa.float64())])
         if not rows.num_rows or not asked.num_rows:
             return schema.empty_table()
 
         def matrix(t):
             return np.array(t.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False), np.float64).reshape(t.num_rows, -1)
 
-        index = Index(rows.column("id").to_numpy(), matrix(rows))
-        out = [(own, i, d) for own, q in zip(asked.column("id").to_pylist(), matrix(asked), strict=True) for d, i in index.search(own, q, k)]
-        own, ids, scores = zip(*out, strict=True) if out else ((), (), ())
-        return pa.table([pa.array(own, pa.int64()), pa.array(ids, pa.int64()), pa.array(scores, pa.float64())], schema=schema)
+        index = Index(rows.column("id").to_numpy(), matrix(rows), rows.column("copies").to_numpy())
+        near = [index.search(own, q, k) for own, q in zip(asked.column("id").to_pylist(), matrix(asked), strict=True)]
+        of = np.repeat(np.arange(len(near)), [len(n) for n in near])
+        found = [x for n in near for x in n]
+        query = asked.select(["id", "h1", "h2", "copies"]).combine_chunks().take(pa.array(of))
+        return pa.table([*query.columns, pa.array([i for _, i in found], pa.int64()), pa.array([d for d, _ in found], pa.float64())], schema=schema)
 
     rows = (vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), queries.alias("asked"))
             .where(usable(F.col("v")) & F.col("id").isNotNull())
-            .groupBy("id").agg(F.min("v").alias("v"), F.max("asked").alias("asked")).withColumn("dim", F.size("v")))
+            .groupBy("id", "v").agg(F.count("*").alias("copies"), F.max("asked").alias("asked"))
+            .withColumns({"dim": F.size("v"), "h1": F.xxhash64("v"), "h2": F.xxhash64(F.lit(2), "v")}))
     sizes = rows.agg(F.count("*").alias("n"), F.count_if("asked").alias("q")).first()
     blocks, groups = parts_for(sizes["n"], BLOCK_ROWS), parts_for(sizes["q"], BLOCK_QUERIES)
 
     def dealt(number: int, salt: int) -> Column:
-        return F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(number))
+        return F.pmod(F.xxhash64("id", "h1", F.lit(salt)), F.lit(number))
 
     def every(number: int) -> Column:
         return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(number - 1).cast("long")))
 
-    held = rows.select("dim", dealt(blocks, 1).alias("block"), every(groups).alias("group"), "id", "v")
-    asked = rows.where("asked").select("dim", every(blocks).alias("block"), dealt(groups, 2).alias("group"), "id", "v")
+    held = rows.select("dim", dealt(blocks, 1).alias("block"), every(groups).alias("group"), "id", "v", "copies")
+    asked = rows.where("asked").select("dim", every(blocks).alias("block"), dealt(groups, 2).alias("group"), "id", "v", "copies", "h1", "h2")
     found = held.groupBy("dim", "block", "group").cogroup(asked.groupBy("dim", "block", "group")).applyInArrow(
-        run, "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        run, "query_id long, h1 long, h2 long, times long, vec_id long, score double")
+    rank = F.row_number().over(Window.partitionBy("query_id", "h1", "h2").orderBy("score", "vec_id"))
+    best = found.withColumn("rank", rank).where(F.col("rank") <= k)
+    return best.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).select("query_id", "rank", "vec_id", "score")

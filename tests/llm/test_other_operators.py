@@ -62,11 +62,24 @@ def test_neighbours_of_odd_vectors(spark):
             (6, [inf, 1.0]), (7, [None, 1.0]), (None, [1.0, 0.0]), (8, [1.0, 0.0, 0.0]), (300, [5.0, 5.0, 5.0]), (9, [])]
     df = spark.createDataFrame([(i, v, 0, "b", "v") for i, v in rows], VECTORS)
     got = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in neighbours.nearest(df, F.col("vec_id") % 100 == 0, 3).collect())
-    assert got == [(100, 1, 1), (100, 2, 200), (100, 3, 2), (200, 1, 1), (200, 2, 100), (200, 3, 2), (300, 1, 8)]
+    assert got == [(100, 1, 1), (100, 2, 1), (100, 3, 200), (200, 1, 1), (200, 2, 1), (200, 3, 100), (300, 1, 8)]  # every row is a candidate
     assert neighbours.nearest(df.limit(0), F.lit(True)).collect() == []
     assert neighbours.nearest(df.where("vec_id = 100"), F.lit(True)).collect() == []
 
 
+def test_neighbours_of_rows_that_repeat_an_id(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 4)
+    rows = [(1, [1.1, 0.0]), (1, [9.0, 0.0]), (2, [2.0, 0.0]), (2, [2.0, 0.0]), (100, [1.0, 0.0]), (100, [1.0, 0.0]), (100, [8.0, 0.0]), (200, [3.0, 0.0])]
+    df = spark.createDataFrame([(i, v, 0, "b", "v") for i, v in rows], VECTORS)
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], round(r["score"], 4)) for r in neighbours.nearest(df, F.col("vec_id") % 100 == 0, 3).collect())
+    want = []
+    for n, (q, x) in enumerate(rows):
+        if q % 100 == 0:
+            near = sorted((round(abs(x[0] - y[0]), 4), i) for m, (i, y) in enumerate(rows) if m != n)[:3]
+            want += [(q, rank, i, d) for rank, (d, i) in enumerate(near, 1)]
+    assert got == sorted(want)
+
+
 def test_a_vector_that_is_a_third_of_all(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "BLOCK_ROWS", 50)
     draw = np.random.default_rng(5)
