@@ -1,4 +1,4 @@
-"""Licence scans: sparse TF-IDF cosine of lines to licence templates, and inheritance along directories.
+"""Licence scans: sparse TF-IDF cosine of headers, lines and licence files to templates, and inheritance along directories.
 
 Everything is a DataFrame or SQL expression; the template weights are literals of the query.
 """
@@ -6,15 +6,17 @@ Everything is a DataFrame or SQL expression; the template weights are literals o
 from __future__ import annotations
 
 import functools
+import json
 import math
 import operator
 import re
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The notices by which common licences announce themselves.
-TEMPLATES = (
+NOTICES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
@@ -27,8 +29,79 @@ TEMPLATES = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
+# Paragraphs of the short licences.
+MIT_TERMS = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+    "(the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, "
+    "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
+    "subject to the following conditions:")
+MIT_REST = (
+    "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
+    "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+    "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE "
+    "FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION "
+    "WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.")
+BSD_TERMS = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
+    "are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+    "disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+    "disclaimer in the documentation and/or other materials provided with the distribution.")
+BSD_REST = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT "
+    "LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE "
+    "COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
+    "(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+    "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) "
+    "ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+BSD_NAMES = (
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission.")
+# Headings of licence files and headers of source files.
+HEADERS = (
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the "
+     "License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the "
+     "License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or "
+     "agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS "
+     "OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
+    ("BSD-3-Clause", BSD_NAMES),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+     "published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+     "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+     "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("MIT", "The MIT License (MIT)"),
+    ("MIT", "Licensed under the MIT License."),
+    ("MIT", MIT_TERMS),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed "
+     "with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+)
+# Whole texts of the short licences.
+WHOLE_TEXTS = (
+    ("BSD-2-Clause", f"{BSD_TERMS} {BSD_REST}"),
+    ("BSD-3-Clause", f"{BSD_TERMS} 3. {BSD_NAMES} {BSD_REST}"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided "
+     "that the above copyright notice and this permission notice appear in all copies."),
+    ("MIT", f"MIT License {MIT_TERMS} {MIT_REST}"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+     "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or "
+     "non-commercial, and by any means."),
+)
+TEMPLATES = (*NOTICES, *HEADERS, *WHOLE_TEXTS, *(
+    (name, f"SPDX-License-Identifier: {name}") for name in sorted({name for name, _ in (*NOTICES, *HEADERS, *WHOLE_TEXTS)})))
+# Without one of these a passage is no notice, however near its other words come to a template.
+MARKS = ("licens", "licenc", "permission", "permitted", "public domain", "cc0", "free software")
 TOKEN = r"[\p{L}\p{N}]+(?:[.-][\p{L}\p{N}]+)*"
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|copyright|notice)[^/]*$"
+OTHER_WORD = 3.0
+MARGIN = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+\z"  # comment marks and blanks around a text
+GAP = r"\n(?:[^\p{L}\p{N}\n]*\n)+"  # one or more lines without letters or digits end a paragraph
 
 
 def tokens_of(notice: str) -> list[str]:
@@ -44,76 +117,69 @@ def directory(path: Column) -> Column:
     return F.regexp_replace(path, r"/?[^/]*$", "")
 
 
-def document_frequencies(files: DataFrame, templates=TEMPLATES, text_col: str = "text") -> tuple[int, dict[str, int]]:
-    """The number of texts, and of those that hold each word of the templates (as many numbers as there are words)."""
-    known = sorted({t for _, notice in templates for t in tokens_of(notice)})
-    held = F.array_intersect(tokens(F.col(text_col)), F.array(*map(F.lit, known)))
-    total = files.count()
-    counted = files.select(F.explode(held).alias("t")).groupBy("t").count().collect()
-    return total, dict.fromkeys(known, 0) | {r["t"]: r["count"] for r in counted}
+def weighted(templates) -> tuple[list[str], dict[str, float], dict[str, list[float]]]:
+    """Names of the templates in order, the weight of each of their words, and what one such word adds to each cosine.
 
+    A word in n of T templates weighs ``ln((1 + T) / (1 + n)) + 1``; any other word weighs ``OTHER_WORD``. The
+    weights hang on the templates alone, so what is found in a text does not hang on the table it stands in.
+    """
+    bags = [(name, Counter(tokens_of(text))) for name, text in sorted(templates)]
+    held = Counter(t for _, bag in bags for t in bag)
+    idf = {t: math.log((1 + len(bags)) / (1 + n)) + 1 for t, n in sorted(held.items())}
+    norms = [math.sqrt(sum((n * idf[t])**2 for t, n in bag.items())) for _, bag in bags]
+    adds = {t: [bag[t] * w**2 / norm for (_, bag), norm in zip(bags, norms)] for t, w in idf.items()}
+    return [name for name, _ in bags], idf, adds
 
-def telling(notice: str, idf: dict[str, float], least: float) -> list[str]:
-    """Words of a notice of which a line must hold one at least to reach the cosine: without them the rest is too light."""
-    words = tokens_of(notice)
-    square = {t: (words.count(t) * idf[t])**2 for t in words}
-    rest, chosen = sum(square.values()), []
-    for t in sorted(square, key=lambda t: (-square[t], t)):
-        if rest < least**2 * sum(square.values()) * 0.999:
-            break
-        chosen.append(t)
-        rest -= square[t]
-    return chosen
 
+def marked(text: Column) -> Column:
+    """Whether a text holds one of the marks; within the function it is lowered once."""
+    any_of = lambda low: functools.reduce(operator.or_, (low.contains(m) for m in MARKS))
+    return F.exists(F.array(F.lower(text)), any_of)
 
-def matches(files: DataFrame, templates=TEMPLATES, least: float = 0.75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_notices, licence, score, line): for each text with such lines, the best of its lines near a template.
 
-    A line is a vector over the words of the templates, weighted by their frequency in it and by
-    ``ln((1 + N) / (1 + n)) + 1`` for a word in n of N texts; each other word is a dimension of its own with the
-    weight of an unseen word. Every line of every text is compared with every template. Ties go to the
-    first template by name and the first line.
+def passages(files: DataFrame, whole: Column, id_col: str, text_col: str) -> DataFrame:
+    """(id, at, place, text): the marked paragraphs of each text and their lines, and for a licence file its whole text.
+
+    ``at`` numbers the paragraphs from 0 (-1 for a whole file); ``place`` is header for the first, footer for the last of several, body, or file.
+    """
+    texts = files.where(marked(F.col(text_col))).select(
+        F.col(id_col).alias("id"), F.coalesce(whole, F.lit(False)).alias("whole"), F.regexp_replace(text_col, MARGIN, "").alias("text"))
+    texts = texts.withColumn("paragraphs", F.split("text", GAP))
+    last = F.size("paragraphs") - 1
+    parts = F.transform("paragraphs", lambda p, i: F.struct(
+        i.alias("at"), F.when(i == 0, "header").when(i == last, "footer").otherwise("body").alias("place"), p.alias("text")))
+    file = F.struct(F.lit(-1).alias("at"), F.lit("file").alias("place"), F.col("text").alias("text"))
+    parts = F.when(F.col("whole"), F.concat(F.array(file), parts)).otherwise(parts)
+    parts = texts.select("id", F.explode(parts).alias("p")).select("id", "p.at", "p.place", "p.text").where(marked(F.col("text")))
+    lines = F.when(F.col("place") == "file", F.array("text")).otherwise(F.array_distinct(F.concat(F.array("text"), F.split("text", "\n"))))
+    return parts.select("id", "at", "place", F.explode(lines).alias("text")).where(marked(F.col("text")))
+
+
+def matches(files: DataFrame, whole: Column, templates=TEMPLATES, least: float = 0.75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_notices, licence, score, place): for each text with passages near a template, the best of them.
+
+    A passage is a vector of word counts times weights (``weighted``); every passage is compared with every template.
+    ``n_notices`` counts paragraphs with such a passage, and the whole of a licence file (``whole``) as one more. A whole
+    file goes before its passages, then the best score, the first paragraph and the first template by name.
     """
-    total, seen = document_frequencies(files, templates, text_col)
-    idf = {t: math.log((1 + total) / (1 + n)) + 1 for t, n in seen.items()}
-    other = math.log(1 + total) + 1
-    weights = F.create_map(*(F.lit(x) for pair in idf.items() for x in pair))
-    known = F.map_keys(weights)
-    needed = sorted({t for _, notice in templates for t in telling(notice, idf, least)})
-
-    def near(text: Column) -> Column:  # within the function the text is lowered once
-        any_of = lambda low: functools.reduce(operator.or_, (low.contains(t) for t in needed))
-        return F.exists(F.array(F.lower(text)), any_of)
-
-    lines = files.where(near(F.col(text_col))).select(F.col(id_col).alias("id"), F.posexplode(F.split(text_col, "\n")).alias("line", "text"))
-    lines = lines.where(near(F.col("text"))).select(
-        "id", "line", tokens(F.col("text")).alias("words")).select(
-        "id", "line", F.size("words").alias("n"), F.filter("words", lambda w: F.array_contains(known, w)).alias("own"))
-    # A line can reach the cosine only if its known words outweigh the others; the largest weight bounds them.
-    others, most = (F.col("n") - F.size("own")) * other**2, F.pow(F.size("own") * max(idf.values(), default=0.0), F.lit(2))
-    lines = lines.where((F.size("own") > 0) & (others <= most * (1 / least**2 - 1)))
-
-    def squares(words: Column) -> Column:
-        count = lambda t: F.size(F.filter(words, lambda w: w == t))
-        return F.aggregate(F.array_distinct(words), F.lit(0.0), lambda s, t: s + F.pow(count(t) * weights[t], F.lit(2)))
-
-    def summed(dot: Column) -> Column:
-        return F.aggregate("own", F.lit(0.0), lambda s, t: s + F.coalesce(dot[t], F.lit(0.0)))
-
-    lines = lines.withColumn("norm", F.sqrt(squares(F.col("own")) + others))
-    scored = []
-    for name, notice in sorted(templates):
-        words = tokens_of(notice)
-        norm = math.sqrt(sum((words.count(t) * idf[t])**2 for t in set(words)))
-        dot = F.create_map(*(F.lit(x) for t in dict.fromkeys(words) for x in (t, words.count(t) * idf[t] * idf[t])))
-        scored.append(F.struct((summed(dot) / (F.col("norm") * norm)).alias("score"), F.lit(name).alias("licence")))
-    best = F.array(*scored)
-    best = F.aggregate(best, best[0], lambda a, b: F.when(b["score"] > a["score"], b).otherwise(a))
-    hits = lines.withColumn("best", best).where(F.col("best.score") >= least).select(
-        "id", "line", F.round("best.score", 4).alias("score"), "best.licence")
-    first = F.max_by(F.struct("licence", "score", "line"), F.struct("score", -F.col("line")))
-    return hits.groupBy("id").agg(F.count("*").alias("n_notices"), first.alias("b")).select(
-        F.col("id").alias(id_col), "n_notices", "b.licence", "b.score", "b.line")
+    names, idf, adds = weighted(templates)
+    weights = F.from_json(F.lit(json.dumps(idf)), "map<string,double>")
+    columns = F.from_json(F.lit(json.dumps(adds)), "map<string,array<double>>")
+    found = passages(files, whole, id_col, text_col).withColumn("words", tokens(F.col("text"))).select(
+        "id", "at", "place", F.size("words").alias("n"), F.filter("words", lambda w: weights[w].isNotNull()).alias("own"))
+    # The cosine can be reached only if the known words outweigh the others; the largest weight bounds them.
+    others, most = (F.col("n") - F.size("own")) * OTHER_WORD**2, F.pow(F.size("own") * max(idf.values()), F.lit(2))
+    found = found.where((F.size("own") > 0) & (others <= most * (1 / least**2 - 1)))
+    count = lambda t: F.size(F.filter("own", lambda w: w == t))
+    square = F.aggregate(F.array_distinct("own"), F.lit(0.0), lambda s, t: s + F.pow(count(t) * weights[t], F.lit(2)))
+    dots = F.aggregate("own", F.array_repeat(F.lit(0.0), len(names)), lambda s, t: F.zip_with(s, columns[t], lambda a, b: a + b))
+    found = found.select("id", "at", "place", F.sqrt(square + others).alias("norm"), dots.alias("dots"))
+    scores = F.zip_with("dots", F.array(*map(F.lit, names)), lambda d, name: F.struct((-F.round(d / F.col("norm"), 4)).alias("rank"), name.alias("licence")))
+    found = found.select("id", "at", "place", F.array_min(scores).alias("b")).where(F.col("b.rank") <= -least)
+    found = found.groupBy("id", "at", "place").agg(F.min("b").alias("b"))
+    first = F.min(F.struct((F.col("place") != "file").alias("later"), "b.rank", "at", "b.licence", "place"))
+    return found.groupBy("id").agg(F.count("*").alias("n_notices"), first.alias("b")).select(
+        F.col("id").alias(id_col), "n_notices", "b.licence", (-F.col("b.rank")).alias("score"), "b.place")
 
 
 def scan(files: DataFrame, path: Column, licence_file: Column | None = None, templates=TEMPLATES, least: float = 0.75,
@@ -123,16 +189,17 @@ def scan(files: DataFrame, path: Column, licence_file: Column | None = None, tem
     ``licence`` is the row's own notice (``origin`` is its own path) or else that of the licence file in the
     nearest directory at or above it (``origin`` is that file's path), else null. ``licence_file`` says which
     rows with a notice speak for their directory, by file name unless given; it may use the columns of
-    ``files`` and ``n_notices``, ``score`` and ``line``. Of several in one directory the best score counts,
+    ``files`` and ``n_notices``, ``score`` and ``place``. Of several in one directory the best score counts,
     then the smallest path.
 
     Null and empty texts have no notice; a row with a null path inherits nothing; rows with a null id have
-    no notice of their own; rows that repeat an id share its notice. Empty tables give no rows.
+    no notice of their own; rows that repeat an id share its notice. A very long text is taken whole, paragraph by
+    paragraph; further columns are left out, whatever their names. Empty tables give no rows.
     """
     here = files.withColumn("_path", path)
     by_name = F.col("_path").rlike(LICENCE_FILE)
-    found = matches(files, templates, least, id_col, text_col).checkpoint()  # a row for each text with a notice; read three times
-    own = here.drop(*{"n_notices", "score", "licence", "line"} & set(files.columns)).join(found, id_col, "left").select(
+    found = matches(here, F.col("_path").rlike(LICENCE_FILE), templates, least, id_col, text_col).checkpoint()  # a row for each text with a notice; read three times
+    own = here.drop(*{"n_notices", "score", "licence", "place"} & set(files.columns)).join(found, id_col, "left").select(
         F.col(id_col).alias("id"), F.col("_path").alias("path"), directory(F.col("_path")).alias("dir"), "n_notices", "score", "licence",
         F.coalesce(by_name if licence_file is None else licence_file, F.lit(False)).alias("speaks"))
     placed = own.where("speaks AND licence IS NOT NULL AND path IS NOT NULL").groupBy("dir").agg(

@@ -32,42 +32,43 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A document that opens with a notice speaks for its directory, of which there is one for each source, language and 1,000 ids."""
+    """A document with a notice in its first or last paragraph speaks for its directory, one for each source, language and 1,000 ids."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
     path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 1000).cast("string"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
-    return licenses.scan(docs, path, licence_file=F.col("line") == 0)
+    return licenses.scan(docs, path, licence_file=F.col("place").isin("header", "footer"))
 
 
 OP6_SQL = """
-WITH templates(licence, notice) AS (VALUES {templates}),
-tw AS (SELECT licence, t, count(*) AS tf FROM (SELECT licence, unnest(regexp_extract_all(lower(notice), '{token}')) AS t FROM templates) GROUP BY ALL),
+WITH templates(k, licence, body) AS (VALUES {templates}),
+tw AS (SELECT k, licence, t, count(*) AS tf FROM (SELECT k, licence, unnest(regexp_extract_all(lower(body), '{token}')) AS t FROM templates) GROUP BY ALL),
+idf AS (SELECT t, ln((1 + (SELECT count(*) FROM templates)) / (1.0 + count(DISTINCT k))) + 1 AS w FROM tw GROUP BY t),
+tnorms AS (SELECT k, sqrt(sum((tf * w) ** 2)) AS norm FROM tw JOIN idf USING (t) GROUP BY k),
 docs AS (SELECT doc_id, concat_ws('/', source, lang, doc_id // 1000, doc_id || '.txt') AS path,
                 concat_ws('/', source, lang, doc_id // 1000) AS dir, text FROM documents),
-total AS (SELECT count(*) AS n FROM docs),
-lines AS (SELECT doc_id, generate_subscripts(l, 1) - 1 AS line, unnest(l) AS text FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM docs)),
-words AS (SELECT doc_id, line, unnest(regexp_extract_all(lower(text), '{token}')) AS t FROM lines),
-counts AS (SELECT doc_id, line, t, count(*) AS tf FROM words GROUP BY ALL),
-df AS (SELECT t, count(DISTINCT doc_id) AS n FROM counts WHERE t IN (SELECT t FROM tw) GROUP BY t),
-idf AS (SELECT t, ln((1 + total.n) / (1.0 + coalesce(df.n, 0))) + 1 AS w FROM (SELECT DISTINCT t FROM tw) LEFT JOIN df USING (t), total),
-norms AS (SELECT doc_id, line, sqrt(sum(CASE WHEN idf.w IS NULL THEN tf * (ln(1 + total.n) + 1) ** 2 ELSE (tf * idf.w) ** 2 END)) AS norm
-          FROM counts LEFT JOIN idf USING (t), total GROUP BY doc_id, line),
-tnorms AS (SELECT licence, sqrt(sum((tf * w) ** 2)) AS norm FROM tw JOIN idf USING (t) GROUP BY licence),
-cosines AS (SELECT doc_id, line, licence, sum(c.tf * tw.tf * w * w) / (any_value(n.norm) * any_value(tn.norm)) AS score
-            FROM counts c JOIN tw USING (t) JOIN idf USING (t) JOIN norms n USING (doc_id, line) JOIN tnorms tn USING (licence)
-            GROUP BY doc_id, line, licence),
-best AS (SELECT doc_id, line, licence, round(score, 4) AS score FROM cosines WHERE score >= 0.75
-         QUALIFY row_number() OVER (PARTITION BY doc_id, line ORDER BY cosines.score DESC, licence) = 1),
-own AS (SELECT doc_id, count(*) OVER (PARTITION BY doc_id) AS n_notices, licence, score, line FROM best
-        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, line) = 1),
-files AS (SELECT docs.doc_id, path, dir, n_notices, licence, score, line FROM docs LEFT JOIN own USING (doc_id)),
-speakers AS (SELECT dir AS up, path AS file, licence AS inherited FROM files WHERE line = 0
+paragraphs AS (SELECT doc_id, generate_subscripts(l, 1) - 1 AS pos, len(l) - 1 AS final, unnest(l) AS u FROM (
+    SELECT doc_id, string_split_regex(regexp_replace(text, '{margin}', '', 'g'), '{gap}') AS l FROM docs)),
+passages AS (SELECT * FROM paragraphs UNION SELECT doc_id, pos, final, unnest(string_split(u, chr(10))) FROM paragraphs),
+held AS (SELECT * FROM passages WHERE {marks}),
+counts AS (SELECT doc_id, pos, final, u, t, count(*) AS tf FROM (
+    SELECT *, unnest(regexp_extract_all(lower(u), '{token}')) AS t FROM held) GROUP BY ALL),
+norms AS (SELECT doc_id, pos, u, sqrt(sum(CASE WHEN w IS NULL THEN tf * {other} ** 2 ELSE (tf * w) ** 2 END)) AS norm FROM counts LEFT JOIN idf USING (t) GROUP BY ALL),
+cosines AS (SELECT doc_id, pos, final, licence, round(sum(c.tf * tw.tf * w * w) / (any_value(n.norm) * any_value(tn.norm)), 4) AS score
+            FROM counts c JOIN tw USING (t) JOIN idf USING (t) JOIN norms n USING (doc_id, pos, u) JOIN tnorms tn USING (k)
+            GROUP BY doc_id, pos, final, u, k, licence),
+best AS (SELECT doc_id, pos, final, licence, score FROM cosines WHERE score >= 0.75
+         QUALIFY row_number() OVER (PARTITION BY doc_id, pos ORDER BY score DESC, licence) = 1),
+own AS (SELECT doc_id, count(*) OVER (PARTITION BY doc_id) AS n_notices, licence, score, pos = 0 OR pos = final AS speaks FROM best
+        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, pos) = 1),
+files AS (SELECT docs.doc_id, path, dir, n_notices, licence, score, speaks FROM docs LEFT JOIN own USING (doc_id)),
+speakers AS (SELECT dir AS up, path AS file, licence AS inherited FROM files WHERE speaks
              QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, path) = 1),
 nearest AS (SELECT dir, file, inherited FROM (SELECT DISTINCT dir FROM docs) JOIN speakers ON dir = up OR up = '' OR starts_with(dir, up || '/')
             QUALIFY row_number() OVER (PARTITION BY dir ORDER BY length(up) DESC) = 1)
 SELECT doc_id, path, coalesce(n_notices, 0) AS n_notices, score, coalesce(licence, inherited) AS licence,
        CASE WHEN licence IS NOT NULL THEN path ELSE file END AS origin
 FROM files LEFT JOIN nearest USING (dir)
-""".format(token=licenses.TOKEN, templates=", ".join(f"('{n}', '{t}')" for n, t in licenses.TEMPLATES))
+""".format(token=licenses.TOKEN, other=licenses.OTHER_WORD, margin=licenses.MARGIN, gap=licenses.GAP, marks=" OR ".join(f"contains(lower(u), '{m}')" for m in licenses.MARKS),
+           templates=", ".join(f"({k}, '{n}', '{t}')" for k, (n, t) in enumerate(licenses.TEMPLATES)))
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -111,6 +111,55 @@ def test_licence_of_the_nearest_directory(spark):
     assert licenses.scan(files.limit(0), F.col("path")).collect() == []
 
 
+MIT_FILE = """MIT License
+
+Copyright (c) 2024 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND.
+"""
+APACHE_HEADER = """#!/bin/sh
+#
+# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+echo done
+"""
+
+
+def test_licence_files_headers_and_tags(spark):
+    rows = [("m/LICENSE", MIT_FILE), ("m/a.py", "x = 1"), ("p/run.sh", APACHE_HEADER), ("q/a.c", "// SPDX-License-Identifier: GPL-2.0\nint x;"),
+            ("r/readme", "This project is released under the MIT License."), ("r/b", "This file is licensed under the Apache License, Version 2.0.\n" + "word " * 30000),
+            ("s/LICENSE", f"{licenses.BSD_TERMS}\n\n{licenses.BSD_REST}"), ("s/t/LICENSE", f"{licenses.BSD_TERMS}\n3. {licenses.BSD_NAMES}\n\n{licenses.BSD_REST}"),
+            ("r/c", "You need a license to drive.\nNo permission is given here."), ("r/d", "word " * 30000 + "\n \n* Licensed under the MIT License.\n\nend")]
+    files = spark.createDataFrame([(i, p, t) for i, (p, t) in enumerate(rows)], "doc_id long, path string, text string")
+    got = {r["doc_id"]: r for r in licenses.scan(files, F.col("path")).collect()}
+    assert [got[i]["licence"] for i in range(10)] == ["MIT", "MIT", "Apache-2.0", "GPL-2.0", "MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", None, "MIT"]
+    assert got[1]["origin"] == "m/LICENSE" and got[0]["n_notices"] == 3  # heading, terms, whole file
+    # the same answers among many more texts
+    many = files.union(spark.range(10, 400).selectExpr("id", "'z/' || id", "'This license is the license of version ' || id"))
+    assert {r["doc_id"]: r for r in licenses.scan(many, F.col("path")).collect() if r["doc_id"] < 10} == got
+
+
+def test_documents_speak_from_header_and_footer(spark, small):
+    rows = queries.op6_licenses(spark, small).collect()
+    own = {r["path"]: r["licence"] for r in rows if r["origin"] == r["path"] and r["origin"] is not None}
+    heirs = [r for r in rows if r["origin"] not in (None, r["path"])]
+    assert own and heirs and all(r["licence"] == own[r["origin"]] and r["n_notices"] == 0 for r in heirs)
+
+
 def test_licence_scan_is_native(spark, small):
     plan = queries.op6_licenses(spark, small)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
