@@ -6,7 +6,6 @@ Everything is a DataFrame or SQL expression; the template weights are literals o
 from __future__ import annotations
 
 import functools
-import json
 import math
 import operator
 import re
@@ -117,18 +116,17 @@ def directory(path: Column) -> Column:
     return F.regexp_replace(path, r"/?[^/]*$", "")
 
 
-def weighted(templates) -> tuple[list[str], dict[str, float], dict[str, list[float]]]:
-    """Names of the templates in order, the weight of each of their words, and what one such word adds to each cosine.
+def weighted(templates) -> tuple[dict[str, float], list[tuple[str, int, str, float]]]:
+    """The weight of each word of the templates; and (word, template, licence, what one such word adds to the cosine).
 
     A word in n of T templates weighs ``ln((1 + T) / (1 + n)) + 1``; any other word weighs ``OTHER_WORD``. The
     weights hang on the templates alone, so what is found in a text does not hang on the table it stands in.
     """
-    bags = [(name, Counter(tokens_of(text))) for name, text in sorted(templates)]
+    bags = [(name, Counter(tokens_of(text))) for name, text in templates]
     held = Counter(t for _, bag in bags for t in bag)
     idf = {t: math.log((1 + len(bags)) / (1 + n)) + 1 for t, n in sorted(held.items())}
     norms = [math.sqrt(sum((n * idf[t])**2 for t, n in bag.items())) for _, bag in bags]
-    adds = {t: [bag[t] * w**2 / norm for (_, bag), norm in zip(bags, norms)] for t, w in idf.items()}
-    return [name for name, _ in bags], idf, adds
+    return idf, [(t, k, name, n * idf[t]**2 / norms[k]) for k, (name, bag) in enumerate(bags) for t, n in bag.items()]
 
 
 def marked(text: Column) -> Column:
@@ -162,20 +160,24 @@ def matches(files: DataFrame, whole: Column, templates=TEMPLATES, least: float =
     ``n_notices`` counts paragraphs with such a passage, and the whole of a licence file (``whole``) as one more. A whole
     file goes before its passages, then the best score, the first paragraph and the first template by name.
     """
-    names, idf, adds = weighted(templates)
-    weights = F.from_json(F.lit(json.dumps(idf)), "map<string,double>")
-    columns = F.from_json(F.lit(json.dumps(adds)), "map<string,array<double>>")
+    idf, adds = weighted(templates)
+    values = ", ".join(f"('{t}', {k}, '{name}', {add!r}D)" for t, k, name, add in adds)
+    shares = files.sparkSession.sql(f"SELECT * FROM VALUES {values} AS (t, k, licence, adds)")  # a row for each word of each template
+    weights, known = F.create_map(*(F.lit(x) for pair in idf.items() for x in pair)), F.array(*map(F.lit, idf))
     found = passages(files, whole, id_col, text_col).withColumn("words", tokens(F.col("text"))).select(
-        "id", "at", "place", F.size("words").alias("n"), F.filter("words", lambda w: weights[w].isNotNull()).alias("own"))
+        "id", "at", "place", F.size("words").alias("n"), F.filter("words", lambda w: F.array_contains(known, w)).alias("own"))
     # The cosine can be reached only if the known words outweigh the others; the largest weight bounds them.
     others, most = (F.col("n") - F.size("own")) * OTHER_WORD**2, F.pow(F.size("own") * max(idf.values()), F.lit(2))
     found = found.where((F.size("own") > 0) & (others <= most * (1 / least**2 - 1)))
     count = lambda t: F.size(F.filter("own", lambda w: w == t))
-    square = F.aggregate(F.array_distinct("own"), F.lit(0.0), lambda s, t: s + F.pow(count(t) * weights[t], F.lit(2)))
-    dots = F.aggregate("own", F.array_repeat(F.lit(0.0), len(names)), lambda s, t: F.zip_with(s, columns[t], lambda a, b: a + b))
-    found = found.select("id", "at", "place", F.sqrt(square + others).alias("norm"), dots.alias("dots"))
-    scores = F.zip_with("dots", F.array(*map(F.lit, names)), lambda d, name: F.struct((-F.round(d / F.col("norm"), 4)).alias("rank"), name.alias("licence")))
-    found = found.select("id", "at", "place", F.array_min(scores).alias("b")).where(F.col("b.rank") <= -least)
+    found = found.select("id", "at", "place", others.alias("others"), F.transform(
+        F.array_distinct("own"), lambda t: F.struct(t.alias("t"), count(t).alias("n"))).alias("bag"))
+    square = F.aggregate("bag", F.lit(0.0), lambda s, b: s + F.pow(b["n"] * weights[b["t"]], F.lit(2)))
+    found = found.select(F.monotonically_increasing_id().alias("passage"), "id", "at", "place", F.sqrt(square + F.col("others")).alias("norm"), "bag")
+    found = found.select("passage", "id", "at", "place", "norm", F.inline("bag")).join(F.broadcast(shares), "t")
+    found = found.groupBy("passage", "id", "at", "place", "norm", "k", "licence").agg(F.sum(F.col("n") * F.col("adds")).alias("dot"))
+    found = found.select("id", "at", "place", F.struct((-F.round(F.col("dot") / F.col("norm"), 4)).alias("rank"), "licence").alias("b"))
+    found = found.where(F.col("b.rank") <= -least)
     found = found.groupBy("id", "at", "place").agg(F.min("b").alias("b"))
     first = F.min(F.struct((F.col("place") != "file").alias("later"), "b.rank", "at", "b.licence", "place"))
     return found.groupBy("id").agg(F.count("*").alias("n_notices"), first.alias("b")).select(
