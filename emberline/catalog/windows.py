@@ -181,12 +181,8 @@ def first_crossing(spark, sf):
     seconds = chunks.choose_chunk(r, [], "ts") or 21600
     r = chunks.previous(r, [], ("ts", "tie"), {"ts": "_before"}, seconds)
     w_us = F.col("watts").cast("decimal(14,2)") * micros_between(F.col("_before"), F.col("ts"))
-    r = chunks.running_sum(r, [], ("ts", "tie"), w_us, "total", seconds)
-    kwh = F.col("total").cast("double") / 3.6e12
-    limits = (1.0, 10.0, 20.0, 99999.0)
-    found = r.agg(*[F.min(F.when(kwh > x, F.col("ts"))).alias(f"c{i}") for i, x in enumerate(limits)])
-    pairs = ", ".join(f"{x}D, c{i}" for i, x in enumerate(limits))
-    return found.selectExpr(f"stack({len(limits)}, {pairs}) AS (limit_kwh, crossed)")
+    return chunks.first_crossing(r, [], ("ts", "tie"), w_us, (1, 10, 20, 99999), seconds, lambda total: total.cast("double") / 3.6e12).select(
+        F.col("limit").alias("limit_kwh"), "crossed")
 
 
 @query("topk_recent", f"WITH {event_hours()} SELECT sum_date, hour, rc / 100e0 AS runtime FROM hh ORDER BY sum_date DESC, hour DESC LIMIT 24")

@@ -11,7 +11,7 @@ scan would add to it is null. Rows without a time come before all others of thei
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -188,6 +188,31 @@ def running_sum(
     return _done(out.withColumn(name, of_series(keys, both)).drop("_x", "_s", "_off"), df)
 
 
+def first_crossing(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], col: Column, limits: Sequence[float], seconds: int,
+    measure: Callable[[Column], Column] = lambda total: total,
+) -> DataFrame:
+    """(keys.., limit, crossed): where in ``order`` the running total of ``col`` first exceeds each limit, else null.
+
+    ``measure`` turns a total into the unit of the limits and must not fall as totals rise. Sums of chunks tell which chunks
+    may hold a crossing, and only their rows are ordered: one chunk for each limit if no value is negative, otherwise also
+    those before it that rise above the limit within. Rows without a device cross nothing; without rows there is no result.
+    """
+    rows = with_chunk(df.withColumn("_x", col), order[0], seconds)
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    parts = rows.groupBy(*keys, CHUNK).agg(zero(F.sum("_x")).alias("_sum"), zero(F.sum(F.when(F.col("_x") > 0, F.col("_x")))).alias("_rise"))
+    parts = over_chunks(parts, keys, {"_off": ("sum", "_sum")}, seconds).withColumn("_off", zero(F.col("_off")))
+    parts = parts.withColumn("limit", F.explode(F.array(*(F.lit(float(x)) for x in limits))))
+    above = lambda c: measure(F.col("_off") + F.col(c)) > F.col("limit")
+    ends = parts.groupBy(*keys, "limit").agg(F.min(F.when(above("_sum"), F.col(CHUNK))).alias("_at"))
+    near = parts.where(above("_rise")).join(ends, [*keys, "limit"]).where(F.col("_at").isNull() | (F.col(CHUNK) <= F.col("_at")))
+    near = rows.select(*keys, CHUNK, *order, "_x").join(near.select(*keys, CHUNK, "limit", "_off"), [*keys, CHUNK])
+    here = up_to_here(ordered([*keys, CHUNK, "limit"], order))
+    near = near.withColumn("_sum", zero(F.sum("_x").over(here))).where(above("_sum"))
+    crossed = near.groupBy(*keys, "limit").agg(F.min(order[0]).alias("crossed"))
+    return ends.drop("_at").join(crossed, [*keys, "limit"], "left")
+
+
 def previous(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: dict[str, str],
     seconds: int | None = None,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberline.functions.energy import GALLONS_PER_HOUR, TANK_GALLONS
@@ -18,19 +18,19 @@ def burned(minutes: Column) -> Column:
     return minutes.cast("double") / 60 * GALLONS_PER_HOUR
 
 
-def last_fill(deliveries: DataFrame) -> DataFrame:
-    """Newest full fill; one row, null without any."""
-    return deliveries.where("fill").agg(F.max("delivery_date").alias("filled"))
-
-
 def remaining_gallons(deliveries: DataFrame, hourly: DataFrame, tank: float = TANK_GALLONS) -> DataFrame:
-    """Full tank at the last fill, plus later deliveries, less usage from the fill date on."""
-    filled = last_fill(deliveries)
-    added = deliveries.where(F.col("delivery_date") > filled.scalar()).agg(
-        F.coalesce(F.sum("gallons").cast("double"), F.lit(0.0)).alias("added"))
-    used = hourly.where(F.col("sum_date") >= filled.scalar()).agg(
-        F.coalesce(F.round(burned(F.sum("runtime")), 2), F.lit(0.0)).alias("used"))
-    return used.select((F.lit(tank) + added.scalar() - F.col("used")).alias("remaining_gallons"))
+    """Full tank at the last fill, plus later deliveries, less usage from the fill date on; a full tank without any fill.
+
+    Both tables are read once and summed by day; the window is over days.
+    """
+    date = F.col("delivery_date").cast("date")
+    days = deliveries.select(date.alias("date"), "gallons", F.when(F.col("fill"), date).alias("filled")).unionByName(
+        hourly.select(F.col("sum_date").cast("date").alias("date"), "runtime"), allowMissingColumns=True)
+    days = days.groupBy("date").agg(F.sum("gallons").alias("gallons"), F.sum("runtime").alias("runtime"), F.max("filled").alias("filled"))
+    days = days.withColumn("filled", F.max("filled").over(Window.partitionBy()))
+    added = F.sum(F.when(F.col("date") > F.col("filled"), F.col("gallons"))).cast("double")
+    used = F.round(burned(F.sum(F.when(F.col("date") >= F.col("filled"), F.col("runtime")))), 2)
+    return days.agg((F.lit(tank) + F.coalesce(added, F.lit(0.0)) - F.coalesce(used, F.lit(0.0))).alias("remaining_gallons"))
 
 
 def balance(predicted: DataFrame, remaining: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """What chunks of a series hand on to each other, in one level and in two."""
 
 import random
+from datetime import datetime, timedelta
 
 import frames
 import pytest
@@ -75,3 +76,26 @@ def test_the_carry_over_chunks(spark):
                               "s": F.sum("v").over(chunks.before_here(w))})
     got = chunks.over_chunks(parts, ["key"], {"l": ("last", "v"), "n": ("next", "v"), "s": ("sum", "v")}, 1)
     assert _rows(got) == _rows(want)
+
+
+def test_first_crossing_orders_one_chunk_and_holds_for_falling_totals(spark):
+    draw = random.Random(9)
+    for least in (0, -9):
+        rows = [(k, datetime(2024, 1, 1) + timedelta(seconds=draw.randint(0, 9000)), i, draw.randint(least, 9)) for k in "ab" for i in range(300)]
+        df = spark.createDataFrame(rows, "key string, ts timestamp_ntz, tie int, x int")
+        limits, expected = (0, 5, 40, 10**6), {}
+        for keys in ([], ["key"]):
+            expected = {(*([k] if keys else []), float(x)): None for k in "ab" for x in limits}
+            for k in ("ab" if keys else [None]):
+                total = 0
+                for r in sorted((r for r in rows if k in (None, r[0])), key=lambda r: (r[1], r[0] if not keys else "", r[2])):
+                    total += r[3]
+                    for x in limits:
+                        at = (*([k] if keys else []), float(x))
+                        if total > x and expected[at] is None:
+                            expected[at] = r[1]
+            order = ("ts", "tie") if keys else ("ts", "key", "tie")
+            for seconds in (60, 86400):
+                got = chunks.first_crossing(df, keys, order, F.col("x"), limits, seconds).collect()
+                assert {tuple(r)[:-1]: r["crossed"] for r in got} == expected
+    assert chunks.first_crossing(df.limit(0), [], ("ts", "tie"), F.col("x"), limits, 60).collect() == []
