@@ -142,15 +142,15 @@ def overlaps(docs: DataFrame, items: DataFrame, window: int = 10, text_col: str
 
     With ``cut``, ``text`` is the text without its spans of more than ``cut`` words.
 
-    Items are read in blocks of about ``BLOCK_BYTES``, each held as one automaton by every task; as long as
-    one block holds them all the documents are read once and nothing is shuffled, otherwise the spans found
-    so far are written to the shared folder between blocks. Words are runs of ASCII letters (A-Z lowered),
+    Items that repeat an id with its text count once. Items are read in blocks of about ``BLOCK_BYTES``, each held
+    as one automaton by every task; as long as one block holds them all the documents are read once and not
+    shuffled, otherwise the spans found so far are written to the shared folder between blocks. Words are runs of ASCII letters (A-Z lowered),
     digits and non-ASCII characters. Null or empty texts have no words; an item without words never matches,
     one with a null id matches without being listed. Repeated documents and items, empty tables and extra
     columns of any name are fine.
     """
     spark = docs.sparkSession
-    tests = items.select(F.col(item_id).cast("string").alias("id"), text_bytes(item_text).alias("text"))
+    tests = items.select(F.col(item_id).cast("string").alias("id"), text_bytes(item_text).alias("text")).where(F.length("text") > 0).distinct()
     blocks = parts_for(tests.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0], BLOCK_BYTES)
     rows = docs.select(F.struct("*").alias("row"), text_bytes(text_col).alias("_text"), F.lit(None).cast("string").alias("text"), F.lit(0).cast("long").alias("n_words"),
                        F.array().cast("array<struct<a:int,b:int>>").alias("spans"), F.array().cast("array<string>").alias("items"))

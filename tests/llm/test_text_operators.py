@@ -149,6 +149,16 @@ def test_decontamination(spark, docs):
     assert sum(w[5] for w in want) > 5
 
 
+def test_repeated_items_stay_in_one_block(spark, docs, monkeypatch):
+    read = []
+    parts_for = contamination.parts_for
+    monkeypatch.setattr(contamination, "parts_for", lambda size, most: read.append(size) or parts_for(size, most))
+    items = spark.createDataFrame([("a", "seven words of a test item here"), (None, "two words"), ("n", None), ("e", "")], "item_id string, text string")
+    many = items.crossJoin(spark.range(50)).drop("id")
+    first, second = (collected(contamination.report(docs, i), "doc_id", "n_hit", "items_sha256") for i in (items, many))
+    assert first == second and read == [40, 40]
+
+
 def test_decontamination_in_blocks_and_cutting(spark, docs, monkeypatch):
     items = docs.where("doc_id in (104, 108, 112)").select(F.col("doc_id").cast("string").alias("item_id"), "text")
     whole = collected(contamination.report(docs, items), "doc_id", "n_hit", "items_sha256")
