@@ -79,3 +79,13 @@ def test_results_do_not_depend_on_broadcast(spark, small, name, no_broadcast):
 
     got = oracle.spark_rows(QUERIES[name](spark, small))
     assert oracle.difference(got, oracle.duck_rows(oracle.connect(small), entry.oracle_sql()[name])) is None
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n.startswith("rpt_close_") and n.endswith("_by_device")))
+def test_close_outs_by_device_shuffle_only_periods_with_readings(spark, small, no_broadcast, name):
+    """Empty periods and slots without a period are made by device and stay there: no exchange lies above them."""
+    plan = physical(QUERIES[name](spark, small))
+    above = re.split(r"Exchange hashpartitioning\([^\n]*key#", plan)[0]
+    assert "explode(sequence(" in above and "Join" not in above
+    assert name == "rpt_close_hour_sums_by_device" or "inline(slice(" in above
+    assert "REPARTITION_BY_NUM" in plan.split("explode(sequence(")[1].split("Exchange")[1]  # a share of the devices, not of the bytes

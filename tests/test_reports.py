@@ -334,6 +334,38 @@ def test_keyed_close_outs_and_gas_are_those_of_each_device(spark, seconds):
         assert sorted((x.hour, x.btu, x.complete) for x in alone) == sorted((x.hour, x.btu, x.complete) for x in slots if x.key == k)
 
 
+def test_slot_numbers_have_no_holes(spark):
+    grid, days = series.slot_grid(spark), series.calendar(spark).select("month", "day")
+    months = series.integers(spark, 1, 12, "month")
+    for df, slots in ((grid, ["hour"]), (grid, ["dow"]), (grid, ["hour", "dow"]), (grid, ["hour", "season"]), (grid, ["dow", "season"]),
+                      (grid, ["hour", "dow", "season"]), (days, ["month", "day"]), (months, ["month"])):
+        got = sorted(r.n for r in df.select(*slots).distinct().select(closeout.slot_number(slots).alias("n")).collect())
+        assert got == list(range(len(got)))
+
+
+def test_each_device_has_every_slot_and_its_own_values(spark):
+    grid = spark.range(5).select(F.col("id").cast("int").alias("_slot"), F.concat(F.lit("s"), "id").alias("name"))
+    mine = {1: {0: 7}, 2: {4: 8}, 3: {1: 1, 2: None, 4: 3}, 4: {i: i for i in range(5)}}
+    known = spark.createDataFrame([(k, i, v) for k, x in mine.items() for i, v in x.items()], "key long, _slot int, v long")
+    got = sorted(tuple(r) for r in closeout.on_grid(grid, known, ["key"]).collect())
+    assert got == [(k, f"s{i}", x.get(i)) for k, x in mine.items() for i in range(5)]
+    assert sorted(tuple(r) for r in closeout.on_grid(grid, known.where("key = 3").drop("key"), []).collect()) == [
+        (f"s{i}", mine[3].get(i)) for i in range(5)]
+
+
+@pytest.mark.parametrize("period, as_of, want", [
+    ("day", "2024-03-02 08:00:00", ["2024-02-27", "2024-02-28", "2024-02-29", "2024-03-01"]),
+    ("month", "2024-05-02 08:00:00", ["2024-02-01", "2024-03-01", "2024-04-01"])])
+def test_periods_between_readings_are_closed_empty(spark, period, as_of, want):
+    first, last = ("2024-02-27 10:00:00", "2024-03-01 10:00:00") if period == "day" else ("2024-02-27 10:00:00", "2024-04-30 10:00:00")
+    r = frames.readings(spark, [(1, first, 80), (1, first.replace(":00:00", ":04:00"), 80), (1, last, 80), (2, last, None)])
+    lg = frames.log(spark, [(k, "2024-01-04 00:00:00", "ON") for k in (1, 2)])
+    closed = closeout.closed_periods(r, lg, frames.thresholds(spark), period, "2024-01-01 00:00:00", as_of, keys=["key"]).collect()
+    mine = sorted((str(x.period_start)[:10], x.run_us, x.complete) for x in closed if x.key == 1)
+    assert mine == [(d, 240_000_000 if d == want[0] else 0, "no" if d == want[-1] else "yes") for d in want]
+    assert [(str(x.period_start)[:10], x.run_us, x.complete) for x in closed if x.key == 2] == [(want[-1], 0, "yes")]
+
+
 # ---- sources and model --------------------------------------------------------------------
 
 
